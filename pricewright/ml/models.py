@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -80,6 +82,19 @@ def default_learners(trees: int = 300, forest_trees: int = 200) -> list[Learner]
     ]
 
 
+def _cached(df: DataFrame) -> DataFrame:
+    """Keep a frame for many fits, spread over all cores if its input came in fewer pieces than that."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept
+    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    kept.unpersist()
+    return spread
+
+
 def assembler(features: list[str]) -> VectorAssembler:
     if len(features) < MIN_FEATURES:
         raise ValueError(f"at least {MIN_FEATURES} features are needed")
@@ -117,26 +132,31 @@ def compare(
     folds: int = 5,
     test_pct: int = 20,
     seed: int = SEED,
+    parallelism: int = 1,
 ) -> Comparison:
-    """Fit every learner on the training rows, score it on the test rows and by cross-validation."""
+    """Fit every learner on the training rows, score it on the test rows and by cross-validation.
+
+    `parallelism` is how many fits of a learner run at a time, for data too small to fill the cluster.
+    """
     spark = df.sparkSession
     names = features or fv.FEATURES
     data = with_fold(with_split(df, keys, test_pct, seed), keys, folds, seed)
-    data = model_frame(data, names, target, ["is_test", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+    data = _cached(model_frame(data, names, target, ["is_test", "fold"]))
     train, test = data.filter(~F.col("is_test")), data.filter("is_test")
     score_rows, fold_rows, models, predictions = [], [], {}, {}
+    pool = ThreadPool(parallelism)
     try:
         rows_train = train.count()
         for ordinal, learner in enumerate(learners or default_learners()):
-            model = learner.fit(train)
+            held_in = [train, *[data.filter(F.col("fold") != fold) for fold in range(folds)]]
+            model, *by_fold = pool.map(inheritable_thread_target(spark)(learner.fit), held_in)
             predicted = model.transform(test).select("label", "prediction")
             held_out = regression_metrics(predicted, "label", "prediction").first()
-            by_fold = None
-            for fold in range(folds):
-                fitted = learner.fit(data.filter(F.col("fold") != fold))
-                part = fitted.transform(data.filter(F.col("fold") == fold)).select("fold", "label", "prediction")
-                by_fold = part if by_fold is None else by_fold.unionByName(part)
-            scored = regression_metrics(by_fold, "label", "prediction", by=["fold"], digits=12)
+            parts = [
+                fitted.transform(data.filter(F.col("fold") == fold)).select("fold", "label", "prediction")
+                for fold, fitted in enumerate(by_fold)
+            ]
+            scored = regression_metrics(reduce(DataFrame.unionByName, parts), "label", "prediction", ["fold"], digits=12)
             per_fold = scored.orderBy("fold").collect()  # one row per fold
             fold_rows += [(learner.name, r["fold"], r["rows"], r["r2"]) for r in per_fold]
             score_rows.append(
@@ -145,6 +165,7 @@ def compare(
             models[learner.name] = model
             predictions[learner.name] = predicted
     finally:
+        pool.close()
         data.unpersist()
 
     fold_scores = spark.createDataFrame(fold_rows, "model string, fold int, rows bigint, r2 double")
@@ -158,6 +179,17 @@ def compare(
     return Comparison(scores.join(F.broadcast(cv), "model"), fold_scores, models, predictions)
 
 
+def fit_one(
+    df: DataFrame, learner: Learner, features: list[str] | None = None, target: str = fv.TARGET
+) -> Model:
+    """Fit one learner on all usable rows."""
+    data = _cached(model_frame(df, features or fv.FEATURES, target, []))
+    try:
+        return learner.fit(data)
+    finally:
+        data.unpersist()
+
+
 def importance(df: DataFrame, model: Model, features: list[str], labels: dict[str, str] | None = None) -> DataFrame:
     """(feature, label, importance, importance_pct), largest first."""
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model

@@ -69,7 +69,7 @@ def tier_estimates(
     priced: DataFrame, price: str, rate: float = fv.IDR_PER_USD, multipliers: list[tuple] | None = None
 ) -> DataFrame:
     """A price per 100 units as the price of each purchase tier."""
-    tiers = with_grid(priced, "_tier", multipliers or fv.TIER_PRICE_MULTIPLIERS, ["tier", "tier_multiplier"])
+    tiers = with_grid(priced, multipliers or fv.TIER_PRICE_MULTIPLIERS, ["tier", "tier_multiplier"])
     usd = as_col(price) * F.col("tier_multiplier") * F.lit(100.0)
     return tiers.withColumns(
         {"tier_price_usd": round_half_up(usd, 2), "tier_price_idr": (usd * F.lit(float(rate))).cast("long")}

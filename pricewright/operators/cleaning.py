@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import finite_or_null
+from ..session import ensure_checkpoint_dir
 from .joins import measured_side
 from .ordering import exact_quantile, value_counts
 
@@ -66,14 +67,17 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def fill_null_median(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
     """Fill NULLs with the median of the row's group, then with the overall median of the result.
 
-    Listed columns the table lacks are skipped, and so is the group step when it lacks the key.
-    Filled columns are doubles.
+    Listed columns the table lacks are skipped, and so is the group step when it lacks the key.  One
+    counting pass decides which columns have gaps at all; only those are filled, and become doubles.
     """
-    group = key if key is not None and key in df.columns else None
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return df
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()) for c in present]).first()
     out = df
-    for column in columns:
-        if column in df.columns:
-            out = _fill_one(df, out, column, group)
+    for column, nulls in zip(present, gaps):
+        if nulls:
+            out = _fill_one(df, out, column, key if key in df.columns else None)
     return out.select(*df.columns)
 
 
@@ -83,10 +87,12 @@ def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -
         overall = exact_quantile(value_counts(source, [], column), [], name="_overall")
         return out.withColumn(column, F.coalesce(value, overall.scalar()))
 
-    counts = value_counts(source, [key], column)
+    # Both medians come from this one table, so it is written once.
+    ensure_checkpoint_dir(source.sparkSession)
+    counts = value_counts(source, [key], column).checkpoint()
     medians = measured_side(exact_quantile(counts, [key], name="_median").withColumnRenamed(key, "_key"))
 
-    # the overall median sees the group-filled column: known values plus each group's median, once per gap
+    # The overall median sees the group-filled column: known values, and each group's median once per gap.
     gaps = (
         source.filter(F.col(column).isNull() & F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key"))

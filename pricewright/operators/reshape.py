@@ -40,10 +40,17 @@ def join_text(items: Column | str, separator: str = ", ") -> Column:
     return F.array_join(F.coalesce(as_col(items), F.array().cast("array<string>")), separator)
 
 
-def with_grid(df: DataFrame, name: str, rows: list[tuple], columns: list[str]) -> DataFrame:
+def _sql_text(value: str | int | float) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
+def with_grid(df: DataFrame, rows: list[tuple], columns: list[str]) -> DataFrame:
     """Every row of `df` with every row of a small fixed table.
 
     The table is written into the plan and generated row by row, so there is no join and no shuffle.
     """
-    entries = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows])
-    return df.select("*", F.explode(entries).alias(name)).select(*df.columns, f"{name}.*")
+    fields = [", ".join(f"{_sql_text(v)} AS {c}" for c, v in zip(columns, row)) for row in rows]
+    entries = F.expr("array(" + ", ".join(f"struct({f})" for f in fields) + ")")
+    return df.select("*", F.inline(entries))

@@ -28,22 +28,18 @@ def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     NULL where a column does not vary.  One pass over the table, one row per pair after it.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-
-    def both(a: str, b: str) -> Column:
-        return F.col(a).isNotNull() & F.col(b).isNotNull()
-
-    def r(a: str, b: str) -> Column:
-        x, y = F.when(both(a, b), F.col(a)), F.when(both(a, b), F.col(b))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    wide = df.agg(*[r(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # Pairs as rows before a map-side aggregation: the buffer stays three aggregates wide, which keeps
+    # it in generated code, and each task hands on one row per pair.
     entries = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+        *[F.struct(F.lit(i).alias("_p"), F.col(a).alias("_x"), F.col(b).alias("_y")) for i, (a, b) in enumerate(pairs)]
     )
-    return wide.select(F.inline(entries))
+    both = values.select(F.inline(entries)).filter("_x is not null and _y is not null")
+    spread = F.stddev_pop("_x") * F.stddev_pop("_y")
+    found = both.groupBy("_p").agg(F.try_divide(F.covar_pop("_x", "_y"), spread).alias("r"))
+    names = F.array(*[F.struct(F.lit(i).alias("_p"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])
+    listed = df.sparkSession.range(1).select(F.inline(names))
+    return listed.join(F.broadcast(found), "_p", "left").select("a", "b", "r")  # one row per pair
 
 
 def histogram(df: DataFrame, value: Column | str, bins: int = 20) -> DataFrame:

@@ -288,7 +288,7 @@ def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumns({c: round_half_up(c, 4) for c in ("bin_from", "bin_to")})
 
 
-_MONTHLY_SPEND = "CAST(sum(" + sql_cents("value") + ") AS DOUBLE) / 1e3"
+_MONTHLY_SPEND = "CAST(sum(" + sql_cents("value") + ") AS DOUBLE) / 3e3"
 
 
 @query(f"""
@@ -304,6 +304,6 @@ def q_segment_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly spend per user, in segments, as shares of users and of revenue."""
     purchases = table(spark, sf, "events").filter(F.col("event_type") == "purchase")
     spend = purchases.groupBy("user_id", F.date_format("ts", "yyyy-MM").alias("month")).agg(
-        (F.sum(cents("value")).cast("double") / 1e3).alias("spent")
+        (F.sum(cents("value")).cast("double") / 3e3).alias("spent")
     )
     return segment_shares(spend, "spent")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import fixed_values as fv
 from ..functions.numbers import round_half_up
 from ..ml.metrics import regression_metrics, residual_histogram
-from ..ml.models import compare, gradient_boosting, importance, model_frame, random_forest, ridge
+from ..ml.models import compare, fit_one, gradient_boosting, importance, random_forest, ridge
 from ..ml.scoring import scenario_features
 from ..ml.split import SEED, bucket, with_fold, with_split
 from .registry import query, sql_lookup, sql_round, table
@@ -156,8 +156,7 @@ UNION ALL SELECT 'line', {sql_round('(aa * (bb * cy - bc * by_) - ab * (ab * cy
 
 @query(_RIDGE_SQL)
 def q_ridge(spark: SparkSession, sf: str) -> DataFrame:
-    rows = model_frame(_model_rows(spark, sf), MODEL_FEATURES, "target", [])
-    model = ridge(1.0).fit(rows)
+    model = fit_one(_model_rows(spark, sf), ridge(1.0), MODEL_FEATURES, "target")
     pairs = list(zip(MODEL_FEATURES, [float(c) for c in model.coefficients]))
     fitted = spark.createDataFrame(pairs, "feature string, coefficient double")
     return fitted.withColumn("coefficient", round_half_up("coefficient", 3))
@@ -166,13 +165,14 @@ def q_ridge(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def q_gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Feature importance of a boosted model on all lines; few trees, the count is an argument."""
-    rows = model_frame(_model_rows(spark, sf), MODEL_FEATURES, "target", [])
-    return importance(rows, gradient_boosting(trees=4, depth=3).fit(rows), MODEL_FEATURES)
+    rows = _model_rows(spark, sf)
+    model = fit_one(rows, gradient_boosting(trees=4, depth=3), MODEL_FEATURES, "target")
+    return importance(rows, model, MODEL_FEATURES)
 
 
 @query()
 def q_model_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Three learners by test score and 3-fold cross-validation; small models, the sizes are arguments."""
     learners = [gradient_boosting(trees=2, depth=3), random_forest(trees=3, depth=4), ridge()]
-    result = compare(_model_rows(spark, sf), _LINE_KEYS, learners, MODEL_FEATURES, "target", folds=3)
+    result = compare(_model_rows(spark, sf), _LINE_KEYS, learners, MODEL_FEATURES, "target", folds=3, parallelism=4)
     return result.scores.orderBy("ordinal")

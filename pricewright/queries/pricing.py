@@ -94,8 +94,8 @@ def q_price_grid(spark: SparkSession, sf: str) -> DataFrame:
             (F.col("sizes") / F.col("parts")).alias("age"),
         )
     )
-    grid = with_grid(entities, "_m", MARKETS, ["region", "price_index"])
-    grid = with_grid(grid, "_s", SEGMENTS, ["segment", "multiplier"])
+    grid = with_grid(entities, MARKETS, ["region", "price_index"])
+    grid = with_grid(grid, SEGMENTS, ["segment", "multiplier"])
     price = optimal_price("arpdau", F.col("age") * 2.0, "age", "mau", "multiplier", "price_index")
     grid = grid.withColumn("price_usd", price)
     return grid.select(

@@ -101,7 +101,7 @@ def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -
     filled = gaps.join(medians.frame, "_key").select(F.col("_median").alias("_v"), "_n")
     keyless = value_counts(source.filter(F.col(key).isNull()), [], column)
     after = counts.select("_v", "_n").unionByName(filled).unionByName(keyless)
-    after = after.groupBy("_v").agg(F.sum("_n").alias("_n"))
+    after = after.groupBy("_v").agg(F.sum("_n").alias("_n")).checkpoint()
     overall = exact_quantile(after, [], name="_overall")
 
     def fill(rows: DataFrame) -> DataFrame:

@@ -39,44 +39,37 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name: str = "quantile") -> DataFrame:
-    """Interpolated quantile per key of a `value_counts` table; one row when `keys` is empty."""
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"), _cut_points("_v").alias("_cuts"))
-    if keys:
-        spread = counts.join(totals, keys)
-    else:
-        spread = counts.withColumn("_all", totals.select(F.struct("_total", "_cuts")).scalar())
-        spread = spread.select("_v", "_n", "_all._total", "_all._cuts")
-    position = (F.col("_total") - 1) * F.lit(float(share))
-    spread = spread.select(
-        *keys,
-        "_v",
-        "_n",
-        _range_of("_v", "_cuts").alias("_range"),
-        position.alias("_position"),
-        F.floor(position).alias("_low"),
-        F.ceil(position).alias("_high"),
+    """Interpolated quantile per key of a `value_counts` table; one row when `keys` is empty.
+
+    The cut points are shared by all keys: a key that holds much of the table also shapes them, so its
+    values are spread over many ranges, and for a small key it does not matter where they lie.
+    """
+    cuts = counts.agg(_cut_points("_v"))
+    spread = counts.withColumn("_cuts", cuts.scalar())
+    spread = spread.select(*keys, "_v", "_n", _range_of("_v", "_cuts").alias("_range"))
+
+    # at most RANGES rows per key from here to `wanted`
+    sizes = spread.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    position = (F.sum("_size").over(group) - 1) * F.lit(float(share))
+    placed = sizes.select(
+        *keys, "_range", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"), position.alias("_position")
     )
-
-    sizes = spread.groupBy(*keys, "_range", "_low", "_high").agg(F.sum("_n").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    wanted = starts.filter(
-        (F.col("_start") <= F.col("_high")) & (F.col("_start") + F.col("_size") > F.col("_low"))
-    ).select(*keys, "_range", "_start")
-
-    running = Window.partitionBy(*keys, "_range").orderBy("_v")
-    ranked = spread.join(wanted, [*keys, "_range"]).withColumn(
-        "_until", F.col("_start") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    low, high = F.floor("_position"), F.ceil("_position")
+    wanted = placed.filter((F.col("_start") <= high) & (F.col("_start") + F.col("_size") > low)).select(
+        *keys, "_range", "_start", low.alias("_low"), high.alias("_high"), (F.col("_position") - low).alias("_between")
     )
 
+    running = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = spread.join(wanted, [*keys, "_range"]).withColumn("_until", F.col("_start") + F.sum("_n").over(running))
+
     def value_at(rank: str) -> Column:
         holds = (F.col("_until") > F.col(rank)) & (F.col("_until") - F.col("_n") <= F.col(rank))
         return F.max(F.when(holds, F.col("_v")))
 
     found = ranked.groupBy(*keys).agg(
-        value_at("_low").alias("_a"),
-        value_at("_high").alias("_b"),
-        F.max(F.col("_position") - F.col("_low")).alias("_between"),
+        value_at("_low").alias("_a"), value_at("_high").alias("_b"), F.max("_between").alias("_between")
     )
     return found.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_between")).alias(name))
 

@@ -29,7 +29,7 @@ CURRENCY_BY_FLAG = {"A": "uc", "N": "diamonds", "R": "crystals"}
 
 
 def _tiered_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines with a nested list of price tiers whose amount field has a different name per row."""
+    """Order lines with a nested list of price tiers, prices in cents, whose amount field has a name per row."""
     field = bins.lookup("l_returnflag", CURRENCY_BY_FLAG)
     written = F.when(F.col("l_linestatus") == "O", F.lit("diamonds")).otherwise(field)
 
@@ -37,21 +37,21 @@ def _tiered_lines(spark: SparkSession, sf: str) -> DataFrame:
         entries = [F.lit("label"), F.lit(label), written, units.cast("string"), F.lit("price"), price.cast("string")]
         return F.create_map(*entries)
 
-    quantity, price = F.col("l_quantity").cast("int"), F.col("l_extendedprice")
+    quantity, price = F.col("l_quantity").cast("int"), cents("l_extendedprice")
     tiers = F.array(
         tier("single", quantity, price),
         tier("trial", quantity * 0, price),
-        tier("return", quantity, price - 20000.0),
-        F.create_map(F.lit("label"), F.lit("blank"), F.lit("price"), F.lit("1.0")),
+        tier("return", quantity, price - 2_000_000),
+        F.create_map(F.lit("label"), F.lit("blank"), F.lit("price"), F.lit("100")),
     )
     return table(spark, sf, "lineitem").select(*_LINE, field.alias("currency_field"), tiers.alias("tiers"))
 
 
 @query(f"""
-SELECT {_LINE_SQL}, tier_no, label, units, {sql_round('price', 2)} AS price
-FROM (SELECT {_LINE_SQL}, 1 AS tier_no, 'single' AS label, l_returnflag, l_linestatus, CAST(l_quantity AS BIGINT) AS units, l_extendedprice AS price FROM lineitem
+SELECT {_LINE_SQL}, tier_no, label, units, price
+FROM (SELECT {_LINE_SQL}, 1 AS tier_no, 'single' AS label, CAST(l_quantity AS BIGINT) AS units, {sql_cents('l_extendedprice')} / 1e2 AS price FROM lineitem
       UNION ALL
-      SELECT {_LINE_SQL}, 3, 'return', l_returnflag, l_linestatus, CAST(l_quantity AS BIGINT), l_extendedprice - 20000e0 FROM lineitem)
+      SELECT {_LINE_SQL}, 3, 'return', CAST(l_quantity AS BIGINT), ({sql_cents('l_extendedprice')} - 2000000) / 1e2 FROM lineitem)
 WHERE price > 0 AND units > 0
 """)
 def q_explode_tiers(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,10 +62,9 @@ def q_explode_tiers(spark: SparkSession, sf: str) -> DataFrame:
         "tier_no",
         F.col("tier").getItem("label").alias("label"),
         field_by_key("tier", "currency_field", fv.DEFAULT_CURRENCY_FIELD, "0").try_cast("long").alias("units"),
-        F.col("tier").getItem("price").try_cast("double").alias("price"),
+        (F.col("tier").getItem("price").try_cast("long") / 100.0).alias("price"),
     )
-    valid = keep_positive(flat, ["price", "units"])
-    return valid.withColumn("price", round_half_up("price", 2))
+    return keep_positive(flat, ["price", "units"])
 
 
 @query("""

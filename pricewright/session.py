@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Applied by `build_session` only.  Shuffle width is left to adaptive execution: start wide, let it
-# coalesce to `advisoryPartitionSizeInBytes`, and let it split skewed join partitions.
+# On a cluster shuffles start wide; adaptive execution coalesces them to the advisory size and splits
+# skewed join partitions.
+CLUSTER_SHUFFLE_PARTITIONS = 8000
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,10 +25,17 @@ DEFAULTS = {
 
 
 def build_session(app: str = "pricewright", master: str | None = None, **conf: object) -> SparkSession:
+    """A session with the defaults above; anything given here or on submission comes first."""
     builder = SparkSession.builder.appName(app)
+    defaults: dict[str, object] = dict(DEFAULTS)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    if not (master or "").startswith("local"):
+        defaults["spark.sql.shuffle.partitions"] = CLUSTER_SHUFFLE_PARTITIONS
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit, whose settings are readable
+        submitted = SparkConf()
+        defaults = {k: v for k, v in defaults.items() if not submitted.contains(k)}
+    for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, str(value))
     return builder.getOrCreate()
 

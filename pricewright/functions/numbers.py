@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+Rounding = Callable[[Column | str, int], Column]
+
 
 def as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -19,6 +23,26 @@ def round_half_up(value: Column | str, digits: int) -> Column:
     return F.floor(as_col(value) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def round_nearest(value: Column | str, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as Python's `round` does.
+
+    Scaling can turn a value just below a tie into the tie itself.  Only then the lost part of the
+    product matters; splitting the value into two halves of its digits recovers it exactly, because a
+    power of ten up to 1e6 has few enough digits to multiply either half without loss.
+    """
+    if not 0 <= digits <= 6:
+        raise ValueError("0 to 6 digits")
+    x, scale = as_col(value).cast("double"), float(10**digits)
+    product = x * F.lit(scale)
+    whole = F.floor(product)
+    shifted = x * F.lit(134217729.0)  # 2^27 + 1
+    upper = shifted - (shifted - x)
+    lost = (upper * F.lit(scale) - product) + (x - upper) * F.lit(scale)
+    fraction = product - whole
+    up = (fraction > 0.5) | ((fraction == 0.5) & ((lost > 0) | ((lost == 0) & (whole % 2 != 0))))
+    return (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
+
+
 def truncate(value: Column | str) -> Column:
     """Drop the fraction, towards zero."""
     return as_col(value).cast("long")
@@ -34,11 +58,13 @@ def cents(value: Column | str) -> Column:
     return F.floor(as_col(value) * F.lit(100.0) + F.lit(0.5))
 
 
-def safe_ratio(numerator: Column | str, denominator: Column | str, digits: int) -> Column:
+def safe_ratio(
+    numerator: Column | str, denominator: Column | str, digits: int, rounding: Rounding = round_half_up
+) -> Column:
     """Rounded ratio; 0 where the denominator is not positive or anything is missing."""
     den = as_col(denominator)
     ratio = F.try_divide(as_col(numerator), F.when(den > 0, den))
-    return F.coalesce(round_half_up(ratio, digits), F.lit(0.0))
+    return F.coalesce(rounding(ratio, digits), F.lit(0.0))
 
 
 def or_default(value: Column | str, default: Column | float) -> Column:
@@ -57,10 +83,12 @@ def log_scale(value: Column | str, digits: int = 4) -> Column:
     return round_half_up(F.log1p(as_col(value)), digits)
 
 
-def capped_score(parts: list[tuple[Column | str, float, float]], digits: int = 1) -> Column:
+def capped_score(
+    parts: list[tuple[Column | str, float, float]], digits: int = 1, rounding: Rounding = round_half_up
+) -> Column:
     """Weighted sum of measures, each counted up to its cap: (measure, cap, weight)."""
     total = None
     for measure, cap, weight in parts:
         part = F.least(as_col(measure) / F.lit(float(cap)), F.lit(1.0)) * F.lit(float(weight))
         total = part if total is None else total + part
-    return round_half_up(total, digits)
+    return rounding(total, digits)

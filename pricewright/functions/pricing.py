@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import fixed_values as fv
-from .numbers import as_col, convert_currency, round_half_up
+from .numbers import Rounding, as_col, convert_currency, round_half_up
 
 
 def tier_prices(
@@ -13,20 +13,21 @@ def tier_prices(
     units: Column | str,
     discount_pct: Column | str,
     rate: float = fv.IDR_PER_USD,
+    rounding: Rounding = round_half_up,
 ) -> dict[str, Column]:
     """The derived prices of one purchasable amount of currency, by output column name."""
     p, n = as_col(price), as_col(units)
-    reseller = round_half_up(p * (F.lit(1.0) - as_col(discount_pct) / F.lit(100.0)), 3)
+    reseller = rounding(p * (F.lit(1.0) - as_col(discount_pct) / F.lit(100.0)), 3)
     per_unit = F.try_divide(p, n)
     return {
-        "price_official_usd": round_half_up(p, 2),
+        "price_official_usd": rounding(p, 2),
         "price_official_idr": convert_currency(p, rate),
         "price_3rdparty_usd": reseller,
         "price_3rdparty_idr": convert_currency(reseller, rate),
-        "price_per_unit_usd": round_half_up(per_unit, 6),
-        "price_per_100_usd": round_half_up(per_unit * F.lit(100.0), 4),
+        "price_per_unit_usd": rounding(per_unit, 6),
+        "price_per_100_usd": rounding(per_unit * F.lit(100.0), 4),
         "price_per_100_idr": convert_currency(per_unit * F.lit(100.0), rate),
-        "value_score": round_half_up(F.try_divide(n, p), 2),
+        "value_score": rounding(F.try_divide(n, p), 2),
     }
 
 
@@ -37,6 +38,7 @@ def optimal_price(
     mau: Column | str,
     segment_multiplier: Column | str,
     region_index: Column | str,
+    rounding: Rounding = round_half_up,
 ) -> Column:
     """Recommended price per 100 units.  A missing age or audience counts as neutral."""
     age, audience = as_col(median_age), as_col(mau)
@@ -44,7 +46,7 @@ def optimal_price(
     competition_factor = F.lit(1.0) - as_col(competition) / F.lit(200.0)
     age_factor = F.when(age > 30, 1.25).when(age < 20, 0.80).otherwise(1.0)
     audience_factor = F.when(audience > 100, 0.88).when(audience < 20, 1.12).otherwise(1.0)
-    return round_half_up(
+    return rounding(
         base
         * competition_factor
         * as_col(segment_multiplier)
@@ -56,7 +58,7 @@ def optimal_price(
 
 
 def price_band(
-    price: Column | str, rate: float = fv.IDR_PER_USD, floor: float | None = None
+    price: Column | str, rate: float = fv.IDR_PER_USD, floor: float | None = None, rounding: Rounding = round_half_up
 ) -> dict[str, Column]:
     """A price with its low and high end in both currencies, by output column name."""
     p = as_col(price)
@@ -64,10 +66,10 @@ def price_band(
         p = F.greatest(p, F.lit(float(floor)))
     low, high = p * F.lit(fv.BAND_LOW), p * F.lit(fv.BAND_HIGH)
     return {
-        "predicted_price_per_100_usd": round_half_up(p, 3),
+        "predicted_price_per_100_usd": rounding(p, 3),
         "predicted_price_per_100_idr": convert_currency(p, rate),
-        "range_low_usd": round_half_up(low, 3),
-        "range_high_usd": round_half_up(high, 3),
+        "range_low_usd": rounding(low, 3),
+        "range_high_usd": rounding(high, 3),
         "range_low_idr": convert_currency(low, rate),
         "range_high_idr": convert_currency(high, rate),
     }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions.bins import lookup
-from ..functions.numbers import as_col, capped_score, round_half_up
+from ..functions.numbers import Rounding, as_col, capped_score, round_half_up, round_nearest
 from ..functions.pricing import price_band
 from ..operators.encode import encode_fixed
 from ..operators.reshape import with_grid
@@ -23,7 +23,9 @@ def demo_scenarios(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fv.DEMO_SCENARIOS, SCENARIO)
 
 
-def scenario_features(scenarios: DataFrame, genre_codes: DataFrame | dict[str, int]) -> DataFrame:
+def scenario_features(
+    scenarios: DataFrame, genre_codes: DataFrame | dict[str, int], rounding: Rounding = round_half_up
+) -> DataFrame:
     """The scenarios with the model features.  Unknown genres, regions and segments get neutral values.
 
     `genre_codes` is the table (genre, genre_encoded) saved with the model, or a small fixed dict.
@@ -36,13 +38,15 @@ def scenario_features(scenarios: DataFrame, genre_codes: DataFrame | dict[str, i
     mau = F.col("mau_millions")
     dau = mau * F.lit(fv.DAU_SHARE_IN_SCENARIOS)
     coded = coded.withColumn("_ratio", F.coalesce(F.try_divide(dau, F.when(mau > 0, mau)), F.lit(0.0)))
-    known_points = capped_score([(mau, 130, 40), ("_ratio", 0.35, 30)], digits=12)
+    points = capped_score(
+        [(mau, 130, 40), ("_ratio", 0.35, 30)], digits=1, rounding=lambda total, digits: rounding(total + F.lit(DOWNLOAD_POINTS), digits)
+    )
     return coded.withColumns(
         {
-            "dau_millions": round_half_up(dau, 2),
-            "community_health_score": round_half_up(known_points + F.lit(DOWNLOAD_POINTS), 1),
+            "dau_millions": rounding(dau, 2),
+            "community_health_score": points,
             "game_median_age": F.col("age_median"),
-            "dau_to_mau_ratio": round_half_up("_ratio", 3),
+            "dau_to_mau_ratio": rounding("_ratio", 3),
             "region_price_index": lookup("region", {r: index for r, index, _, _ in fv.REGIONS}, 1.0),
             "region_arpu_mult": lookup("region", {r: arpu for r, _, arpu, _ in fv.REGIONS}, 1.0),
             "segment_spend_mult": lookup("spending_segment", {s: m for s, m, _, _ in fv.SEGMENTS}, 1.0),
@@ -60,9 +64,10 @@ def score(
     rate: float = fv.IDR_PER_USD, floor: float | None = None,
 ) -> DataFrame:
     """The scenarios with predicted price and price band; `floor` keeps a prediction above zero."""
-    features = scenario_features(scenarios, genre_codes)
-    predicted = model.transform(features).withColumns(price_band("prediction", rate, floor))
-    return predicted.select(*scenarios.columns, "prediction", *price_band("prediction", rate, floor))
+    features = scenario_features(scenarios, genre_codes, round_nearest)
+    band = price_band("prediction", rate, floor, round_nearest)
+    predicted = model.transform(features).withColumns(band)
+    return predicted.select(*scenarios.columns, "prediction", *band)
 
 
 def tier_estimates(

@@ -1,4 +1,7 @@
-"""The six star-schema tables, each from raw records or from other tables."""
+"""The six star-schema tables, each from raw records or from other tables.
+
+Rounded columns round the exact value, so that they can be compared digit by digit.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,7 @@ from ..functions.numbers import (
     convert_currency,
     log_scale,
     or_default,
-    round_half_up,
+    round_nearest,
     safe_ratio,
     truncate,
 )
@@ -54,7 +57,7 @@ def fact_pricing(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD
         discount.alias("discount_avg_pct"),
     )
     priced = keep_positive(tiers, ["price", "total_currency"])
-    priced = priced.withColumns(tier_prices("price", "total_currency", "discount_avg_pct", rate))
+    priced = priced.withColumns(tier_prices("price", "total_currency", "discount_avg_pct", rate, round_nearest))
     priced = priced.withColumn("spend_tier", bins.spend_tier("price"))
     priced = priced.withColumn("price_elasticity", bins.elasticity("spend_tier"))
     unique = keep_first(priced, ["game_key", "tier_label"], ["ordinal", "tier_no"])
@@ -80,7 +83,7 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
             "revenue_2024_usd": bins.lookup("game_key", fv.REVENUE_2024_USD, 0).cast("long"),
         }
     )
-    known = known.withColumn("dau_to_mau_ratio", safe_ratio("dau", "mau", 3))
+    known = known.withColumn("dau_to_mau_ratio", safe_ratio("dau", "mau", 3, round_nearest))
     known = known.select(
         "game_key",
         "ordinal",
@@ -90,14 +93,14 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
         _or("release_year", 0).alias("release_year"),
         join_text("platforms").alias("platforms"),
         F.col("mau").alias("mau_millions"),
-        round_half_up("dau", 2).alias("dau_millions"),
+        round_nearest("dau", 2).alias("dau_millions"),
         "dau_to_mau_ratio",
         "registered_users_millions",
-        round_half_up("downloads", 3).alias("total_downloads_billions"),
+        round_nearest("downloads", 3).alias("total_downloads_billions"),
         "revenue_2024_usd",
         "arpdau_usd",
-        round_half_up(F.col("arpdau_usd") * 30, 3).alias("arpu_monthly_usd"),
-        safe_ratio("revenue_2024_usd", F.col("mau") * 1_000_000, 2).alias("revenue_per_mau_usd"),
+        round_nearest(F.col("arpdau_usd") * 30, 3).alias("arpu_monthly_usd"),
+        safe_ratio("revenue_2024_usd", F.col("mau") * 1_000_000, 2, round_nearest).alias("revenue_per_mau_usd"),
         _or("session_minutes", 25).alias("session_minutes"),
         _or("competition_score", 50).alias("competition_score"),
         _or("android_share_pct", 75).alias("android_share_pct"),
@@ -111,7 +114,7 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
 
 
 def health_score(mau: str, ratio: str, downloads: str) -> Column:
-    return capped_score([(mau, 130, 40), (ratio, 0.35, 30), (downloads, 1.5, 30)])
+    return capped_score([(mau, 130, 40), (ratio, 0.35, 30), (downloads, 1.5, 30)], rounding=round_nearest)
 
 
 def _without_failed(records: DataFrame, rejects: DataFrame) -> DataFrame:
@@ -197,7 +200,7 @@ def ml_features(
     )
     price = optimal_price(
         "arpdau_usd", "competition_score", "game_median_age", "mau_millions",
-        "segment_spend_mult", "region_price_index",
+        "segment_spend_mult", "region_price_index", round_nearest,
     )
     grid = grid.withColumns(
         {

@@ -18,6 +18,17 @@ def test_rounding_is_half_up_on_both_sides_of_zero(spark):
     assert got == [0.13, 2.5, -0.12, 1.0, None]
 
 
+def test_round_nearest_equals_python(spark):
+    import random
+
+    rng = random.Random(11)
+    values = [2.675, 0.125, 0.375, -2.675, 1.005, 0.54375, 0.725 * 0.75, 1e9 + 0.125, 0.0]
+    values += [rng.randint(-10**7, 10**7) / 10**rng.randint(1, 7) for _ in range(3000)]
+    values += [(rng.randint(0, 10**6) + 0.5) / 10**d for d in (2, 3, 4) for _ in range(1000)]
+    for digits in (1, 2, 3, 4, 6):
+        assert evaluate(spark, values, numbers.round_nearest("v", digits)) == [round(v, digits) for v in values]
+
+
 def test_conversion_drops_the_fraction(spark):
     assert evaluate(spark, [0.49, -0.49, 0.0], numbers.convert_currency("v", 16250)) == [7962, -7962, 0]
 

@@ -50,8 +50,11 @@ def keep_in(df: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def keep_matching(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose value occurs in another table; for lists too long to write into the plan."""
-    return df.join(keys.select(F.col(key).alias(column)), column, "left_semi")
+    """Rows whose value occurs in another table; for lists too long to write into the plan.
+
+    The keys are made distinct first, so many copies of one key do not travel.
+    """
+    return df.join(keys.select(F.col(key).alias(column)).distinct(), column, "left_semi")
 
 
 def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.joins import orphans
 from ..operators.quality import checksum, table_counts
-from ..schemas import AUDIT_LOG, TABLES, conform
-from ..sources.tables import Paths, write_catalog, write_parquet
+from ..schemas import AUDIT_LOG, PARTITIONED_BY, TABLES, conform
+from ..sources.tables import Paths, read_parquet, write_catalog, write_parquet
 
 # Replaces a table: (rows, table name).  `write_catalog`, or `write_jdbc` with its url bound.
 Target = Callable[[DataFrame, str], None]
@@ -47,9 +47,9 @@ def load_table(df: DataFrame | None, table: str, paths: Paths, target: Target =
     seen = Observation(f"load {table}")
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), checksum(rows.columns).alias("checksum"))
     copy = paths.warehouse(table)
-    write_parquet(observed, copy)
+    write_parquet(observed, copy, PARTITIONED_BY.get(table))
     try:
-        stored = df.sparkSession.read.parquet(copy)
+        stored = read_parquet(df.sparkSession, copy, table)
         target(stored.withColumn("loaded_at", F.current_timestamp()), table)
     except Exception as error:
         return Loaded(table, 0, "", "FAILED", str(error)[:1000])
@@ -85,7 +85,7 @@ def load_all(
     spark = next(iter(tables.values())).sparkSession
     results = [load_table(tables[name], name, paths, target) for name in TABLES if name in tables]
     append_audit(spark, results, paths.audit_log)
-    stored = {r.table: spark.read.parquet(paths.warehouse(r.table)) for r in results if r.status != "SKIPPED"}
+    stored = {r.table: read_parquet(spark, paths.warehouse(r.table), r.table) for r in results if r.status != "SKIPPED"}
     counts = table_counts({name: stored.get(name) for name in TABLES})
     checks = integrity(stored)
     summary = spark.createDataFrame(

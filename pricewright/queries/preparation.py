@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions import bins
-from ..functions.numbers import cents, round_half_up
+from ..functions.numbers import cents, round_half_up, truncate
 from ..operators import quality
 from ..operators.cleaning import (
     drop_unusable,
@@ -20,7 +20,8 @@ from ..operators.encode import encode_first_seen, encode_fixed
 from ..operators.reshape import explode_list, explode_map, field_by_key, join_text, unnest_series
 from ..operators.statistics import group_first, share_totals
 from ..sources.pages import extract_items
-from .registry import query, sql_cents, sql_lookup, sql_round, table
+from ..sources.raw import configured_only, key_list
+from .registry import query, sql_cents, sql_lookup, sql_round, sql_trunc, table
 
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _LINE_SQL = ", ".join(_LINE)
@@ -363,6 +364,39 @@ def q_encode_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", "p_type", encode_fixed("p_type", TYPE_CODES).alias("type_code"))
 
 
+CONFIGURED_PRIORITIES = ["5-LOW", "1-URGENT", "0-NEVER", "3-MEDIUM"]
+
+
+@query("""
+SELECT o_orderpriority, CAST(CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '1-URGENT' THEN 1 WHEN '3-MEDIUM' THEN 3 END AS INTEGER) AS ordinal,
+       count(*) AS orders
+FROM orders WHERE o_orderpriority IN ('5-LOW', '1-URGENT', '3-MEDIUM') GROUP BY 1
+""")
+def q_configured_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the configured keys, with their place in the list."""
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "game_key")
+    chosen = configured_only(orders, key_list(spark, CONFIGURED_PRIORITIES))
+    counts = chosen.groupBy("game_key", "ordinal").agg(F.count(F.lit(1)).alias("orders"))
+    return counts.withColumnRenamed("game_key", "o_orderpriority")
+
+
+@query(f"""
+SELECT l_suppkey, {sql_round('avg(CAST(l_quantity AS BIGINT)) * 30', 3)} AS monthly_quantity,
+       {sql_trunc(f"CAST(sum({sql_cents('l_extendedprice')}) AS DOUBLE) / 1e8 * 1000000")} AS amount_units
+FROM lineitem GROUP BY 1
+""")
+def q_unit_scaling(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily means to months, millions to whole units."""
+    per_supplier = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.avg(F.col("l_quantity").cast("long")).alias("daily"), F.sum(cents("l_extendedprice")).alias("cents")
+    )
+    return per_supplier.select(
+        "l_suppkey",
+        round_half_up(F.col("daily") * 30, 3).alias("monthly_quantity"),
+        truncate(F.col("cents").cast("double") / 1e8 * 1_000_000).alias("amount_units"),
+    )
+
+
 CHECKED_COLUMNS = {
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],

@@ -75,6 +75,9 @@ TABLES = {
     ),
 }
 
+# Parquet folders by these columns, so that a filter on them skips files.
+PARTITIONED_BY = {"fact_revenue_monthly": ["year"]}
+
 AUDIT_LOG = (
     "table_name string, rows_loaded bigint, checksum string, status string, loaded_at timestamp, note string"
 )

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import TABLES
+from ..schemas import TABLES, conform
 
 
 @dataclass(frozen=True)
@@ -60,8 +60,16 @@ def read_csv_tables(spark: SparkSession, paths: Paths, tables: list[str] | None
     return {t: read_csv(spark, paths.processed(t), t) for t in names if path_exists(spark, paths.processed(t))}
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Replace a Parquet folder; with partition columns, rows are rebalanced so that files keep a fair size."""
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
+    return conform(spark.read.parquet(path), table)
 
 
 def write_catalog(df: DataFrame, table: str, database: str | None = None) -> None:
@@ -81,7 +89,7 @@ def read_table(spark: SparkSession, table: str, paths: Paths, database: str | No
     if spark.catalog.tableExists(name):
         return spark.table(name)
     if path_exists(spark, paths.warehouse(table)):
-        return spark.read.parquet(paths.warehouse(table))
+        return read_parquet(spark, paths.warehouse(table), table)
     if path_exists(spark, paths.processed(table)):
         return read_csv(spark, paths.processed(table), table)
     raise FileNotFoundError(f"{table}: not in the catalog, the warehouse or the processed folder")

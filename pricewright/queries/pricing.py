@@ -348,11 +348,12 @@ SHORT_NAMES = {f"Brand#{i}": f"B{i}" for i in range(1, 21)}  # some brands have
 
 
 @query(f"""
-WITH sold AS (SELECT l_partkey, sum({sql_cents('l_extendedprice')}) AS revenue_cents FROM lineitem GROUP BY 1)
+WITH sold AS (SELECT p_brand, CAST(sum({sql_cents('l_extendedprice')}) AS DOUBLE) AS revenue_cents
+              FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+scores AS (SELECT p_brand, {sql_round('avg(p_size * 2)', 4)} AS competition_score FROM part GROUP BY 1)
 SELECT p_brand, CASE WHEN p_brand IN ({', '.join(f"'{b}'" for b in SHORT_NAMES)}) THEN 'B' || substr(p_brand, 7) END AS short_name,
-       {sql_round('avg(p_size * 2)', 4)} AS competition_score,
-       CAST(sum(revenue_cents) AS DOUBLE) / 100e0 / 5e7 AS bubble_size
-FROM part JOIN sold ON l_partkey = p_partkey GROUP BY p_brand
+       competition_score, revenue_cents / 100e0 / 5e7 AS bubble_size
+FROM sold LEFT JOIN scores USING (p_brand)
 """)
 def q_bubble(spark: SparkSession, sf: str) -> DataFrame:
     """Competition against revenue per brand; the score is joined only because revenue lacks it."""
@@ -361,7 +362,7 @@ def q_bubble(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(cents("l_extendedprice")).alias("revenue_cents")
     )
     revenue = parts.join(sold, "p_partkey").groupBy("p_brand").agg(F.sum("revenue_cents").alias("revenue_cents"))
-    scores = parts.join(sold, "p_partkey", "left_semi").groupBy("p_brand").agg(
+    scores = parts.groupBy("p_brand").agg(
         round_half_up(F.avg(F.col("p_size") * 2), 4).alias("competition_score")
     )
     brands = enrich_if_absent(revenue, scores, "p_brand", "competition_score")

@@ -92,24 +92,29 @@ def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -
     counts = value_counts(source, [key], column).checkpoint()
     medians = measured_side(exact_quantile(counts, [key], name="_median").withColumnRenamed(key, "_key"))
 
-    # The overall median sees the group-filled column: known values, and each group's median once per gap.
-    gaps = (
-        source.filter(F.col(column).isNull() & F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    filled = gaps.join(medians.frame, "_key").select(F.col("_median").alias("_v"), "_n")
-    keyless = value_counts(source.filter(F.col(key).isNull()), [], column)
-    after = counts.select("_v", "_n").unionByName(filled).unionByName(keyless)
-    after = after.groupBy("_v").agg(F.sum("_n").alias("_n")).checkpoint()
-    overall = exact_quantile(after, [], name="_overall")
+    gaps = source.filter(F.col(column).isNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    gaps = gaps.checkpoint()  # one row per key
+    candidates = [value, F.col("_median")]
+    if not gaps.join(medians.frame, "_key", "left_anti").isEmpty():
+        candidates.append(_overall_after(counts, gaps, medians.frame, source, column, key).scalar())
 
     def fill(rows: DataFrame) -> DataFrame:
         joined = rows.join(medians.frame, rows[key] == F.col("_key"), "left").drop("_key")
-        return joined.withColumn(column, F.coalesce(value, F.col("_median"), overall.scalar())).drop("_median")
+        return joined.withColumn(column, F.coalesce(*candidates)).drop("_median")
 
     if medians.small:
         return fill(out)
     # too many groups to broadcast: shuffle only the rows that have a gap
     whole = out.filter(F.col(column).isNotNull()).withColumn(column, value)
     return whole.unionByName(fill(out.filter(F.col(column).isNull())))
+
+
+def _overall_after(
+    counts: DataFrame, gaps: DataFrame, medians: DataFrame, source: DataFrame, column: str, key: str
+) -> DataFrame:
+    """Median of the group-filled column: the known values, and each group's median once per gap."""
+    filled = gaps.join(medians, "_key").select(F.col("_median").alias("_v"), "_n")
+    keyless = value_counts(source.filter(F.col(key).isNull()), [], column)
+    after = counts.select("_v", "_n").unionByName(filled).unionByName(keyless)
+    after = after.groupBy("_v").agg(F.sum("_n").alias("_n")).checkpoint()
+    return exact_quantile(after, [], name="_overall")

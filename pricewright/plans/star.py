@@ -192,12 +192,10 @@ def ml_features(
     median_age = group_first(ages, "game_key", "game_median_age", "age_band", "game_median_age")
     entities = enrich(enrich(games, scores, "game_key"), median_age, "game_key")
     entities = encode_first_seen(entities.join(F.broadcast(keys), "game_key"), "genre", "ordinal", "genre_encoded")
-    grid = with_grid(entities, [(region, index, arpu) for region, index, arpu, _ in fv.REGIONS],
-        ["region", "region_price_index", "region_arpu_mult"],
-    )
-    grid = with_grid(grid, [(segment, multiplier, share) for segment, multiplier, share, _ in fv.SEGMENTS],
-        ["spending_segment", "segment_spend_mult", "segment_player_pct"],
-    )
+    regions = [(region, index, arpu) for region, index, arpu, _ in fv.REGIONS]
+    segments = [(segment, multiplier, share) for segment, multiplier, share, _ in fv.SEGMENTS]
+    grid = with_grid(entities, regions, ["region", "region_price_index", "region_arpu_mult"])
+    grid = with_grid(grid, segments, ["spending_segment", "segment_spend_mult", "segment_player_pct"])
     price = optimal_price(
         "arpdau_usd", "competition_score", "game_median_age", "mau_millions",
         "segment_spend_mult", "region_price_index", round_nearest,

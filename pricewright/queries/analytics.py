@@ -21,7 +21,7 @@ from ..operators.statistics import (
 from ..plans.views import segment_shares
 from .. import fixed_values as fv
 from .pricing import MARKETS
-from .registry import query, sql_at_least, sql_cents, sql_lookup, sql_round, sql_values, table
+from .registry import query, sql_at_least, sql_cents, sql_round, sql_values, table
 
 
 @query(f"""

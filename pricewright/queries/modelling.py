@@ -9,7 +9,7 @@ from ..functions.numbers import round_half_up
 from ..ml.metrics import regression_metrics, residual_histogram
 from ..ml.models import compare, fit_one, gradient_boosting, importance, random_forest, ridge
 from ..ml.scoring import scenario_features
-from ..ml.split import SEED, bucket, with_fold, with_split
+from ..ml.split import SEED, with_fold, with_split
 from .registry import query, sql_lookup, sql_round, table
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]

@@ -116,6 +116,11 @@ def test_fill_without_key_column_uses_the_overall_median(spark):
     assert rows(cleaning.fill_null_median(df, ["v"], "k")) == [(1.0,), (4.0,), (4.0,), (9.0,)]
 
 
+def test_fill_of_a_column_without_any_value(spark):
+    df = spark.createDataFrame([("a", None), (None, None)], "k string, v double")
+    assert rows(cleaning.fill_null_median(df, ["v"], "k"), "v") == [(None,), (None,)]
+
+
 def test_fill_without_gaps_changes_nothing(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     assert cleaning.fill_null_median(df, ["v"], "k").dtypes == df.dtypes

@@ -83,6 +83,13 @@ def test_training_phase_stores_model_scores_and_reports(spark, root):
     assert spark.read.json(root.report("run_times")).filter(F.col("phase") == "ml").count() == 1
 
 
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(run, "build_session", lambda app: spark)
+    run.main(["--root", str(tmp_path), "--phase", "extract"])
+    assert capsys.readouterr().out.startswith("extract: ")
+    assert (tmp_path / "raw" / "master_raw" / "_SUCCESS").exists()
+
+
 def test_unknown_phase(spark, root):
     with pytest.raises(ValueError):
         run.run(spark, root, "deploy")

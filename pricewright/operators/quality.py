@@ -12,12 +12,18 @@ NULL_TEXT = "<null>"
 def row_fingerprint(columns: list[str]) -> Column:
     """A 32-bit number from the row's text; NULL differs from empty text."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def checksum(columns: list[str]) -> Column:
-    """Aggregate over the fingerprints: the same for any order and partitioning of the rows."""
-    return F.coalesce(F.sum(row_fingerprint(columns)), F.lit(0)).cast("string")
+    """Sum of the fingerprints as text: the same for any order and partitioning of the rows.
+
+    Upper and lower halves are summed as longs, which neither overflow nor need decimals per row.
+    """
+    number = row_fingerprint(columns)
+    upper = F.coalesce(F.sum(F.shiftright(number, 16)), F.lit(0)).cast("decimal(20,0)")
+    lower = F.coalesce(F.sum(number.bitwiseAND(F.lit(65535))), F.lit(0)).cast("decimal(20,0)")
+    return (upper * F.lit(65536) + lower).cast("string")
 
 
 def table_checksum(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:

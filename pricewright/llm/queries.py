@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.registry import Query
 from .common import documents
+from .secret_scan import secret_digests
+from .sentencepiece_codec import encoding_digests
 from .token_counts import count_tokens
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,13 @@ def query(sql: str | None = None):
 @query()
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digests(documents(spark, folder))
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_digests(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))

@@ -9,6 +9,7 @@ from ..queries.registry import Query
 from .common import documents
 from .secret_scan import secret_digests
 from .sentencepiece_codec import encoding_digests
+from .sharding import shard_digests
 from .token_counts import count_tokens
 
 QUERIES: dict[str, Query] = {}
@@ -38,3 +39,8 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_digests(documents(spark, folder))

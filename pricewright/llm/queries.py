@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.registry import Query
 from .common import documents
+from .decontamination import WINDOW, contamination_digests
 from .secret_scan import secret_digests
 from .sentencepiece_codec import encoding_digests
 from .sharding import shard_digests
@@ -26,6 +27,38 @@ def query(sql: str | None = None):
     return register
 
 
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS words FROM documents),
+i AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[p:p + n - 1], ' ') AS win
+  FROM (SELECT item_id, words, least({WINDOW}, len(words)) AS n FROM i WHERE len(words) > 0) AS x, unnest(range(1, len(words) - n + 2)) AS u(p)
+),
+places AS (
+  SELECT doc_id, n, p, array_to_string(words[p:p + n - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT n FROM wanted) AS sizes, unnest(range(1, len(words) - n + 2)) AS u(p)
+),
+hits AS (SELECT doc_id, item_id, n, p FROM places JOIN wanted USING (n, win)),
+marked AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hits, unnest(range(p, p + n)) AS u(q) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_digests(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @query()
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))

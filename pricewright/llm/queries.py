@@ -11,6 +11,7 @@ from .decontamination import WINDOW, contamination_digests
 from .secret_scan import secret_digests
 from .sentencepiece_codec import encoding_digests
 from .sharding import shard_digests
+from .simhash import fingerprint_digests
 from .token_counts import count_tokens
 
 QUERIES: dict[str, Query] = {}
@@ -77,3 +78,8 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_digests(documents(spark, folder))
+
+
+@query()
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_digests(documents(spark, folder))

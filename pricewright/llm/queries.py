@@ -13,6 +13,7 @@ from .sentencepiece_codec import encoding_digests
 from .sharding import shard_digests
 from .simhash import fingerprint_digests
 from .token_counts import count_tokens
+from .toxicity import toxicity
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +84,8 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_digests(documents(spark, folder))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..queries.registry import Query
 from .common import documents
 from .decontamination import WINDOW, contamination_digests
+from .language_id import held_out_identification
 from .secret_scan import secret_digests
 from .sentencepiece_codec import encoding_digests
 from .sharding import shard_digests
@@ -89,3 +90,8 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query()
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return held_out_identification(documents(spark, folder))

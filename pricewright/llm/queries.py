@@ -9,6 +9,7 @@ from ..queries.registry import Query
 from .common import documents
 from .decontamination import WINDOW, contamination_digests
 from .language_id import held_out_identification
+from .neighbours import nearest
 from .secret_scan import secret_digests
 from .sentencepiece_codec import encoding_digests
 from .sharding import shard_digests
@@ -95,3 +96,9 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return held_out_identification(documents(spark, folder))
+
+
+@query()
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)

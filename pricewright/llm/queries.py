@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.registry import Query
+from .brown_lm import score_documents
 from .common import documents
 from .decontamination import WINDOW, contamination_digests
 from .language_id import held_out_identification
@@ -102,3 +103,8 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     return nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@query()
+def op8_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(documents(spark, folder))

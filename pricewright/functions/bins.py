@@ -33,7 +33,7 @@ def at_least(value: Column | str, bounds: Sequence[tuple[float, object]], otherw
 def lookup(key: Column | str, table: Mapping[object, object], default: object = None) -> Column:
     """Value of a small fixed table at `key`; no join, the table travels inside the plan."""
     if len(table) > MAX_LITERAL_LOOKUP:
-        raise ValueError(f"{len(table)} entries: join a lookup table instead")
+        raise ValueError(f"{len(table)} entries: use operators.joins.lookup_join")
     entries = [F.lit(x) for pair in table.items() for x in pair]
     found = F.element_at(F.create_map(*entries), as_col(key))
     return found if default is None else F.coalesce(found, F.lit(default))

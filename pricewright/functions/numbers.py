@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 
 Rounding = Callable[[Column | str, int], Column]
 
+WHOLE_FROM = 2.0**52  # from here on a double has no fraction to round
+
 
 def as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -17,10 +19,21 @@ def round_half_up(value: Column | str, digits: int) -> Column:
     """Round with plain double arithmetic.
 
     `round()` goes through decimal text and its treatment of ties differs between engines; one floor
-    over the scaled double is the same everywhere and stays in generated code.
+    over the scaled double is the same everywhere and stays in generated code.  NaN becomes NULL;
+    infinities, and values without a fraction, stay as they are.
     """
-    scale = float(10**digits)
-    return F.floor(as_col(value) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    x, scale = as_col(value).cast("double"), float(10**digits)
+    plain = _roundable(x, scale)
+    return _or_as_it_is(x, scale, F.floor(plain * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
+
+
+def _roundable(x: Column, scale: float) -> Column:
+    """The value where rounding can change it, and 0 elsewhere, so that no branch overflows."""
+    return F.when(F.isnan(x) | (F.abs(x * F.lit(scale)) >= F.lit(WHOLE_FROM)), F.lit(0.0)).otherwise(x)
+
+
+def _or_as_it_is(x: Column, scale: float, rounded: Column) -> Column:
+    return F.when(F.isnan(x), None).when(F.abs(x * F.lit(scale)) >= F.lit(WHOLE_FROM), x).otherwise(rounded)
 
 
 def round_nearest(value: Column | str, digits: int) -> Column:
@@ -28,11 +41,13 @@ def round_nearest(value: Column | str, digits: int) -> Column:
 
     Scaling can turn a value just below a tie into the tie itself.  Only then the lost part of the
     product matters; splitting the value into two halves of its digits recovers it exactly, because a
-    power of ten up to 1e6 has few enough digits to multiply either half without loss.
+    power of ten up to 1e6 has few enough digits to multiply either half without loss.  NaN becomes NULL;
+    infinities, and values without a fraction, stay as they are.
     """
     if not 0 <= digits <= 6:
         raise ValueError("0 to 6 digits")
-    x, scale = as_col(value).cast("double"), float(10**digits)
+    given, scale = as_col(value).cast("double"), float(10**digits)
+    x = _roundable(given, scale)
     product = x * F.lit(scale)
     whole = F.floor(product)
     shifted = x * F.lit(134217729.0)  # 2^27 + 1
@@ -40,12 +55,12 @@ def round_nearest(value: Column | str, digits: int) -> Column:
     lost = (upper * F.lit(scale) - product) + (x - upper) * F.lit(scale)
     fraction = product - whole
     up = (fraction > 0.5) | ((fraction == 0.5) & ((lost > 0) | ((lost == 0) & (whole % 2 != 0))))
-    return (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
+    return _or_as_it_is(given, scale, (whole + F.when(up, 1).otherwise(0)) / F.lit(scale))
 
 
 def truncate(value: Column | str) -> Column:
-    """Drop the fraction, towards zero."""
-    return as_col(value).cast("long")
+    """Drop the fraction, towards zero; NULL for what is no number or fits no long."""
+    return as_col(value).try_cast("long")
 
 
 def convert_currency(value: Column | str, rate: float) -> Column:
@@ -54,8 +69,8 @@ def convert_currency(value: Column | str, rate: float) -> Column:
 
 
 def cents(value: Column | str) -> Column:
-    """An amount as whole cents: sums of these do not depend on the order of the rows."""
-    return F.floor(as_col(value) * F.lit(100.0) + F.lit(0.5))
+    """An amount as whole cents: sums of these do not depend on the order of the rows.  NULL if it is not finite."""
+    return F.floor(finite_or_null(value) * F.lit(100.0) + F.lit(0.5))
 
 
 def safe_ratio(
@@ -73,6 +88,12 @@ def or_default(value: Column | str, default: Column | float) -> Column:
     return F.coalesce(F.nullif(as_col(value), F.lit(0)), fallback)
 
 
+def nan_to_null(value: Column | str) -> Column:
+    """NULL in place of NaN."""
+    v = as_col(value)
+    return F.when(~F.isnan(v), v)
+
+
 def finite_or_null(value: Column | str) -> Column:
     """NULL in place of NaN and the infinities."""
     v = as_col(value)
@@ -86,9 +107,14 @@ def log_scale(value: Column | str, digits: int = 4) -> Column:
 def capped_score(
     parts: list[tuple[Column | str, float, float]], digits: int = 1, rounding: Rounding = round_half_up
 ) -> Column:
-    """Weighted sum of measures, each counted up to its cap: (measure, cap, weight)."""
+    """Weighted sum of measures, each counted up to its cap: (measure, cap, weight).
+
+    A missing measure earns nothing; `least` alone would pass over it and give all points.
+    """
     total = None
     for measure, cap, weight in parts:
-        part = F.least(as_col(measure) / F.lit(float(cap)), F.lit(1.0)) * F.lit(float(weight))
+        m = as_col(measure).cast("double")
+        reached = F.when(m.isNull() | F.isnan(m), F.lit(0.0)).otherwise(F.least(m / F.lit(float(cap)), F.lit(1.0)))
+        part = reached * F.lit(float(weight))
         total = part if total is None else total + part
     return rounding(total, digits)

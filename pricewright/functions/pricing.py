@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import fixed_values as fv
-from .numbers import Rounding, as_col, convert_currency, round_half_up
+from .numbers import Rounding, as_col, convert_currency, nan_to_null, round_half_up
 
 
 def tier_prices(
@@ -40,9 +40,10 @@ def optimal_price(
     region_index: Column | str,
     rounding: Rounding = round_half_up,
 ) -> Column:
-    """Recommended price per 100 units.  A missing age or audience counts as neutral."""
-    age, audience = as_col(median_age), as_col(mau)
-    base = F.greatest(as_col(arpdau) * F.lit(50.0), F.lit(0.5))
+    """Recommended price per 100 units.  A missing age or audience counts as neutral; NULL without any of the other inputs."""
+    age, audience = nan_to_null(median_age), nan_to_null(mau)
+    income = nan_to_null(arpdau)
+    base = F.when(income.isNotNull(), F.greatest(income * F.lit(50.0), F.lit(0.5)))
     competition_factor = F.lit(1.0) - as_col(competition) / F.lit(200.0)
     age_factor = F.when(age > 30, 1.25).when(age < 20, 0.80).otherwise(1.0)
     audience_factor = F.when(audience > 100, 0.88).when(audience < 20, 1.12).otherwise(1.0)
@@ -60,10 +61,10 @@ def optimal_price(
 def price_band(
     price: Column | str, rate: float = fv.IDR_PER_USD, floor: float | None = None, rounding: Rounding = round_half_up
 ) -> dict[str, Column]:
-    """A price with its low and high end in both currencies, by output column name."""
-    p = as_col(price)
-    if floor is not None:
-        p = F.greatest(p, F.lit(float(floor)))
+    """A price with its low and high end in both currencies, by output column name; NULL for a missing price."""
+    p = nan_to_null(price)
+    if floor is not None:  # `greatest` passes over NULL, which would price an unpredicted row at the floor
+        p = F.when(p.isNotNull(), F.greatest(p, F.lit(float(floor))))
     low, high = p * F.lit(fv.BAND_LOW), p * F.lit(fv.BAND_HIGH)
     return {
         "predicted_price_per_100_usd": rounding(p, 3),

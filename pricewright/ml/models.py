@@ -22,6 +22,9 @@ from .metrics import regression_metrics
 from .split import SEED, with_fold, with_split
 
 MIN_FEATURES = 3
+SPLIT_BINS = 256  # candidate values of a feature; a feature with fewer distinct values is split at any of them
+ROWS_PER_TASK = 200_000  # of training rows; decides their partitions
+LEAST_TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -34,24 +37,24 @@ class Learner:
 
 def gradient_boosting(
     trees: int = 300, rate: float = 0.05, depth: int = 4, subsample: float = 0.85,
-    columns: str = "all", name: str = "gbt", seed: int = SEED,
+    columns: str = "all", name: str = "gbt", seed: int = SEED, bins: int = SPLIT_BINS,
 ) -> Learner:
     def fit(train: DataFrame) -> Model:
         ensure_checkpoint_dir(train.sparkSession)  # boosting grows lineage; the estimator cuts it there
         return GBTRegressor(
             featuresCol="features", labelCol="label", maxIter=trees, stepSize=rate, maxDepth=depth,
-            subsamplingRate=subsample, featureSubsetStrategy=columns, checkpointInterval=10, seed=seed,
+            subsamplingRate=subsample, featureSubsetStrategy=columns, checkpointInterval=10, seed=seed, maxBins=bins,
         ).fit(train)
 
     return Learner(name, fit)
 
 
-def random_forest(trees: int = 200, depth: int = 6, seed: int = SEED) -> Learner:
+def random_forest(trees: int = 200, depth: int = 6, seed: int = SEED, bins: int = SPLIT_BINS) -> Learner:
     def fit(train: DataFrame) -> Model:
         ensure_checkpoint_dir(train.sparkSession)
         return RandomForestRegressor(
             featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-            featureSubsetStrategy="all", checkpointInterval=10, seed=seed,
+            featureSubsetStrategy="all", checkpointInterval=10, seed=seed, maxBins=bins,
         ).fit(train)
 
     return Learner("random_forest", fit)
@@ -83,16 +86,16 @@ def default_learners(trees: int = 300, forest_trees: int = 200) -> list[Learner]
 
 
 def _cached(df: DataFrame) -> DataFrame:
-    """Keep a frame for many fits, spread over all cores if its input came in fewer pieces than that."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep a frame with its column `_place` for many fits, spread by it.
+
+    Row sampling is drawn by partition and position, so both must come from the data alone: the number of
+    partitions from the number of rows, the place and order of a row from its content.  A model does not
+    depend on the number of cores then.  The kept rows are computed again where an executor is lost.
+    """
+    tasks = max(LEAST_TASKS, -(-df.count() // ROWS_PER_TASK))
+    kept = df.repartition(tasks, "_place").sortWithinPartitions("_place").drop("_place").persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if kept.rdd.getNumPartitions() >= cores:
-        return kept
-    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    kept.unpersist()
-    return spread
+    return kept
 
 
 def assembler(features: list[str]) -> VectorAssembler:
@@ -102,14 +105,15 @@ def assembler(features: list[str]) -> VectorAssembler:
 
 
 def model_frame(df: DataFrame, features: list[str], target: str, keep: list[str]) -> DataFrame:
-    """Usable rows as (keep..., features, label)."""
+    """Usable rows as (keep..., features, label), and `_place`, a hash of their content."""
     usable = drop_unusable(require_columns(df, [*features, target]), [*features, target])
     typed = usable.select(
         *keep, *[F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(features)],
         F.col(target).cast("double").alias("label"),
     )
     inputs = [f"_f{i}" for i in range(len(features))]
-    return assembler(inputs).transform(typed).select(*keep, "features", "label")
+    placed = typed.withColumn("_place", F.xxhash64(*inputs, "label", *keep))
+    return assembler(inputs).transform(placed).select(*keep, "features", "label", "_place")
 
 
 @dataclass

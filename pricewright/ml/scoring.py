@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions.bins import lookup
-from ..functions.numbers import Rounding, as_col, capped_score, round_half_up, round_nearest
+from ..functions.numbers import Rounding, as_col, capped_score, nan_to_null, round_half_up, round_nearest
 from ..functions.pricing import price_band
 from ..operators.encode import encode_fixed
 from ..operators.reshape import with_grid
@@ -35,7 +35,7 @@ def scenario_features(
     else:
         coded = scenarios.join(genre_codes, "genre", "left")
         coded = coded.withColumn("genre_encoded", F.coalesce("genre_encoded", F.lit(0)))
-    mau = F.col("mau_millions")
+    mau = nan_to_null("mau_millions")
     dau = mau * F.lit(fv.DAU_SHARE_IN_SCENARIOS)
     coded = coded.withColumn("_ratio", F.coalesce(F.try_divide(dau, F.when(mau > 0, mau)), F.lit(0.0)))
     points = capped_score(
@@ -63,11 +63,20 @@ def score(
     scenarios: DataFrame, model: PipelineModel, genre_codes: DataFrame | dict[str, int],
     rate: float = fv.IDR_PER_USD, floor: float | None = None,
 ) -> DataFrame:
-    """The scenarios with predicted price and price band; `floor` keeps a prediction above zero."""
+    """The scenarios with predicted price and price band; `floor` keeps a prediction above zero.
+
+    A scenario that lacks a number which the model needs is returned without prediction, and `not_scored` names
+    what it lacks; it is NULL for the others.
+    """
     features = scenario_features(scenarios, genre_codes, round_nearest)
+    needed = [c for stage in model.stages if stage.hasParam("inputCols") for c in stage.getInputCols()]
+    lacking = F.concat_ws(", ", *[F.when(F.col(c).isNull() | F.isnan(c), F.lit(c)) for c in needed])
+    marked = features.withColumn("not_scored", F.nullif(lacking, F.lit("")))
     band = price_band("prediction", rate, floor, round_nearest)
-    predicted = model.transform(features).withColumns(band)
-    return predicted.select(*scenarios.columns, "prediction", *band)
+    predicted = model.transform(marked.filter("not_scored is null"))
+    others = marked.filter("not_scored is not null").withColumn("prediction", F.lit(None).cast("double"))
+    kept = [*scenarios.columns, "prediction", "not_scored"]
+    return predicted.select(*kept).unionByName(others.select(*kept)).withColumns(band).select(*scenarios.columns, "prediction", *band, "not_scored")
 
 
 def tier_estimates(

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numbers import finite_or_null
+from ..functions.numbers import finite_or_null, nan_to_null
 from ..session import ensure_checkpoint_dir
 from .joins import measured_side
 from .ordering import exact_quantile, value_counts
@@ -40,23 +40,30 @@ def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def keep_positive(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows where every listed column is above zero; missing counts as invalid."""
-    return df.filter(reduce(lambda a, b: a & b, [F.col(c) > 0 for c in columns]))
+    """Rows where every listed column is above zero; NULL and NaN count as invalid."""
+    return df.filter(reduce(lambda a, b: a & b, [(F.col(c) > 0) & ~F.isnan(c) for c in columns]))
 
 
 def drop_unusable(df: DataFrame, columns: list[str]) -> DataFrame:
     """Infinities and NaN become NULL, then rows with a NULL in any listed column go."""
-    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
-    cleaned = df.withColumns({c: finite_or_null(c) for c in columns if c in floats})
+    cleaned = df.withColumns({c: finite_or_null(c) for c in columns if c in _floats(df)})
     return cleaned.dropna(subset=columns)
 
 
+def _floats(df: DataFrame) -> set[str]:
+    return {name for name, kind in df.dtypes if kind in ("double", "float")}
+
+
+def _missing(column: str, floating: bool) -> Column:
+    return F.col(column).isNull() | F.isnan(column) if floating else F.col(column).isNull()
+
+
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column_name, null_rows, total_rows) for every listed column, in one pass."""
-    names = columns or df.columns
+    """(column_name, null_rows, total_rows) for every listed column, in one pass; NaN counts as NULL."""
+    names, floats = columns or df.columns, _floats(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(names)],
+        *[F.count_if(_missing(c, c in floats)).alias(f"_n{i}") for i, c in enumerate(names)],
     )
     entries = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_rows")) for i, c in enumerate(names)]
@@ -65,14 +72,16 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def fill_null_median(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
-    """Fill NULLs with the median of the row's group, then with the overall median of the result.
+    """Fill NULLs and NaN with the median of the row's group, then with the overall median of the result.
 
     Listed columns the table lacks are skipped, and so is the group step when it lacks the key.  One
-    counting pass decides which columns have gaps at all; only those are filled, and become doubles.
+    counting pass decides which columns have gaps at all; the listed columns are doubles afterwards, with or
+    without gaps.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
+    df = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in present})
     gaps = df.agg(*[F.count_if(F.col(c).isNull()) for c in present]).first()
     out = df
     for column, nulls in zip(present, gaps):
@@ -82,21 +91,21 @@ def fill_null_median(df: DataFrame, columns: list[str], key: str | None = None)
 
 
 def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -> DataFrame:
-    value = F.col(column).cast("double")
+    value = F.col(column)
     if key is None:
         overall = exact_quantile(value_counts(source, [], column), [], name="_overall")
         return out.withColumn(column, F.coalesce(value, overall.scalar()))
 
-    # Both medians come from this one table, so it is written once.
+    # Everything that is needed comes from this one table, written once: how often each value occurs with each
+    # key, NULL being a value and a key here too.
     ensure_checkpoint_dir(source.sparkSession)
-    counts = value_counts(source, [key], column).checkpoint()
-    medians = measured_side(exact_quantile(counts, [key], name="_median").withColumnRenamed(key, "_key"))
-
-    gaps = source.filter(F.col(column).isNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    gaps = gaps.checkpoint()  # one row per key
+    every = source.groupBy(F.col(key).alias("_key"), value.alias("_v")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    known = every.filter("_key is not null and _v is not null")
+    medians = measured_side(exact_quantile(known, ["_key"], name="_median"))
+    gaps = every.filter("_v is null").select("_key", "_n")  # one row per key
     candidates = [value, F.col("_median")]
     if not gaps.join(medians.frame, "_key", "left_anti").isEmpty():
-        candidates.append(_overall_after(counts, gaps, medians.frame, source, column, key).scalar())
+        candidates.append(_overall_after(every, gaps, medians.frame).scalar())
 
     def fill(rows: DataFrame) -> DataFrame:
         joined = rows.join(medians.frame, rows[key] == F.col("_key"), "left").drop("_key")
@@ -105,16 +114,12 @@ def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -
     if medians.small:
         return fill(out)
     # too many groups to broadcast: shuffle only the rows that have a gap
-    whole = out.filter(F.col(column).isNotNull()).withColumn(column, value)
+    whole = out.filter(F.col(column).isNotNull())
     return whole.unionByName(fill(out.filter(F.col(column).isNull())))
 
 
-def _overall_after(
-    counts: DataFrame, gaps: DataFrame, medians: DataFrame, source: DataFrame, column: str, key: str
-) -> DataFrame:
+def _overall_after(every: DataFrame, gaps: DataFrame, medians: DataFrame) -> DataFrame:
     """Median of the group-filled column: the known values, and each group's median once per gap."""
     filled = gaps.join(medians, "_key").select(F.col("_median").alias("_v"), "_n")
-    keyless = value_counts(source.filter(F.col(key).isNull()), [], column)
-    after = counts.select("_v", "_n").unionByName(filled).unionByName(keyless)
-    after = after.groupBy("_v").agg(F.sum("_n").alias("_n")).checkpoint()
-    return exact_quantile(after, [], name="_overall")
+    after = every.filter("_v is not null").select("_v", "_n").unionByName(filled)
+    return exact_quantile(after.groupBy("_v").agg(F.sum("_n").alias("_n")).checkpoint(), [], name="_overall")

@@ -44,6 +44,17 @@ def enrich_if_absent(left: DataFrame, right: DataFrame, on: str, column: str) ->
     return left if column in left.columns else left.join(right.select(on, column), on, "left")
 
 
+def lookup_join(df: DataFrame, key: str, table: DataFrame, value: str, name: str, default: object = None) -> DataFrame:
+    """`df` with the `value` that `table` (key, value) has at its key, for tables too long to write into the plan.
+
+    The first value in order counts where a key is listed twice; NULL keys find nothing.
+    """
+    entries = table.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(value).alias("_value"))
+    found = F.col("_value") if default is None else F.coalesce("_value", F.lit(default))
+    kept = [df[c] for c in df.columns if c != name]
+    return df.join(measured_side(entries).frame, df[key] == F.col("_key"), "left").select(*kept, found.alias(name))
+
+
 def keep_in(df: DataFrame, column: str, values: list) -> DataFrame:
     """Rows whose value is one of a short list."""
     return df.filter(F.col(column).isin(list(values)))

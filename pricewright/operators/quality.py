@@ -33,14 +33,16 @@ def table_checksum(df: DataFrame, table: str, columns: list[str] | None = None)
 
 
 def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
-    """(table_name, row_count, status); -1 and UNREADABLE for a table that could not be opened."""
+    """(table_name, row_count, column_count, status); -1 and UNREADABLE for a table that could not be opened."""
     parts = []
     spark = next(df.sparkSession for df in tables.values() if df is not None)
     for name, df in tables.items():
         if df is None:
-            parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit(-1).cast("long").alias("row_count")))
+            line = spark.range(1).select(F.lit(-1).cast("long").alias("row_count"))
         else:
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
+            line = df.agg(F.count(F.lit(1)).alias("row_count"))
+        width = -1 if df is None else len(df.columns)
+        parts.append(line.select(F.lit(name).alias("table_name"), "row_count", F.lit(width).alias("column_count")))
     status = F.when(F.col("row_count") < 0, "UNREADABLE").when(F.col("row_count") == 0, "EMPTY").otherwise("OK")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

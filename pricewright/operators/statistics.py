@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import as_col
+from ..functions.numbers import as_col, finite_or_null, nan_to_null
 
 
 def pivot_mean(
@@ -15,7 +15,7 @@ def pivot_mean(
     One conditional aggregate per pivot value: a single hash aggregation with map-side combine.
     """
     def cell(v: object) -> Column:
-        mean = F.avg(F.when(F.col(column) == F.lit(v), as_col(measure)))
+        mean = F.avg(F.when(F.col(column) == F.lit(v), nan_to_null(as_col(measure).cast("double"))))
         return (mean if fill is None else F.coalesce(mean, F.lit(fill))).alias(str(v))
 
     rows = df.filter(F.col(index).isNotNull())
@@ -23,12 +23,12 @@ def pivot_mean(
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(a, b, r): Pearson correlation below the diagonal, over rows where both values are present.
+    """(a, b, r): Pearson correlation below the diagonal, over rows where both values are finite numbers.
 
     NULL where a column does not vary.  One pass over the table, one row per pair after it.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[finite_or_null(F.col(c).cast("double")).alias(c) for c in columns])
     # Pairs as rows before a map-side aggregation: the buffer stays three aggregates wide, which keeps
     # it in generated code, and each task hands on one row per pair.
     entries = F.array(
@@ -66,14 +66,18 @@ def histogram(df: DataFrame, value: Column | str, bins: int = 20) -> DataFrame:
 
 
 def group_mean(df: DataFrame, key: str, measure: Column | str, name: str) -> DataFrame:
-    """Mean per non-null key, smallest first."""
-    means = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.avg(as_col(measure)).alias(name))
+    """Mean per non-null key, smallest first; NaN is passed over like NULL."""
+    mean = F.avg(nan_to_null(as_col(measure).cast("double")))
+    means = df.filter(F.col(key).isNotNull()).groupBy(key).agg(mean.alias(name))
     return means.orderBy(name, key)
 
 
 def group_first(df: DataFrame, key: str, value: str, order: Column | str, name: str) -> DataFrame:
-    """First non-null value per key in `order`."""
-    rows = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    """First value per key in `order` that is neither NULL nor NaN."""
+    given = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("double", "float"):
+        given = given & ~F.isnan(value)
+    rows = df.filter(F.col(key).isNotNull() & given)
     return rows.groupBy(key).agg(F.min_by(F.col(value), as_col(order)).alias(name))
 
 

@@ -52,7 +52,7 @@ def load_table(df: DataFrame | None, table: str, paths: Paths, target: Target =
         stored = read_parquet(df.sparkSession, copy, table)
         target(stored.withColumn("loaded_at", F.current_timestamp()), table)
     except Exception as error:
-        return Loaded(table, 0, "", "FAILED", str(error)[:1000])
+        return Loaded(table, 0, "", "FAILED", str(error))
     return Loaded(table, seen.get["rows"], seen.get["checksum"], "SUCCESS")
 
 
@@ -81,13 +81,16 @@ def integrity(tables: dict[str, DataFrame]) -> DataFrame:
 def load_all(
     tables: dict[str, DataFrame], paths: Paths, target: Target = write_catalog
 ) -> tuple[list[Loaded], DataFrame, DataFrame]:
-    """Load every table; returns the results, the row counts and the integrity report."""
+    """Load every table; stores and returns the results, the row and column counts and the integrity report."""
     spark = next(iter(tables.values())).sparkSession
     results = [load_table(tables[name], name, paths, target) for name in TABLES if name in tables]
     append_audit(spark, results, paths.audit_log)
     stored = {r.table: read_parquet(spark, paths.warehouse(r.table), r.table) for r in results if r.status != "SKIPPED"}
     counts = table_counts({name: stored.get(name) for name in TABLES})
     checks = integrity(stored)
+    counts.coalesce(1).write.mode("overwrite").json(paths.report("table_counts"))  # a row per table
+    if checks is not None:
+        checks.coalesce(1).write.mode("overwrite").json(paths.report("integrity"))  # a row per rule
     summary = spark.createDataFrame(
         [(r.table, r.rows, r.status, sum(x.rows for x in results), paths.root) for r in results],
         "table_name string, rows_loaded bigint, status string, total_rows bigint, root string",

@@ -5,20 +5,24 @@ from __future__ import annotations
 import argparse
 import time
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..ml import models
 from ..ml.scoring import demo_scenarios, score
-from ..schemas import TABLE_KEYS
+from ..operators.cleaning import duplicate_report
+from ..operators.quality import rule_report
+from ..operators.statistics import share_totals
+from ..schemas import TABLE_KEYS, TOPUP_RECORD
 from ..session import build_session
 from ..sources.pages import extract_product_items
-from ..sources.raw import document_frame, embedded_document, key_list, read_raw, write_raw
-from ..sources.tables import Paths, all_built, path_exists, read_csv, read_csv_tables, write_csv, write_catalog
+from ..sources.raw import branch_records, document_frame, embedded_document, key_list, read_raw, write_raw
+from ..sources.tables import Paths, all_built, csv_rejects, path_exists, read_csv, read_csv_tables, write_csv, write_catalog
 from . import views
 from .load import Target, load_all
-from .star import build_tables, ml_features
+from .star import build_tables, ml_features, raw_tiers
 
 PHASES = ["extract", "transform", "load", "ml"]
 
@@ -33,7 +37,8 @@ def extract(spark: SparkSession, paths: Paths, documents: DataFrame | None = Non
 def transform(spark: SparkSession, paths: Paths, game_keys: list[str] | None = None, rate: float = fv.IDR_PER_USD) -> dict[str, DataFrame]:
     """Build and store the six tables, the rejects and the two heatmap frames."""
     keys = game_keys or fv.GAME_KEYS
-    tables, rejects = build_tables(read_raw(spark, paths.raw), keys, rate)
+    documents = read_raw(spark, paths.raw)
+    tables, rejects = build_tables(documents, keys, rate)
     for name, df in tables.items():
         if name != "ml_features":
             write_csv(df, paths.processed(name))
@@ -43,14 +48,39 @@ def transform(spark: SparkSession, paths: Paths, game_keys: list[str] | None = N
         stored["dim_game"], stored["fact_competition"], stored["dim_age"], key_list(spark, keys), rate
     )
     write_csv(features, paths.processed("ml_features"))
-    rejects.write.mode("overwrite").json(paths.report("rejects"))
+    misfits = reduce(DataFrame.unionByName, [csv_rejects(spark, paths.processed(n), n) for n in stored])
+    rejects.unionByName(misfits, allowMissingColumns=True).write.mode("overwrite").json(paths.report("rejects"))
     stored["ml_features"] = read_csv(spark, paths.processed("ml_features"), "ml_features")
+    quality_report(documents, stored, keys).coalesce(1).write.mode("overwrite").json(paths.report("quality"))
     star = views.Star.of(stored)
     write_csv(views.correlation(star), paths.report("feature_correlation"))
     write_csv(views.price_by_region(star), paths.report("price_by_region"))
     return stored
 
 
+def quality_report(documents: DataFrame, tables: dict[str, DataFrame], game_keys: list[str]) -> DataFrame:
+    """(rule, table_name, affected, total): what was dropped, filled, repeated or adds up wrongly, one pass per table.
+
+    Duplicates and invalid rows are counted on the raw tiers, before they are dropped; gaps and keys on the tables.
+    """
+    keys = key_list(documents.sparkSession, game_keys)
+    topup, _ = branch_records(documents, "topup", TOPUP_RECORD)
+    raw = raw_tiers(topup, keys)
+    repeated = duplicate_report(raw, ["game_key", "tier_label"]).select(
+        F.lit("duplicate key").alias("rule"), F.lit("raw tiers").alias("table_name"), F.col("rows_dropped").alias("affected"), F.col("rows_in").alias("total")
+    )
+    invalid = {n: ~F.coalesce((F.col(n) > 0) & ~F.isnan(n), F.lit(False)) for n in ("price", "total_currency")}
+    parts = [repeated, rule_report("raw tiers", raw, {f"{n} not positive": rule for n, rule in invalid.items()})]
+    for name, df in tables.items():
+        missing = {f"{c} missing": F.col(c).isNull() for c in df.columns}
+        parts.append(rule_report(name, df, missing).filter("affected > 0"))
+        doubled = duplicate_report(df, TABLE_KEYS[name])
+        parts.append(doubled.select(F.lit("duplicate key").alias("rule"), F.lit(name).alias("table_name"), F.col("rows_dropped").alias("affected"), F.col("rows_in").alias("total")))
+    if "dim_age" in tables:
+        parts.append(rule_report("dim_age", share_totals(tables["dim_age"], "game_key", "pct"), {"age shares off 95 to 105": ~F.col("ok")}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def load(spark: SparkSession, paths: Paths, target: Target = write_catalog):
     return load_all(read_csv_tables(spark, paths), paths, target)
 
@@ -69,12 +99,16 @@ def train(
     pipeline = models.as_pipeline(result.models[best], names)
     models.save_model(pipeline, paths.model)
     codes = data.select("genre", "genre_encoded").distinct()
-    codes.coalesce(1).write.mode("overwrite").parquet(f"{paths.model}_genre_codes")
+    codes.write.mode("overwrite").parquet(f"{paths.model}_genre_codes")
     weights = models.importance(data, pipeline, names)
     write_csv(weights.coalesce(1), paths.report("importance"))
     score(demo_scenarios(spark), pipeline, codes).coalesce(1).write.mode("overwrite").json(paths.report("demo_scores"))
+    top = [r["feature"] for r in weights.limit(5).collect()]
     verdict = views.model_verdict(result.scores).withColumns(
-        {"is_best": F.col("model") == best, "trained_at": F.current_timestamp()}
+        {
+            "is_best": F.col("model") == best, "trained_at": F.current_timestamp(),
+            "top_features": F.when(F.col("model") == best, F.array(*[F.lit(f) for f in top])),
+        }
     )
     verdict.coalesce(1).write.mode("overwrite").json(paths.report("model_scores"))
     return result
@@ -91,15 +125,20 @@ def ensure_built(spark: SparkSession, paths: Paths) -> bool:
 
 
 def run(
-    spark: SparkSession, paths: Paths, phase: str = "all", target: Target = write_catalog,
-    learners: list[models.Learner] | None = None,
+    spark: SparkSession, paths: Paths, phase: str = "all", target: Target | None = None,
+    learners: list[models.Learner] | None = None, pages: DataFrame | None = None, game_keys: list[str] | None = None,
+    rate: float = fv.IDR_PER_USD, folds: int = 5, test_pct: int = 20, documents: DataFrame | None = None,
 ) -> dict[str, float]:
-    """Run one phase, or all in order; returns the seconds of each."""
+    """Run one phase, or all in order; returns the seconds of each.
+
+    Target tables are catalog tables below the root, unless another target is given.
+    """
+    into = target or partial(write_catalog, root=paths.root)
     steps: dict[str, Callable[[], object]] = {
-        "extract": lambda: extract(spark, paths),
-        "transform": lambda: transform(spark, paths),
-        "load": lambda: load(spark, paths, target),
-        "ml": lambda: train(spark, paths, learners),
+        "extract": lambda: extract(spark, paths, documents, pages),
+        "transform": lambda: transform(spark, paths, game_keys, rate),
+        "load": lambda: load(spark, paths, into),
+        "ml": lambda: train(spark, paths, learners, folds=folds, test_pct=test_pct),
     }
     if phase != "all" and phase not in steps:
         raise ValueError(f"unknown phase {phase}")
@@ -117,7 +156,23 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Price analytics run")
     parser.add_argument("--root", required=True, help="folder for all inputs and outputs, reachable by every executor")
     parser.add_argument("--phase", choices=[*PHASES, "all"], default="all")
+    parser.add_argument("--pages", help="Parquet folder of stored pages (column html) to take items from")
+    parser.add_argument("--keys", help="comma-separated game keys, in order; the built-in list by default")
+    parser.add_argument("--rate", type=float, default=fv.IDR_PER_USD, help="rupiah per dollar")
+    parser.add_argument("--database", help="database of the target tables")
+    parser.add_argument("--folds", type=int, default=5)
+    parser.add_argument("--test-pct", type=int, default=20, help="share of rows held out for testing")
+    parser.add_argument("--trees", type=int, default=300, help="trees of the boosted models; forests have two thirds")
     parsed = parser.parse_args(arguments)
     spark = build_session("pricewright")
-    for name, seconds in run(spark, Paths(parsed.root), parsed.phase).items():
+    paths = Paths(parsed.root)
+    taken = run(
+        spark, paths, parsed.phase,
+        target=partial(write_catalog, database=parsed.database, root=paths.root),
+        learners=models.default_learners(parsed.trees, max(1, parsed.trees * 2 // 3)),
+        pages=spark.read.parquet(parsed.pages) if parsed.pages else None,
+        game_keys=parsed.keys.split(",") if parsed.keys else None,
+        rate=parsed.rate, folds=parsed.folds, test_pct=parsed.test_pct,
+    )
+    for name, seconds in taken.items():
         print(f"{name}: {seconds:.2f} s")

@@ -25,7 +25,7 @@ from ..operators.joins import enrich
 from ..operators.reshape import explode_list, explode_map, field_by_key, join_text, unnest_series, with_grid
 from ..operators.statistics import group_first
 from ..schemas import ESPORTS_RECORD, STATS_RECORD, TOPUP_RECORD, conform
-from ..sources.raw import branch_records, configured_only, key_list
+from ..sources.raw import DOCUMENT_ORDER, branch_records, configured_only, key_list, unreadable_documents
 
 REGION_CODES = {region: code for region, _, _, code in fv.REGIONS}
 SEGMENT_CODES = {segment: code for segment, _, _, code in fv.SEGMENTS}
@@ -35,17 +35,18 @@ def _or(column: str, default: object) -> Column:
     return F.coalesce(F.col(column), F.lit(default))
 
 
-def fact_pricing(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD) -> DataFrame:
-    """One row per purchasable tier of a configured game."""
+def raw_tiers(topup: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every tier of a configured game with its amounts and price, valid or not."""
     tiers = explode_list(configured_only(topup, keys), "tiers", "tier", "tier_no")
     currency = bins.lookup("game_key", fv.CURRENCY_FIELD, "amount")
     discount = (_or("third_party_discount_pct_min", 0) + _or("third_party_discount_pct_max", 0)) / F.lit(2.0)
     amount = field_by_key("tier", currency, fv.DEFAULT_CURRENCY_FIELD, "0").try_cast("double")
     bonus = _tier_number("bonus")
-    tiers = tiers.select(
+    return tiers.select(
         "game_key",
         "game",
         "ordinal",
+        DOCUMENT_ORDER,
         "tier_no",
         _or("publisher", "").alias("publisher"),
         _or("currency", "").alias("currency_type"),
@@ -56,11 +57,16 @@ def fact_pricing(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD
         _tier_number("price_usd").alias("price"),
         discount.alias("discount_avg_pct"),
     )
+
+
+def fact_pricing(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD) -> DataFrame:
+    """One row per purchasable tier of a configured game."""
+    tiers = raw_tiers(topup, keys)
     priced = keep_positive(tiers, ["price", "total_currency"])
     priced = priced.withColumns(tier_prices("price", "total_currency", "discount_avg_pct", rate, round_nearest))
     priced = priced.withColumn("spend_tier", bins.spend_tier("price"))
     priced = priced.withColumn("price_elasticity", bins.elasticity("spend_tier"))
-    unique = keep_first(priced, ["game_key", "tier_label"], ["ordinal", "tier_no"])
+    unique = keep_first(priced, ["game_key", "tier_label"], [DOCUMENT_ORDER, "tier_no"])
     filled = fill_null_median(unique, ["price_official_usd", "value_score"], "game_key")
     return conform(keep_positive(filled, ["price_official_usd"]), "fact_pricing")
 
@@ -86,7 +92,7 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
     known = known.withColumn("dau_to_mau_ratio", safe_ratio("dau", "mau", 3, round_nearest))
     known = known.select(
         "game_key",
-        "ordinal",
+        DOCUMENT_ORDER,
         "game",
         _or("publisher", "Unknown").alias("publisher"),
         _or("genre", "Unknown").alias("genre"),
@@ -109,7 +115,7 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
         _or("age_median", 25).alias("age_median"),
         join_text("top_countries").alias("top_countries"),
     )
-    unique = keep_first(known, ["game_key"], ["ordinal"])
+    unique = keep_first(known, ["game_key"], [DOCUMENT_ORDER])
     return conform(fill_null_median(unique, ["mau_millions", "dau_millions", "arpdau_usd"], "game_key"), "dim_game")
 
 
@@ -126,7 +132,7 @@ def dim_age(stats: DataFrame, keys: DataFrame) -> DataFrame:
     """One row per game and age band."""
     bands = configured_only(stats, keys).select(
         "game_key",
-        "ordinal",
+        DOCUMENT_ORDER,
         F.coalesce("game", "game_key").alias("game"),
         _or("age_median", 25).alias("game_median_age"),
         "age_distribution",
@@ -138,7 +144,7 @@ def dim_age(stats: DataFrame, keys: DataFrame) -> DataFrame:
             "source_url": bins.lookup("game_key", fv.AGE_SOURCE_URL, ""),
         }
     )
-    return conform(keep_first(bands, ["game_key", "age_band"], ["ordinal"]), "dim_age")
+    return conform(keep_first(bands, ["game_key", "age_band"], [DOCUMENT_ORDER]), "dim_age")
 
 
 def fact_competition(esports: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame:
@@ -146,7 +152,7 @@ def fact_competition(esports: DataFrame, rejects: DataFrame, keys: DataFrame) ->
     known = _without_failed(configured_only(esports, keys, keep_absent=True), rejects)
     known = known.select(
         "game_key",
-        "ordinal",
+        DOCUMENT_ORDER,
         _or("competition_score", 50).alias("competition_score"),
         _or("prize_pool_2025_usd", 0).alias("prize_pool_2025_usd"),
         _or("tournaments_total", 0).alias("tournaments_total"),
@@ -160,16 +166,17 @@ def fact_competition(esports: DataFrame, rejects: DataFrame, keys: DataFrame) ->
             "peak_viewers_log": log_scale("peak_viewers"),
         }
     )
-    return conform(keep_first(known, ["game_key"], ["ordinal"]), "fact_competition")
+    return conform(keep_first(known, ["game_key"], [DOCUMENT_ORDER]), "fact_competition")
 
 
 def monthly_series(spark: SparkSession) -> DataFrame:
-    """(game_key, series): the embedded monthly revenue, year -> values."""
-    return spark.createDataFrame(list(fv.MONTHLY_REVENUE_MILLIONS.items()), "game_key string, series map<int,array<double>>")
+    """(game_key, ordinal, series): the embedded monthly revenue, year -> values."""
+    entries = [(key, i, series) for i, (key, series) in enumerate(fv.MONTHLY_REVENUE_MILLIONS.items())]
+    return spark.createDataFrame(entries, "game_key string, ordinal int, series map<int,array<double>>")
 
 
 def fact_revenue_monthly(series: DataFrame, rate: float = fv.IDR_PER_USD) -> DataFrame:
-    """One row per game and month."""
+    """One row per game and month; of a game's several series the first by `ordinal` counts."""
     months = unnest_series(series, "series", value="revenue_usd_millions")
     dollars = F.col("revenue_usd_millions") * 1_000_000
     months = months.withColumns(
@@ -180,7 +187,7 @@ def fact_revenue_monthly(series: DataFrame, rate: float = fv.IDR_PER_USD) -> Dat
             "seasonal_multiplier": bins.seasonal_multiplier("month_num"),
         }
     )
-    unique = keep_first(months, ["game_key", "year", "month_num"], ["revenue_usd_millions"])
+    unique = keep_first(months, ["game_key", "year", "month_num"], ["ordinal"])
     return conform(unique, "fact_revenue_monthly")
 
 
@@ -208,7 +215,8 @@ def ml_features(
         }
     )
     grid = grid.withColumn("optimal_price_per_100_idr", convert_currency("optimal_price_per_100_usd", rate))
-    return conform(keep_first(grid, ["game_key", "region", "spending_segment"], ["ordinal"]), "ml_features")
+    # games, regions and segments each occur once, and so do their combinations
+    return conform(grid, "ml_features")
 
 
 def build_tables(
@@ -232,5 +240,5 @@ def build_tables(
         "fact_revenue_monthly": fact_revenue_monthly(monthly_series(spark), rate),
         "ml_features": ml_features(games, competition, ages, keys, rate),
     }
-    rejects = bad_topup.unionByName(bad_stats).unionByName(bad_esports)
+    rejects = bad_topup.unionByName(bad_stats).unionByName(bad_esports).unionByName(unreadable_documents(documents))
     return tables, rejects

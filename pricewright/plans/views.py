@@ -100,7 +100,16 @@ def elasticity_per_tier(star: Star) -> DataFrame:
     return star.pricing.select("spend_tier", "price_elasticity").distinct().orderBy("price_elasticity")
 
 
-def age_distribution(star: Star, bands: list[str] = ["13-17", "18-24", "25-34", "35+"]) -> DataFrame:
+MAX_BANDS = 200
+
+
+def age_distribution(star: Star, bands: list[str] | None = None) -> DataFrame:
+    """Shares per game, a column for each age band; all bands of the data unless some are chosen."""
+    if bands is None:
+        found = star.age.select("age_band").filter("age_band is not null").distinct().limit(MAX_BANDS + 1).collect()
+        if len(found) > MAX_BANDS:
+            raise ValueError(f"more than {MAX_BANDS} age bands: choose some")
+        bands = sorted(r.age_band for r in found)
     return _short(pivot_mean(star.age, "game_key", "age_band", bands, "pct", fill=0.0))
 
 

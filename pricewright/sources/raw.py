@@ -11,6 +11,10 @@ from ..operators.quality import split_rejects
 from ..schemas import RAW_DOCUMENT, fields
 
 
+UNREADABLE = "_corrupt_record"
+DOCUMENT_ORDER = "_document"
+
+
 def embedded_document() -> dict:
     """The embedded snapshot in the shape of a raw document."""
     topup = {}
@@ -61,7 +65,7 @@ def write_raw(documents: DataFrame, path: str) -> None:
     """Raw documents as JSON text, one per line, branch entries as nested objects again."""
     # every entry value already is JSON text, so an object is its quoted keys and values put together
     parts = []
-    for field in documents.columns:
+    for field in (f.name for f in fields(RAW_DOCUMENT) if f.name in documents.columns):
         entries = F.transform(
             F.map_entries(field),
             lambda e: F.concat(
@@ -75,17 +79,34 @@ def write_raw(documents: DataFrame, path: str) -> None:
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Raw documents from a file or folder: one per line, or one per file when `multi_line`."""
-    return spark.read.schema(RAW_DOCUMENT).option("multiLine", multi_line).json(path)
+    """Raw documents from a file or folder: one per line, or one per file when `multi_line`.
+
+    What cannot be parsed is kept in `_corrupt_record`; `_document` orders the documents by file and place.
+    """
+    reader = spark.read.schema(f"{RAW_DOCUMENT}, {UNREADABLE} string").option("multiLine", multi_line)
+    parsed = reader.option("columnNameOfCorruptRecord", UNREADABLE).json(path)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return parsed.select("*", place.alias(DOCUMENT_ORDER))
+
+
+def unreadable_documents(documents: DataFrame) -> DataFrame:
+    """(game_key, payload, reject_reason) of documents that could not be parsed; they belong to no game."""
+    if UNREADABLE not in documents.columns:
+        return documents.sparkSession.createDataFrame([], "game_key string, payload string, reject_reason string")
+    # a branch is named because Spark does not read the unparsed text alone
+    broken = documents.filter(F.col(UNREADABLE).isNotNull() & (F.coalesce(F.size("topup"), F.lit(0)) >= 0))
+    return broken.select(F.lit(None).cast("string").alias("game_key"), F.col(UNREADABLE).alias("payload"), F.lit("unreadable").alias("reject_reason"))
 
 
 def branch_records(documents: DataFrame, branch: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of one branch, one row per key with the fields of `schema`.
 
     Keys that start with an underscore describe the run and are no records; an `_error` entry in their
-    place means the whole branch failed and is reported as a reject.
+    place means the whole branch failed and is reported as a reject.  `_document` carries the order of the
+    documents on, so that the first of several records is defined.
     """
-    entries = documents.select(F.explode(branch).alias("game_key", "payload"))
+    order = F.col(DOCUMENT_ORDER) if DOCUMENT_ORDER in documents.columns else F.lit(0)
+    entries = documents.select(order.alias(DOCUMENT_ORDER), F.explode(branch).alias("game_key", "payload"))
     failed_branch = F.col("game_key") == "_error"
     entries = entries.filter(~F.col("game_key").startswith("_") | failed_branch)
     parsed = entries.withColumn("record", F.from_json("payload", schema))
@@ -94,7 +115,7 @@ def branch_records(documents: DataFrame, branch: str, schema: str) -> tuple[Data
     usable = F.when(~F.coalesce(F.trim("payload"), F.lit("")).isin("", "null", "{}"), F.col("record"))
     good, rejects = split_rejects(parsed, error, usable)
     kept = [f"record.{name}" for name in fields(schema).fieldNames() if name != "_error"]
-    return good.select("game_key", *kept), rejects.select("game_key", "payload", "reject_reason")
+    return good.select("game_key", DOCUMENT_ORDER, *kept), rejects.select("game_key", "payload", "reject_reason")
 
 
 def key_list(spark: SparkSession, keys: list[str]) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import TABLES, conform
+from ..schemas import TABLES, conform, fields
 
 
 @dataclass(frozen=True)
@@ -49,9 +50,27 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, table: str, strict: bool = False) -> DataFrame:
-    """A CSV table in its schema; `strict` fails on the first row that does not fit."""
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    return spark.read.schema(TABLES[table]).option("header", True).option("mode", mode).csv(path)
+    """A CSV table in its schema; `strict` fails on the first row that does not fit, else such rows are left out.
+
+    `csv_rejects` has the rows that were left out.
+    """
+    if strict:
+        return spark.read.schema(TABLES[table]).option("header", True).option("mode", "FAILFAST").csv(path)
+    return _csv_with_misfits(spark, path, table).filter("_corrupt_record is null").drop("_corrupt_record")
+
+
+def csv_rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(table_name, payload, reject_reason): the rows of a CSV table that do not fit its schema."""
+    misfits = _csv_with_misfits(spark, path, table).filter("_corrupt_record is not null")
+    return misfits.select(F.lit(table).alias("table_name"), F.col("_corrupt_record").alias("payload"), F.lit("unreadable").alias("reject_reason"))
+
+
+def _csv_with_misfits(spark: SparkSession, path: str, table: str) -> DataFrame:
+    schema = StructType([*fields(TABLES[table]).fields, StructField("_corrupt_record", StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+    # always true; it names the other columns, because Spark does not read the unparsed text alone
+    return rows.filter(F.pmod(F.xxhash64(*rows.columns[:-1]), F.lit(2)) >= 0)
 
 
 def read_csv_tables(spark: SparkSession, paths: Paths, tables: list[str] | None = None) -> dict[str, DataFrame]:
@@ -72,9 +91,13 @@ def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
     return conform(spark.read.parquet(path), table)
 
 
-def write_catalog(df: DataFrame, table: str, database: str | None = None) -> None:
-    """Replace a catalog table."""
-    df.write.mode("overwrite").saveAsTable(f"{database}.{table}" if database else table)
+def write_catalog(df: DataFrame, table: str, database: str | None = None, root: str | None = None) -> None:
+    """Replace a catalog table; with `root`, its files lie below that folder instead of the session's warehouse."""
+    name = f"{database}.{table}" if database else table
+    writer = df.write.mode("overwrite")
+    if root is not None:
+        writer = writer.option("path", f"{root}/catalog/{table}")
+    writer.saveAsTable(name)
 
 
 def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str]) -> None:

@@ -121,9 +121,10 @@ def test_fill_of_a_column_without_any_value(spark):
     assert rows(cleaning.fill_null_median(df, ["v"], "k"), "v") == [(None,), (None,)]
 
 
-def test_fill_without_gaps_changes_nothing(spark):
-    df = spark.createDataFrame([("a", 1)], "k string, v int")
-    assert cleaning.fill_null_median(df, ["v"], "k").dtypes == df.dtypes
+@pytest.mark.parametrize("last", [2, None])
+def test_fill_gives_doubles_with_and_without_gaps(spark, last):
+    df = spark.createDataFrame([("a", 1), ("a", last)], "k string, v int")
+    assert cleaning.fill_null_median(df, ["v"], "k").dtypes == [("k", "string"), ("v", "double")]
 
 
 # -- joins ------------------------------------------------------------------------------------

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from pricewright import fixed_values as fv
 from pricewright.ml import models
 from pricewright.operators.quality import table_checksum
 from pricewright.plans import load, run
 from pricewright.schemas import TABLES
 from pricewright.session import ensure_checkpoint_dir
+from pricewright.sources.raw import embedded_document
 from pricewright.sources.tables import Paths, read_csv_tables
 
 
@@ -104,6 +108,30 @@ def test_extract_stores_page_items(spark, tmp_path):
     assert spark.read.parquet(f"{paths.root}/raw/page_items").count() == 1
 
 
+def test_a_broken_input_shows_in_the_stored_reports(spark, tmp_path):
+    document = embedded_document()
+    key = fv.GAME_KEYS[0]
+    tiers = document["topup"][key]["tiers"]
+    document["topup"][key]["tiers"] = [*tiers, tiers[0], {**tiers[1], "label": "free", "price_usd": 0}]
+    document["stats"][key]["age_distribution"] = {"13-17": 50}
+    paths = Paths(str(tmp_path / "root"))
+    folder = tmp_path / "root" / "raw" / "master_raw"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text(json.dumps(document) + "\n{broken\n", encoding="utf-8")
+    spark.sql("CREATE DATABASE IF NOT EXISTS broken_run")
+    for phase in ("transform", "load"):
+        run.run(spark, paths, phase, target=lambda df, name: df.write.mode("overwrite").saveAsTable(f"broken_run.{name}"))
+    quality = {(r.rule, r.table_name): r.affected for r in spark.read.json(paths.report("quality")).collect()}
+    assert quality["duplicate key", "raw tiers"] == 1
+    assert quality["price not positive", "raw tiers"] == 1
+    assert quality["age shares off 95 to 105", "dim_age"] == 1
+    assert quality["duplicate key", "fact_pricing"] == 0
+    assert spark.read.json(paths.report("rejects")).filter("reject_reason = 'unreadable'").count() == 1
+    counts = {r.table_name: (r.row_count, r.column_count) for r in spark.read.json(paths.report("table_counts")).collect()}
+    assert counts["dim_game"] == (6, 22) and counts["fact_pricing"] == (51, 19)
+    assert spark.read.json(paths.report("integrity")).agg(F.sum("affected")).first()[0] == 0
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = ensure_checkpoint_dir(spark)

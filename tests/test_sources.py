@@ -93,7 +93,7 @@ def test_source_registry(spark):
 
 
 def test_csv_round_trip_and_missing_tables(spark, tmp_path, tables=None):
-    from pricewright.sources.tables import Paths, read_csv, read_csv_tables, write_csv
+    from pricewright.sources.tables import Paths, csv_rejects, read_csv, read_csv_tables, write_csv
 
     paths = Paths(str(tmp_path))
     data = star.fact_revenue_monthly(star.monthly_series(spark))
@@ -105,7 +105,8 @@ def test_csv_round_trip_and_missing_tables(spark, tmp_path, tables=None):
     (tmp_path / "processed" / "dim_age" / "part.csv").write_text("game_key,game,age_band,pct,game_median_age,age_price_sensitivity,source_url\na,A,x,notanumber,1,low,u\n")
     with pytest.raises(Exception):
         read_csv(spark, paths.processed("dim_age"), "dim_age", strict=True).collect()
-    assert read_csv(spark, paths.processed("dim_age"), "dim_age").first()["pct"] is None
+    assert read_csv(spark, paths.processed("dim_age"), "dim_age").count() == 0
+    assert csv_rejects(spark, paths.processed("dim_age"), "dim_age").count() == 1
 
 
 def test_tables_are_read_from_the_first_source_that_has_them(spark, tmp_path):

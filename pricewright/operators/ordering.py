@@ -1,32 +1,29 @@
 """Exact order statistics without bringing a group into one task.
 
-Both operators cut the value range into many small ranges at approximate percentiles.  The cut points
-only decide how even the ranges are; positions come from exact counts per range, and rows are sorted
-within one range at a time, so the result is exact whatever the cut points are.
+Rows are cut into ranges of the order by Spark's range partitioning, as many as it takes to keep a range to about
+`ROWS_PER_RANGE` rows.  Where the cuts lie only decides how even the ranges are; positions come from exact counts
+per range, and rows are sorted within one range at a time, so the result is exact wherever they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 64
-ACCURACY = 10_000
+from ..session import ensure_checkpoint_dir
 
+ROWS_PER_RANGE = 200_000
 
-def _cut_points(value: str) -> Column:
-    shares = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    return F.expr(f"percentile_approx({value}, array({shares}), {ACCURACY})")
 
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """`df` with `_range`: rows of a lower range come before rows of a higher one in `order`.
 
-def _range_of(value: str, cuts: str) -> Column:
-    """Number of cut points below the value: a balanced tree of comparisons, all in generated code."""
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return f"IF({cuts}[{middle}] < {value}, {search(middle + 1, high)}, {search(low, middle)})"
-
-    return F.expr(search(0, RANGES - 1))
+    The numbered ranges are checkpointed, so that a recomputed task cannot deal a row to another range.
+    """
+    ranges = max(1, -(-df.count() // ROWS_PER_RANGE))
+    if ranges == 1:
+        return df.withColumn("_range", F.lit(0))
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -41,14 +38,12 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name: str = "quantile") -> DataFrame:
     """Interpolated quantile per key of a `value_counts` table; one row when `keys` is empty.
 
-    The cut points are shared by all keys: a key that holds much of the table also shapes them, so its
-    values are spread over many ranges, and for a small key it does not matter where they lie.
+    Ranges are cut by key and value: a key that holds much of the table is spread over many of them, and many
+    small keys share one.
     """
-    cuts = counts.agg(_cut_points("_v"))
-    spread = counts.withColumn("_cuts", cuts.scalar())
-    spread = spread.select(*keys, "_v", "_n", _range_of("_v", "_cuts").alias("_range"))
+    spread = _ranged(counts.select(*keys, "_v", "_n"), [*keys, "_v"])
 
-    # at most RANGES rows per key from here to `wanted`
+    # as many rows as ranges and keys from here to `wanted`
     sizes = spread.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
     group = Window.partitionBy(*keys)
     before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,11 +71,10 @@ def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name:
 
 def positions(df: DataFrame, value: str, tie_break: list[str], name: str = "position") -> DataFrame:
     """Zero-based position of every row in the order (value, tie_break); `value` must not be null."""
-    cuts = df.agg(_cut_points(value))
-    spread = df.withColumn("_cuts", cuts.scalar()).withColumn("_range", _range_of(value, "_cuts")).drop("_cuts")
+    spread = _ranged(df, [value, *tie_break])
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     within = Window.partitionBy("_range").orderBy(value, *tie_break)
-    ranked = spread.join(F.broadcast(starts), "_range")  # at most RANGES rows
+    ranked = spread.join(starts, "_range")
     return ranked.withColumn(name, F.col("_start") + F.row_number().over(within) - 1).drop("_range", "_start")

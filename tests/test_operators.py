@@ -292,7 +292,7 @@ def test_checksum_ignores_order_and_sees_changes(spark):
 
 def test_table_counts(spark):
     got = rows(quality.table_counts({"x": spark.range(3), "y": spark.range(0), "z": None}))
-    assert got == [("x", 3, "OK"), ("y", 0, "EMPTY"), ("z", -1, "UNREADABLE")]
+    assert got == [("x", 3, 1, "OK"), ("y", 0, 1, "EMPTY"), ("z", -1, -1, "UNREADABLE")]
 
 
 def test_rule_report(spark):

@@ -49,12 +49,14 @@ def gradient_boosting(
     return Learner(name, fit)
 
 
-def random_forest(trees: int = 200, depth: int = 6, seed: int = SEED, bins: int = SPLIT_BINS) -> Learner:
+def random_forest(
+    trees: int = 200, depth: int = 6, seed: int = SEED, bins: int = SPLIT_BINS, bootstrap: bool = True
+) -> Learner:
     def fit(train: DataFrame) -> Model:
         ensure_checkpoint_dir(train.sparkSession)
         return RandomForestRegressor(
             featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-            featureSubsetStrategy="all", checkpointInterval=10, seed=seed, maxBins=bins,
+            featureSubsetStrategy="all", checkpointInterval=10, seed=seed, maxBins=bins, bootstrap=bootstrap,
         ).fit(train)
 
     return Learner("random_forest", fit)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import fixed_values as fv
 from ..functions.numbers import round_half_up
 from ..ml.metrics import regression_metrics, residual_histogram
-from ..ml.models import compare, fit_one, gradient_boosting, importance, random_forest, ridge
+from ..ml.models import as_pipeline, compare, default_learners, fit_one, gradient_boosting, importance, random_forest, ridge
 from ..ml.scoring import scenario_features
 from ..ml.split import SEED, with_fold, with_split
 from .registry import query, sql_lookup, sql_round, table
@@ -170,9 +170,32 @@ def q_gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
     return importance(rows, model, MODEL_FEATURES)
 
 
+_TREE_SQL = f"""
+WITH d AS (SELECT l_quantity AS quantity, l_discount * 100e0 AS discount, CAST(l_linenumber AS DOUBLE) AS line,
+                  l_quantity * (1e0 - l_discount) + l_extendedprice / 1e4 AS y FROM lineitem),
+v AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, {f} AS value, count(*) AS n, sum(y) AS s FROM d GROUP BY {f}" for f in MODEL_FEATURES)}),
+c AS (SELECT feature, sum(n) OVER upto AS nl, sum(s) OVER upto AS sl, sum(n) OVER every AS nn, sum(s) OVER every AS ss FROM v
+      WINDOW upto AS (PARTITION BY feature ORDER BY value), every AS (PARTITION BY feature)),
+best AS (SELECT * FROM c WHERE nl < nn ORDER BY sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) DESC LIMIT 1)
+SELECT feature, {sql_round('sl / nl', 4)} AS prediction, CAST(nl AS BIGINT) AS "rows" FROM best
+UNION ALL SELECT feature, {sql_round('(ss - sl) / (nn - nl)', 4)}, CAST(nn - nl AS BIGINT) FROM best
+"""
+
+
+@query(_TREE_SQL)
+def q_exact_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """One tree of one split over all rows and all values of the features: the split that explains most."""
+    rows = _model_rows(spark, sf)
+    model = fit_one(rows, random_forest(trees=1, depth=1, bootstrap=False), MODEL_FEATURES, "target")
+    best = importance(rows, model, MODEL_FEATURES).first()["feature"]
+    predicted = as_pipeline(model, MODEL_FEATURES).transform(rows)
+    leaves = predicted.groupBy(round_half_up("prediction", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("rows"))
+    return leaves.select(F.lit(best).alias("feature"), "prediction", "rows")
+
+
 @query()
 def q_model_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """Three learners by test score and 3-fold cross-validation; small models, the sizes are arguments."""
-    learners = [gradient_boosting(trees=2, depth=3), random_forest(trees=3, depth=4), ridge()]
-    result = compare(_model_rows(spark, sf), _LINE_KEYS, learners, MODEL_FEATURES, "target", folds=3, parallelism=4)
+    """The four learners by test score and 5-fold cross-validation; the number of trees is an argument."""
+    learners = default_learners(trees=5, forest_trees=5)
+    result = compare(_model_rows(spark, sf), _LINE_KEYS, learners, MODEL_FEATURES, "target", folds=5, parallelism=4)
     return result.scores.orderBy("ordinal")

@@ -144,3 +144,26 @@ def test_fewer_features(tables):
     chosen = ["arpdau_usd", "segment_spend_mult", "region_price_index"]
     result = models.compare(tables["ml_features"], KEYS, [models.ridge(10.0)], chosen, folds=3, test_pct=30)
     assert len(result.models["ridge"].coefficients) == 3
+
+
+def test_a_model_does_not_depend_on_the_partitions(tables):
+    data = tables["ml_features"]
+    learner = models.gradient_boosting(trees=4, depth=2)
+    one, other = (models.fit_one(data.repartition(n), learner) for n in (1, 7))
+    assert list(one.featureImportances) == list(other.featureImportances)
+
+
+def test_default_learners_are_four(tables):
+    found = models.compare(tables["ml_features"], KEYS, models.default_learners(trees=2, forest_trees=2), folds=3)
+    assert sorted(r.model for r in found.scores.collect()) == sorted(["gbt", "gbt_colsample", "random_forest", "ridge"])
+
+
+def test_scenarios_that_lack_a_number_come_back_unscored(spark, tables):
+    fitted = models.fit_one(tables["ml_features"], models.ridge())
+    pipeline = models.as_pipeline(fitted, fv.FEATURES)
+    given = [("MOBA", 50.0, 80.0, 0.1, 25.0, "SEA", "dolphin"), ("MOBA", None, 80.0, float("nan"), 25.0, "SEA", "dolphin")]
+    got = scoring.score(spark.createDataFrame(given, scoring.SCENARIO), pipeline, CODES).collect()
+    done, undone = sorted(got, key=lambda r: r.not_scored is not None)
+    assert done.prediction is not None and done.not_scored is None
+    assert undone.prediction is None and set(undone.not_scored.split(", ")) == {"competition_score", "arpdau_usd"}
+    assert undone.predicted_price_per_100_usd is None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 Sliced = Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]
 
@@ -54,10 +55,27 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     yield batch.slice(start)
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept_for(owner: str) -> dict:
+    """What a worker process keeps between the tasks of one operator."""
+    return _KEPT.setdefault(owner, {})
+
+
+def drop_others(owner: str) -> None:
+    """Free what other operators kept in this worker process: workers outlive the stages of a pipeline."""
+    for other in [o for o in _KEPT if o != owner]:
+        del _KEPT[other]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text") -> DataFrame:
     """`mapInArrow` over batches whose text is bounded in size; `work` turns one batch into result batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(work.__module__)
         for batch in batches:
             for part in slices(batch, column):
                 if part.num_rows:

@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_texts
+from .common import kept_for, map_texts
 
 MARK = "▁"
-CACHED_CHUNKS = 800_000  # chunks whose tokens a worker remembers; beyond it the memory is emptied and filled anew
+CACHED_CHUNKS = 400_000  # chunks whose tokens a worker remembers; beyond it the memory is emptied and filled anew
 GROUP = 200  # chunks encoded as one string
 ROWS_DECODED = 256
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -242,13 +242,11 @@ def _chunks(text: str | None) -> list[str]:
     return (MARK + text.replace(" ", f" {MARK}")).split(" ")
 
 
-_CODECS: dict[tuple[str, int], Codec] = {}
-
-
 def codec(path: str, threads: int) -> Codec:
-    if (path, threads) not in _CODECS:
-        _CODECS[path, threads] = Codec(path, threads)
-    return _CODECS[path, threads]
+    kept = kept_for(__name__)
+    if (path, threads) not in kept:
+        kept[path, threads] = Codec(path, threads)
+    return kept[path, threads]
 
 
 def _id_lists(coded: list[Encoded]) -> pa.ListArray:

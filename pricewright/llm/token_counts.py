@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_texts, text_bytes
+from .common import kept_for, map_texts, text_bytes
 
 CACHED_PIECES = 400_000  # pieces whose count a worker remembers; beyond it the memory is emptied and filled anew
 NO_RANK = np.iinfo(np.int32).max
@@ -213,11 +213,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048, id_column:
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-_MERGERS: dict[str, PairMerger] = {}
-
-
 def _merger(path: str) -> PairMerger:
     """One table and one memory of pieces per worker process."""
-    if path not in _MERGERS:
-        _MERGERS[path] = PairMerger(path)
-    return _MERGERS[path]
+    kept = kept_for(__name__)
+    if path not in kept:
+        kept[path] = PairMerger(path)
+    return kept[path]

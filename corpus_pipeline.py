@@ -13,7 +13,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm.common import documents, stored
+from pricewright.llm.common import documents, importable_in_workers, stored
 from pricewright.llm.decontamination import clean_documents
 from pricewright.llm.language_id import known_languages
 from pricewright.llm.secret_scan import redact_documents
@@ -54,6 +54,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable_in_workers(spark)
     docs = documents(spark, sf_dir)
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.registry import Query
 from .brown_lm import score_documents
-from .common import documents
+from .common import documents, importable_in_workers
 from .decontamination import WINDOW, contamination_digests
 from .language_id import held_out_identification
 from .neighbours import nearest
@@ -24,7 +24,11 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable_in_workers(spark)
+            return fn(spark, folder)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn

@@ -120,10 +120,10 @@ def age_sensitivity(star: Star) -> DataFrame:
 
 
 def segment_shares(spend: DataFrame, amount: Column | str) -> DataFrame:
-    """(segment, players, player_pct, revenue_pct) of monthly spend per player, one row per player and month."""
+    """(segment, player_months, player_pct, revenue_pct) of monthly spend, one row per player and month."""
     milli = F.floor(as_col(amount) * 1e3 + 0.5)
     per_segment = spend.groupBy(bins.spend_segment(amount).alias("segment")).agg(
-        F.count(F.lit(1)).alias("players"), F.sum(milli).alias("_milli")
+        F.count(F.lit(1)).alias("player_months"), F.sum(milli).alias("_milli")
     )
     everyone = Window.partitionBy()  # one row per segment
 
@@ -131,7 +131,7 @@ def segment_shares(spend: DataFrame, amount: Column | str) -> DataFrame:
         return round_half_up(F.try_divide(F.col(column) * 100.0, F.sum(column).over(everyone)), 2)
 
     return per_segment.select(
-        "segment", "players", share("players").alias("player_pct"), share("_milli").alias("revenue_pct")
+        "segment", "player_months", share("player_months").alias("player_pct"), share("_milli").alias("revenue_pct")
     )
 
 

@@ -294,9 +294,9 @@ _MONTHLY_SPEND = "CAST(sum(" + sql_cents("value") + ") AS DOUBLE) / 3e3"
 @query(f"""
 WITH spend AS (SELECT user_id, strftime(ts, '%Y-%m') AS month, {_MONTHLY_SPEND} AS spent FROM events
                WHERE event_type = 'purchase' GROUP BY 1, 2),
-s AS (SELECT {sql_at_least('spent', fv.SPEND_SEGMENTS, fv.SPEND_SEGMENT_BELOW)} AS segment, count(*) AS players,
+s AS (SELECT {sql_at_least('spent', fv.SPEND_SEGMENTS, fv.SPEND_SEGMENT_BELOW)} AS segment, count(*) AS player_months,
              CAST(sum(CAST(floor(spent * 1e3 + 0.5e0) AS BIGINT)) AS BIGINT) AS milli FROM spend GROUP BY 1)
-SELECT segment, players, {sql_round('100e0 * players / (SELECT sum(players) FROM s)', 2)} AS player_pct,
+SELECT segment, player_months, {sql_round('100e0 * player_months / (SELECT sum(player_months) FROM s)', 2)} AS player_pct,
        {sql_round('100e0 * milli / (SELECT sum(milli) FROM s)', 2)} AS revenue_pct
 FROM s
 """)

@@ -160,7 +160,7 @@ def q_seasonal_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(r"""
 SELECT page_id, CAST(item_no AS INTEGER) AS item_no, trim(regexp_extract(item, '<a [^>]*>([^<]*)</a>', 1)) AS label,
-       trim(regexp_extract(item, 'href="([^"]*)"', 1)) AS price
+       trim(regexp_extract(item, 'href="([^"]*)"', 1)) AS target
 FROM (SELECT page_id, unnest(items) AS item, unnest(range(1, len(items) + 1)) AS item_no
       FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*>[^<]*</a>') AS items FROM pages))
 WHERE item_no <= 5 AND trim(regexp_extract(item, '<a [^>]*>([^<]*)</a>', 1)) <> ''
@@ -169,7 +169,7 @@ WHERE item_no <= 5 AND trim(regexp_extract(item, '<a [^>]*>([^<]*)</a>', 1)) <>
 def q_page_items(spark: SparkSession, sf: str) -> DataFrame:
     """First five linked items of every page, with text and target."""
     pages = table(spark, sf, "pages").select("page_id", "html")
-    return extract_items(pages, "html", r"<a [^>]*>[^<]*</a>", r"<a [^>]*>([^<]*)</a>", r'href="([^"]*)"')
+    return extract_items(pages, "html", r"<a [^>]*>[^<]*</a>", r"<a [^>]*>([^<]*)</a>", r'href="([^"]*)"').withColumnRenamed("price", "target")
 
 
 @query(f"""

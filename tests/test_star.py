@@ -189,5 +189,5 @@ def test_dataset_views(market):
 
 def test_segment_shares(spark):
     spend = spark.createDataFrame([(200.0,), (50.0,), (50.0,), (1.0,)], "v double")
-    got = {r["segment"]: (r["players"], r["player_pct"], r["revenue_pct"]) for r in views.segment_shares(spend, "v").collect()}
+    got = {r["segment"]: (r["player_months"], r["player_pct"], r["revenue_pct"]) for r in views.segment_shares(spend, "v").collect()}
     assert got == {"whale": (1, 25.0, 66.45), "dolphin": (2, 50.0, 33.22), "minnow": (1, 25.0, 0.33)}

@@ -2,13 +2,17 @@
 
 A worklist holds layers of a document, the text itself first.  Each layer is scanned, then unwrapped: URL
 and Unicode escapes are resolved over the whole layer, base64 runs are decoded, and decoded bytes that are a
-compressed stream are inflated.  Layers that were not seen before join the list, until none is new.  Every
-layer knows, per character, which span of the original text it stands for, so what is found in it is
-reported in places of the original.
+compressed stream are inflated, all streams that follow one another to their end.  Layers that were not seen
+before are unwrapped in turn, until none is new.  Every layer knows, per character, which span of the original
+text it stands for, so what is found in it is reported in places of the original.
+
+What is inflated stands for one span as a whole.  Beyond `INFLATED_BYTES` it is read in pieces, each a layer that
+is done with before the next is inflated: a piece takes along the end of the one before it, and an encoded run
+that goes on; a run too long for that is decoded as it comes, into a stream of its own.
 
 Defined results: a NULL text counts as empty and has no spans; repeated rows each get their row; an empty
-table gives none; other columns are not read (or kept as they are by `redact_documents`).  A compressed
-layer longer than `INFLATED_BYTES` is read to that length; `cut_layers` counts such layers.
+table gives none; other columns are not read (or kept as they are by `redact_documents`).  Streams that end too
+early or break are read up to there.  `cut_layers` counts the layers that were cut into pieces; none is dropped.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -38,7 +43,9 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_PARTS = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
-INFLATED_BYTES = 16 * 1024 * 1024
+INFLATED_BYTES = 16 * 1024 * 1024  # of a compressed layer held at a time
+OVERLAP = 64 * 1024  # characters that a piece takes along from the one before it
+RUN_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-\r\n"
 PLACEHOLDER = "[REDACTED]"
 
 Span = tuple[int, int, int]  # start, kind, end: sorts by start, then kind as listed
@@ -139,21 +146,140 @@ def _readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
-def _inflated(data: bytes) -> tuple[bytes, bool] | None:
-    """What a compressed stream holds, and whether it was cut."""
+def _opener(data: bytes):
     if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-        opener = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        opener = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        opener = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        made = opener.decompress(data, INFLATED_BYTES)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    return made, not opener.eof and len(made) >= INFLATED_BYTES
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+class _Inflater:
+    """Compressed streams one after the other, and what stands behind the last as it is; fed bit by bit.
+
+    Bytes that are no stream from the start give nothing, or themselves if `plain`.
+    """
+
+    def __init__(self, plain: bool = False) -> None:
+        self.opener, self.head, self.plain, self.ended = None, b"", plain, False
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        while data:
+            if self.ended:
+                if self.plain:
+                    yield data
+                return
+            if self.opener is None:
+                data, self.head = (self.head + data).lstrip(b"\0"), b""
+                if len(data) < 6:  # a stream's mark may be still to come
+                    self.head = data
+                    return
+                self.opener, given = _opener(data), False
+                if self.opener is None:
+                    self.ended = True
+                    continue
+            else:
+                given = True
+            try:
+                rest = data
+                while not self.opener.eof:
+                    made = self.opener.decompress(rest, INFLATED_BYTES)
+                    rest = getattr(self.opener, "unconsumed_tail", b"")
+                    if made:
+                        given = self.plain = True
+                        yield made
+                    elif not rest:
+                        return
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, MemoryError):
+                self.ended = True
+                if given:  # broken in the middle
+                    return
+                continue
+            data, self.opener = self.opener.unused_data, None
+
+
+class _Stream:
+    """Layers of a text that comes bit by bit and stands for the span `whole`."""
+
+    def __init__(self, whole: tuple[int, int]) -> None:
+        self.whole, self.held, self.run = whole, "", None
+        self.decoder = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, data: bytes) -> Iterator[Layer]:
+        yield from self._read(self.decoder.decode(data))
+
+    def close(self) -> Iterator[Layer]:
+        yield from self._read(self.decoder.decode(b"", True))
+        if self.run is not None:
+            yield from self.run.close()
+        if self.held:
+            yield Layer(self.held, whole=self.whole)
+
+    def _read(self, text: str) -> Iterator[Layer]:
+        if self.run is not None:
+            rest = text.lstrip(RUN_CHARACTERS)
+            more = text[: len(text) - len(rest)]
+            yield from self.run.feed(more)
+            self.held, text = (self.held + more)[-OVERLAP:], rest
+            if not rest:
+                return
+            yield from self.run.close()
+            self.run = None
+        self.held += text
+        if len(self.held) < INFLATED_BYTES:
+            return
+        yield Layer(self.held, whole=self.whole)
+        start = len(self.held.rstrip(RUN_CHARACTERS))
+        if len(self.held) - start > INFLATED_BYTES // 2:
+            self.run = _Run(self.whole)
+            yield from self.run.feed(self.held[start:])
+            start = len(self.held)
+        self.held = self.held[max(0, min(start, len(self.held) - OVERLAP)) :]
+
+
+class _Run:
+    """Layers of a base64 run that comes bit by bit: its own characters, and what they hold."""
+
+    def __init__(self, whole: tuple[int, int]) -> None:
+        self.whole, self.tail, self.left = whole, "", ""
+        self.inflater, self.inner = _Inflater(plain=True), _Stream(whole)
+
+    def feed(self, text: str) -> Iterator[Layer]:
+        if not text:
+            return
+        piece = self.tail + text
+        self.tail = piece[-OVERLAP:]
+        yield Layer(piece, whole=self.whole)
+        bare = self.left + text.replace("\r", "").replace("\n", "").replace("-", "+").replace("_", "/")
+        whole = len(bare) // 4 * 4
+        self.left = bare[whole:]
+        yield from self._held(bare[:whole])
+
+    def close(self) -> Iterator[Layer]:
+        if len(self.left) > 1:
+            yield from self._held(self.left + "=" * (4 - len(self.left)))
+        yield from self.inner.close()
+
+    def _held(self, bare: str) -> Iterator[Layer]:
+        for made in self.inflater.feed(base64.b64decode(bare)):
+            yield from self.inner.feed(made)
+
+
+def _inflated(data: bytes, whole: tuple[int, int]) -> Iterator[tuple[Layer, bool]]:
+    """The layer that compressed streams hold, in pieces if it is long; the second one is marked."""
+    if _opener(data) is None:
+        return
+    inflater, stream = _Inflater(), _Stream(whole)
+
+    def made() -> Iterator[Layer]:
+        for piece in inflater.feed(data):
+            yield from stream.feed(piece)
+        yield from stream.close()
+
+    for i, layer in enumerate(made()):
+        yield layer, i == 1
 
 
 def _blob_layers(layer: Layer) -> Iterator[tuple[Layer, bool]]:
@@ -170,11 +296,8 @@ def _blob_layers(layer: Layer) -> Iterator[tuple[Layer, bool]]:
                 data = base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4))
             except (binascii.Error, ValueError):
                 continue
-            inflated = _inflated(data)
-            if inflated:
-                text = inflated[0].decode("utf-8", "replace")
-                yield Layer(text, whole=layer.origin(at, at + len(part))), inflated[1]
-            elif (text := _readable(data)) is not None:
+            yield from _inflated(data, layer.origin(at, at + len(part)))
+            if (text := _readable(data)) is not None:
                 if layer.whole is not None:
                     yield Layer(text, whole=layer.whole), False
                     continue
@@ -197,29 +320,31 @@ def _unwrapped(layer: Layer) -> Iterator[tuple[Layer, bool]]:
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span], int, int]:
-    """(base spans, all spans, layers below the text, layers cut)."""
+    """(base spans, all spans, layers and pieces of layers below the text, layers cut into pieces)."""
     base = find(text) if text else []
     spans, layers, cut = set(base), 0, 0
     if not text:
         return base, base, 0, 0
     known = set()
-    work = [Layer(text)]
-    while work:
-        layer = work.pop()
-        for inner, was_cut in _unwrapped(layer):
-            if not inner.text:
-                continue
-            # the same text at another place is another layer
-            digest = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), inner.origin(0, 1), inner.origin(len(inner.text) - 1, len(inner.text)))
-            if digest in known:
-                continue
-            known.add(digest)
-            layers += 1
-            cut += was_cut
-            for begin, kind, end in find(inner.text):
-                a, b = inner.origin(begin, end)
-                spans.add((a, kind, b))
-            work.append(inner)
+    work = [_unwrapped(Layer(text))]
+    while work:  # depth first, so that of a layer in pieces one is held at a time
+        inner, was_cut = next(work[-1], (None, False))
+        if inner is None:
+            work.pop()
+            continue
+        cut += was_cut
+        if not inner.text:
+            continue
+        # the same text at another place is another layer
+        digest = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), inner.origin(0, 1), inner.origin(len(inner.text) - 1, len(inner.text)))
+        if digest in known:
+            continue
+        known.add(digest)
+        layers += 1
+        for begin, kind, end in find(inner.text):
+            a, b = inner.origin(begin, end)
+            spans.add((a, kind, b))
+        work.append(_unwrapped(inner))
     return base, sorted(spans), layers, cut
 
 
@@ -244,7 +369,7 @@ def _arrow_spans(rows: list[list[Span]]) -> pa.Array:
 
 
 def scan_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, base spans, all spans, number of layers, layers that were cut."""
+    """One row per row of `docs`: id, base spans, all spans, number of layers, layers that were cut into pieces."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,14 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import urllib.parse
+import zlib
 
+from pricewright.llm import secret_scan
 from pricewright.llm.secret_scan import PLACEHOLDER, find, redact, redact_documents, scan, secret_digests
 
 KEY = "AKIA" + "Q" * 16
@@ -90,3 +95,31 @@ def test_given_documents(spark):
     for r in secret_digests(docs).collect():
         want = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in brute(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_compressed_layers_are_read_to_their_end(monkeypatch):
+    """A secret behind what one piece or one stream holds."""
+    monkeypatch.setattr(secret_scan, "INFLATED_BYTES", 300_000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 2_000)
+    filler, secret = b"all work and no play. " * 30_000, f" {KEY} ".encode()
+    noise = random.Random(4).randbytes(600_000)
+    packed = {
+        "beyond a piece": gzip.compress(filler + secret, mtime=0),
+        "across pieces": zlib.compress(b"." * (300_000 - 10) + secret + filler),
+        "second gzip member": gzip.compress(b"first. ", mtime=0) + b"\0" * 7 + gzip.compress(secret, mtime=0),
+        "second bz2 stream": bz2.compress(b"first. ") + bz2.compress(secret),
+        "second xz stream": lzma.compress(b"first. ") + b"\0" * 4 + lzma.compress(secret),
+        "plain text behind a stream": gzip.compress(b"first. ", mtime=0) + secret,
+        "nested beyond a piece": gzip.compress(filler + b" " + base64.b64encode(gzip.compress(secret * 3, mtime=0)) + b" ", mtime=0),
+        "stream in a run longer than a piece": bz2.compress(b"x " + base64.b64encode(gzip.compress(noise + secret, mtime=0)) + b" ."),
+        "behind a run longer than a piece": bz2.compress(b"x " + base64.b64encode(noise) + b" ." + secret),
+    }
+    for name, data in packed.items():
+        code = base64.b64encode(data).decode()
+        assert (2, 1, 2 + len(code)) in scan(f"é {code} .")[1], name
+
+
+def test_redaction_beyond_a_piece(spark):
+    code = base64.b64encode(gzip.compress(b"all work and no play. " * 900_000 + KEY.encode(), mtime=0)).decode()
+    docs = spark.createDataFrame([(1, f"a {code} b")], "doc_id long, text string")
+    assert [r.text for r in redact_documents(docs).collect()] == [f"a {PLACEHOLDER} b"]

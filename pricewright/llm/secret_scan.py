@@ -1,8 +1,8 @@
 """Secrets in texts and in what is encoded inside them.
 
 A worklist holds layers of a document, the text itself first.  Each layer is scanned, then unwrapped: URL
-and Unicode escapes are resolved over the whole layer, base64 runs are decoded, and decoded bytes that are a
-compressed stream are inflated, all streams that follow one another to their end.  Layers that were not seen
+and Unicode escapes are resolved over the whole layer, base64 runs are decoded, alone and joined over line breaks,
+to any text that is valid UTF-8, and decoded bytes that are a compressed stream are inflated, all streams that follow one another to their end.  Layers that were not seen
 before are unwrapped in turn, until none is new.  Every layer knows, per character, which span of the original
 text it stands for, so what is found in it is reported in places of the original.
 
@@ -43,6 +43,8 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_PARTS = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
+LINE_END = re.compile(r"\r?\n")
+SHORT_LINE = re.compile(r"[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-])={0,2}")
 INFLATED_BYTES = 16 * 1024 * 1024  # of a compressed layer held at a time
 OVERLAP = 64 * 1024  # characters that a piece takes along from the one before it
 RUN_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-\r\n"
@@ -138,12 +140,12 @@ def _escape(run: str) -> list[tuple[str, int, int]]:
     return [(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�", 0, len(run))]
 
 
-def _readable(data: bytes) -> str | None:
+def _readable(data: bytes, front: bool = False) -> str | None:
+    """The bytes as text, whatever its characters; with `front` as far as they are one."""
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        return data.decode("utf-8") or None
+    except UnicodeDecodeError as e:
+        return data[: e.start].decode("utf-8") or None if front else None
 
 
 def _opener(data: bytes):
@@ -282,33 +284,80 @@ def _inflated(data: bytes, whole: tuple[int, int]) -> Iterator[tuple[Layer, bool
         yield layer, i == 1
 
 
+def _wrapped(text: str, runs: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Lines that may be one run: all that follow each other, and those of one width with the lines around them.
+
+    A wrapped run has lines of one width and a shorter last one; a word that ends the line before it, or is all of
+    the line after it, would shift or spoil what is decoded.
+    """
+    block: list[tuple[int, int]] = []
+    for i, (begin, end) in enumerate(runs):
+        block.append((begin, end))
+        after = LINE_END.match(text, end) if text[end - 1] != "=" else None
+        if after and i + 1 < len(runs) and runs[i + 1][0] == after.end():
+            continue
+        if after and (last := SHORT_LINE.match(text, after.end())):
+            block.append(last.span())
+        if len(block) > 1:
+            yield block
+            width, at = [e - b for b, e in block], 0
+            while at < len(block):
+                to = at + 1
+                while to < len(block) and width[to] == width[at]:
+                    to += 1
+                for lines in (block[max(0, at - 1) : to + 1], block[at : to + 1], block[at:to]):
+                    if 1 < len(lines) < len(block):
+                        yield lines
+                at = to
+        block = []
+
+
+def _decoded(run: str) -> tuple[str, bytes] | None:
+    """A run without padding, and what it holds."""
+    bare = run.rstrip("=")
+    bare = bare[: len(bare) - (len(bare) % 4 == 1)]
+    try:
+        return bare, base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4))
+    except (binascii.Error, ValueError):
+        return None
+
+
 def _blob_layers(layer: Layer) -> Iterator[tuple[Layer, bool]]:
-    """What base64 runs hold: readable text, or a compressed stream of it."""
+    """What base64 runs hold: text, or compressed streams of it."""
+    runs = []
     for match in BASE64.finditer(layer.text):
         run = match[0]
+        runs.append(match.span())
         tries = [(match.start(), run)]
         if re.search("[+/_-]", run):  # a path or a name may be glued to the run
             tries += [(match.start() + m.start(), m[0]) for m in BASE64_PARTS.finditer(run)]
         for at, part in tries:
-            bare = part.rstrip("=")
-            bare = bare[: len(bare) - (len(bare) % 4 == 1)]
-            try:
-                data = base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4))
-            except (binascii.Error, ValueError):
-                continue
-            yield from _inflated(data, layer.origin(at, at + len(part)))
-            if (text := _readable(data)) is not None:
-                if layer.whole is not None:
-                    yield Layer(text, whole=layer.whole), False
-                    continue
-                start, end, byte = array("q"), array("q"), 0
-                for char in text:
-                    size = len(char.encode())
-                    a, b = layer.origin(at + byte * 8 // 6, at + min(-(-(byte + size) * 8 // 6), len(bare)))
-                    start.append(a)
-                    end.append(b)
-                    byte += size
-                yield Layer(text, start, end), False
+            if decoded := _decoded(part):
+                yield from _held_layers(layer, *decoded, range(at, at + len(part)), False)
+    for lines in _wrapped(layer.text, runs):
+        if decoded := _decoded("".join(layer.text[b:e] for b, e in lines)):
+            places = array("q")
+            for b, e in lines:
+                places.extend(range(b, e))
+            yield from _held_layers(layer, *decoded, places, True)
+
+
+def _held_layers(layer: Layer, bare: str, data: bytes, places: range | array, front: bool) -> Iterator[tuple[Layer, bool]]:
+    """The layers in decoded bytes; character i of the run stands at `places[i]`."""
+    yield from _inflated(data, layer.origin(places[0], places[-1] + 1))
+    if (text := _readable(data, front)) is None:
+        return
+    if layer.whole is not None:
+        yield Layer(text, whole=layer.whole), False
+        return
+    start, end, byte = array("q"), array("q"), 0
+    for char in text:
+        size = len(char.encode())
+        a, b = layer.origin(places[byte * 8 // 6], places[min(-(-(byte + size) * 8 // 6), len(bare)) - 1] + 1)
+        start.append(a)
+        end.append(b)
+        byte += size
+    yield Layer(text, start, end), False
 
 
 def _unwrapped(layer: Layer) -> Iterator[tuple[Layer, bool]]:

@@ -123,3 +123,32 @@ def test_redaction_beyond_a_piece(spark):
     code = base64.b64encode(gzip.compress(b"all work and no play. " * 900_000 + KEY.encode(), mtime=0)).decode()
     docs = spark.createDataFrame([(1, f"a {code} b")], "doc_id long, text string")
     assert [r.text for r in redact_documents(docs).collect()] == [f"a {PLACEHOLDER} b"]
+
+
+def test_any_text_in_base64():
+    for odd in ("\u00a0", "\ufeff", "\u200b", "\u3000", "\f", "\x00", "\U000e0001"):
+        code = base64.b64encode(f"{odd} é password={HEX} x".encode()).decode()
+        a = len("a ")
+        found = {(b, e) for b, k, e in scan(f"a {code} b")[1] if k == 0}
+        before = len(f"{odd} é ".encode())
+        assert (a + before * 8 // 6, a + -(-(before + len(f"password={HEX}")) * 8 // 6)) in found, repr(odd)
+
+
+def test_base64_over_several_lines():
+    noise = random.Random(6).randbytes(600)
+    prose = b"all work and no play makes it dull, " * 6
+    for newline in ("\n", "\r\n"):
+        for size in range(4):  # the last line and its padding
+            plain = prose[:50] + KEY.encode() + prose[: 60 + size]
+            for inner in (plain, gzip.compress(base64.b85encode(noise) + f" {KEY} ".encode() + noise[: 3 + size], mtime=0)):
+                code = base64.b64encode(inner).decode()
+                block = newline.join(code[i : i + 76] for i in range(0, len(code), 76))
+                for lead, tail in (("see: ", " end"), ("attachment_of_the_message" + newline, newline * 2 + "Yours"), ("x" + newline * 2, newline + "- y")):
+                    found = [(b, e) for b, k, e in scan(lead + block + tail)[1] if k == 1]
+                    if inner is plain:
+                        at = 50 * 8 // 6
+                        assert len(lead) + at + at // 76 * len(newline) in [b for b, _ in found], (lead, tail)
+                    else:
+                        assert (len(lead), len(lead) + len(block)) in found, (lead, tail)
+    text = f"a {block} b"
+    assert redact(text, scan(text)[1]) == f"a {PLACEHOLDER} b"

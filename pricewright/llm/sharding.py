@@ -1,11 +1,14 @@
 """Proportional stratified interleaving: every shard holds the mixture of the whole.
 
 Rows are shuffled within their source by a seeded hash and ranked; rank r of n stands at the fraction
-(2r - 1) / 2n.  Sorted by fraction, the sources interleave in proportion at every place, so equal cuts of the
-order are shards of one mixture, with counts at most one apart.
+(r - u) / n.  u is one half for a source that has no other of about its size (within a power of two), and else
+drawn from (0, 1) by a seeded hash of the source: sources of one size do not meet at the same places, and a long
+tail of small sources lies evenly over the order.  Sorted by fraction, the sources interleave in proportion at
+every place, so equal cuts of the order are shards of one mixture, with counts at most one apart.
 
-Both orders are cut into buckets first, by the hash and by the fraction.  Either is even by construction,
-so that no task sorts a whole source: positions are counts of the buckets before plus a rank in the bucket.
+Both orders are cut into buckets first, by the hash and by the fraction.  Either is even up to chance, whatever
+the sizes of the sources, so that no task sorts a whole source: positions are counts of the buckets before plus a
+rank in the bucket.
 
 Defined results: a NULL source is a source of its own; a NULL text has no bytes and the CRC-32 of nothing;
 rows that are equal in every column are interchangeable; an empty table gives none.  Columns are kept, and
@@ -20,6 +23,7 @@ from .common import stored, text_bytes
 
 BUCKET_ROWS = 50_000
 SEED = 17
+DRAWS = 1 << 30  # places between two ranks
 
 
 def interleave(df: DataFrame, source: str, shards: int, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -43,8 +47,13 @@ def interleave(df: DataFrame, source: str, shards: int, seed: int = SEED, bucket
     )
     within = Window.partitionBy("_stratum", "_bucket").orderBy("_draw", *kept)
     ranked = rows.join(starts, ["_stratum", "_bucket"]).withColumn("_rank", F.col("_start") + F.row_number().over(within))
+    ranked = ranked.withColumn("_size", F.floor(F.log2("_of")))
+    strata = sizes.groupBy("_stratum").agg(F.floor(F.log2(F.sum("_n"))).alias("_size"))
+    alike = F.broadcast(strata.groupBy("_size").agg((F.count(F.lit(1)) > 1).alias("_alike")))  # a row for each power of two
+    drawn = (F.pmod(F.xxhash64(F.lit(seed), F.lit("place"), "_stratum"), F.lit(DRAWS)) + 0.5) / float(DRAWS)
     placed = stored(
-        ranked.withColumn("_fraction", (2.0 * F.col("_rank") - 1.0) / (2.0 * F.col("_of")))
+        ranked.join(alike, "_size")
+        .withColumn("_fraction", (F.col("_rank") - F.when(F.col("_alike"), drawn).otherwise(0.5)) / F.col("_of"))
         .withColumn("_bucket", F.floor(F.col("_fraction") * buckets))
         .select(*kept, "_stratum", "_draw", "_bucket", "_fraction")
     )

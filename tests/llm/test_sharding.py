@@ -65,3 +65,20 @@ def test_rows_of_any_kind(spark, tmp_path):
     write_shards(placed, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(repr, back.select(*placed.columns).collect())) == sorted(map(repr, placed.collect()))
+
+
+def test_long_tail_of_small_sources(spark):
+    """One-row and two-row sources lie evenly over shards, and so do the large ones."""
+    sources = ["big"] * 4000 + ["mid"] * 2000 + [f"one{i}" for i in range(3000)] + [f"two{i // 2}" for i in range(1000)]
+    df = spark.createDataFrame(list(enumerate(sources)), "doc_id long, source string")
+    rows = interleave(df, "source", 8, bucket_rows=500).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(sources)))
+    counts = Counter(r.shard for r in rows)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    for kind, n in (("big", 4000), ("mid", 2000), ("one", 3000), ("two", 1000)):
+        for shard in range(8):
+            share = sum(r.source.startswith(kind) for r in rows if r.shard == shard)
+            assert abs(share - n / 8) <= 0.25 * n / 8, (kind, shard, share)
+    half = sorted((r.slot, r.source) for r in rows if r.shard == 3)
+    first = sum(s.startswith("one") for _, s in half[: len(half) // 2])
+    assert 0.35 <= first / sum(s.startswith("one") for _, s in half) <= 0.65

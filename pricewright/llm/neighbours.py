@@ -2,10 +2,10 @@
 
 Vectors are turned into points whose Euclidean order is the order of the inner product (one more dimension
 fills every norm up to the largest).  Centroids come from a bounded sample that is halved again and again into
-equal parts, so lists are balanced.  A graph over the centroids is held in memory and searched greedily.  Every
-vector goes to its nearest lists: boundary vectors are copied to further lists that are nearly as near.
-A query reads the lists whose distance is within a ratio of its nearest one's.  First its nearest list alone
-gives it a bound, then the other lists return only what reaches the bound.
+equal parts, so lists are balanced.  A graph over the centroids is held in memory and searched greedily for vectors;
+queries, which are few and read many lists, are compared with all centroids.  Every vector goes to its nearest lists: boundary vectors are copied to further lists that are nearly as near.
+A query reads all lists whose distance is within a ratio of its nearest one's, however many.  First its nearest
+list alone gives it a bound, then the other lists return only what reaches the bound.
 
 Lists lie on the cluster; long ones, and lists that very many queries read, are dealt out in blocks of bounded
 size.  The driver holds the sample, the centroids and their graph, all bounded by parameters.
@@ -35,7 +35,6 @@ COPIES = 4  # lists that a vector goes to, at most
 COPY_RATIO = 1.03  # of the nearest distance, for copies at the boundary
 SEARCH_RATIO = 1.16  # of the nearest distance, for the lists that a query reads
 BEAM = 32  # centroids kept by the graph search for a vector
-SEARCH_BEAM = 192  # and for a query
 DEGREE = 16
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 8192
@@ -166,10 +165,11 @@ def lists_of_vectors(index: Index, vectors: np.ndarray) -> list[np.ndarray]:
 
 def lists_of_queries(index: Index, vectors: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
     """The lists that each query reads, nearest first: within the ratio, and until `least` vectors are in reach."""
-    ids, far = search_graph(index, lifted_queries(vectors), SEARCH_BEAM)
+    far = np.sqrt(_distances(lifted_queries(vectors), index.centroids))  # MAX_LISTS columns at most
     out = []
-    for own, d in zip(ids, far):
-        own, d = own[own >= 0], d[own >= 0]
+    for d in far:
+        own = np.argsort(d, kind="stable")
+        d = d[own]
         reached = np.r_[0, np.cumsum(sizes[own])[:-1]]
         out.append(own[(d <= d[0] * SEARCH_RATIO + 1e-12) | (reached < least)])
     return out

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from pricewright.llm import neighbours
-from pricewright.llm.neighbours import best_of_block, build_index, lifted, nearest, search_graph
+from pricewright.llm.neighbours import best_of_block, build_index, lifted, lifted_queries, lists_of_queries, nearest, search_graph
 
 SCHEMA = "vec_id long, embedding array<float>, rank int"
 
@@ -93,3 +93,19 @@ def test_given_vectors(spark):
     want = brute(rows, [r for r in rows if r[0] % 20 == 0], 20)
     found = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert found / (20 * len(want)) >= 0.9
+
+
+def test_queries_read_every_list_within_the_ratio():
+    """Many lists, of vectors without structure."""
+    vectors = np.random.default_rng(8).normal(size=(3000, 64))
+    index = build_index(vectors, np.linalg.norm(vectors, axis=1).max() * (1 + 1e-12), 400)
+    sizes = np.full(len(index.centroids), 7)
+    queries = vectors[:50]
+    far = np.sqrt(((lifted_queries(queries)[:, None] - index.centroids[None]) ** 2).sum(axis=2))
+    most = 0
+    for own, d in zip(lists_of_queries(index, queries, sizes, 20), far):
+        within = np.flatnonzero(d <= d.min() * neighbours.SEARCH_RATIO)
+        assert set(within) <= set(own) and own[0] == d.argmin()
+        most = max(most, len(within))
+    assert most > 192
+    assert all(len(own) >= 400 for own in lists_of_queries(index, queries, sizes, 7 * 400))

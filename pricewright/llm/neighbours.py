@@ -68,6 +68,12 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * a @ b.T, 0)
 
 
+def _nearest(points: np.ndarray, centroids: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each point, `AT_ONCE` points at a time."""
+    blocks = (points[at : at + AT_ONCE] for at in range(0, len(points), AT_ONCE))
+    return np.concatenate([np.argmin(_distances(block, centroids) + weight, axis=1) for block in blocks])
+
+
 def build_index(sample: np.ndarray, norm: float, lists: int) -> Index:
     points = lifted(sample, norm)
     draw = np.random.default_rng(0)
@@ -75,7 +81,7 @@ def build_index(sample: np.ndarray, norm: float, lists: int) -> Index:
     for _ in range(4):  # towards the middle of what is nearest, a full list being further away
         weight = np.zeros(len(centroids))
         for _ in range(2):
-            nearest = np.argmin(_distances(points, centroids) + weight, axis=1)
+            nearest = _nearest(points, centroids, weight)
             sizes = np.bincount(nearest, minlength=len(centroids))
             weight += 0.02 * (sizes / max(sizes.mean(), 1e-9) - 1).clip(-1, 3)
         sums = np.zeros_like(centroids)

@@ -109,3 +109,13 @@ def test_queries_read_every_list_within_the_ratio():
         most = max(most, len(within))
     assert most > 192
     assert all(len(own) >= 400 for own in lists_of_queries(index, queries, sizes, 7 * 400))
+
+
+
+def test_fitting_holds_blocks_of_distances(monkeypatch):
+    sizes = []
+    whole = neighbours._distances
+    monkeypatch.setattr(neighbours, "_distances", lambda a, b: sizes.append(len(a)) or whole(a, b))
+    vectors = np.random.default_rng(10).normal(size=(2000, 16))
+    build_index(vectors, np.linalg.norm(vectors, axis=1).max() * (1 + 1e-12), 30)
+    assert max(sizes) <= neighbours.AT_ONCE

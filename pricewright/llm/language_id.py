@@ -165,12 +165,15 @@ def held_out_identification(docs: DataFrame, divisor: int = 3, held: int = 1) ->
 
 
 def known_languages(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` in which a learned language is recognised; profiles come from all rows with a lang."""
+    """The rows of `docs` in which a learned language is recognised; profiles come from all rows with a lang.
+
+    A text without an n-gram of any profile has score 0, and goes as one without a letter does.
+    """
     profiles = collected(language_profiles(docs, F.lit(True)))
     shared = shared_value(docs.sparkSession, profiles)
     place = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield batch.filter(pa.array([predict(t, shared.value)[0] != "und" for t in batch.column(place).to_pylist()], pa.bool_()))
+        yield batch.filter(pa.array([predict(t, shared.value)[1] > 0 for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return map_texts(docs, work, docs.schema)

@@ -91,3 +91,9 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = held_out_identification(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.98
+
+
+def test_texts_in_an_unlearned_script_are_not_kept(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, "собака и кошка", None), (4, "cat собака", None), (5, "12 34", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in known_languages(docs).collect()) == [1, 2, 4]

@@ -298,7 +298,7 @@ def mine(
     whose score is between `lowest` and `highest` percent of the positive's."""
     spark = df.sparkSession
     columns = {"key": quoted(key).cast("long"), "label": label.cast("long"), "anchor": F.coalesce(anchors, F.lit(False))}
-    rows, length = whole_vectors(df.filter(quoted(key).isNotNull() & label.isNotNull()), columns, vector, scale)
+    rows, length, _ = whole_vectors(df.filter(quoted(key).isNotNull() & label.isNotNull()), columns, vector, scale)
     if not length:
         return Mined(spark.createDataFrame([], RESULT), (0.0, 0.0))
     rows = rows.groupBy("key").agg(F.min(F.struct("label", "v")).alias("r"), F.max("anchor").alias("anchor"))

@@ -9,8 +9,9 @@ distance to its own entry, its b next entries with a lower bound each, and one o
 entries.  Entries that move by d change bounds by d at most, so most parts are settled without a single distance:
 their own bound is below all others.  The rest are verified in whole numbers against their own entry and as many of
 the b entries as their bounds leave open, and against all entries only where the outer bound is open too.  After
-each assignment b falls to the most entries that any part needed, an eighth of the entries at least.  Bounds are
-32-bit floats rounded outwards and an equal bound counts as open, so codes are exact.
+each assignment b falls to the most entries that any part needed, a twelfth of the entries at least.  Bounds are
+rounded outwards, when they are reckoned and when they are stored (in 16 bits, so that a state takes little more room
+than its vectors), and an equal bound counts as open, so codes are exact.
 
 Rows stay where they are: an assignment is one map over the stored state, and sums leave a task as one row for each
 entry and dimension.  The driver holds the codebooks (parts * entries * width numbers) and nothing of the rows.
@@ -40,8 +41,9 @@ PARTS = 16
 ENTRIES = 64
 ROUNDS = 2
 SCALE = 256
-FIRST_BOUNDS = 4  # b starts as the number of entries divided by this
-LEAST_BOUNDS = 8  # and does not fall below the number of entries divided by this
+FIRST_BOUNDS = 6  # b starts as the number of entries divided by this
+LEAST_BOUNDS = 12  # and does not fall below the number of entries divided by this
+OPEN = (1 << 16) - 1  # stands for a bound without limit
 
 
 class Codes(NamedTuple):
@@ -112,34 +114,57 @@ def assign_bounded(x: np.ndarray, book: np.ndarray, moved: np.ndarray, old: Stat
     return State(code, upper, near, lower, np.minimum(need, b)), need > 0
 
 
-def _packed(states: list[State]) -> list[pa.Array]:
-    """One binary value a row for all its parts; entries as 16-bit and bounds as 32-bit numbers."""
+class Form(NamedTuple):
+    """How bounds are stored: 16-bit multiples of `unit`, rounded outwards, and entries in one byte if they fit."""
+
+    parts: int
+    unit: float
+    entry: type
+
+    def upper(self, bounds: np.ndarray) -> np.ndarray:
+        return np.minimum(np.ceil(bounds.astype(np.float64) / self.unit), OPEN).astype(np.uint16)
+
+    def lower(self, bounds: np.ndarray) -> np.ndarray:
+        steps = np.clip(np.floor(bounds.astype(np.float64) / self.unit), 0, OPEN - 1)
+        return np.where(np.isinf(bounds), OPEN, steps).astype(np.uint16)
+
+    def bounds(self, steps: np.ndarray, towards: float) -> np.ndarray:
+        found = np.nextafter((steps * self.unit).astype(np.float32), np.float32(towards))
+        return np.where(steps == OPEN, np.float32(np.inf), found)
+
+
+def _packed(states: list[State], form: Form) -> list[pa.Array]:
+    """One binary value a row for all its parts."""
 
     def binary(values: np.ndarray) -> pa.Array:
-        width = values[0].nbytes if len(values) else 0
+        width = values[0].nbytes
         data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
         return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(values), [None, data]).cast(pa.binary()) if width else pa.array([b""] * len(values), pa.binary())
 
-    def stacked(field: str, dtype: type) -> np.ndarray:
-        return np.stack([getattr(s, field) for s in states], axis=1).astype(dtype)
+    def stacked(field: str) -> np.ndarray:
+        return np.stack([getattr(s, field) for s in states], axis=1)
 
     return [
-        binary(stacked("code", np.uint16)), binary(stacked("upper", np.float32)), binary(stacked("near", np.uint16)),
-        binary(stacked("lower", np.float32)), pa.array(stacked("need", np.int32).max(axis=1), pa.int32()),
+        binary(stacked("code").astype(form.entry)), binary(form.upper(stacked("upper"))), binary(stacked("near").astype(form.entry)),
+        binary(form.lower(stacked("lower"))), pa.array(stacked("need").max(axis=1), pa.int32()),
     ]
 
 
-def _unpacked(batch: pa.RecordBatch, parts: int) -> list[State]:
+def _codes(batch: pa.RecordBatch, form: Form) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("code").to_pylist()), form.entry).reshape(batch.num_rows, form.parts).astype(np.int64)
+
+
+def _unpacked(batch: pa.RecordBatch, form: Form) -> list[State]:
     def read(name: str, dtype: type) -> np.ndarray:
-        return np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype).reshape(batch.num_rows, parts, -1)
+        return np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype).reshape(batch.num_rows, form.parts, -1)
 
-    code, upper = read("code", np.uint16)[:, :, 0].astype(np.int64), read("upper", np.float32)[:, :, 0]
-    lower = read("lower", np.float32)
-    near = read("near", np.uint16).astype(np.int64) if lower.shape[2] > 1 else np.zeros((batch.num_rows, parts, 0), np.int64)
-    return [State(code[:, j], upper[:, j], near[:, j], lower[:, j], np.zeros(0)) for j in range(parts)]
+    code, upper = _codes(batch, form), form.bounds(read("upper", np.uint16)[:, :, 0], np.inf)
+    lower = form.bounds(read("lower", np.uint16), -np.inf)
+    near = read("near", form.entry).astype(np.int64) if lower.shape[2] > 1 else np.zeros((batch.num_rows, form.parts, 0), np.int64)
+    return [State(code[:, j], upper[:, j], near[:, j], lower[:, j], np.zeros(0)) for j in range(form.parts)]
 
 
-def _moved_entries(state: DataFrame, books: np.ndarray) -> np.ndarray:
+def _moved_entries(state: DataFrame, books: np.ndarray, form: Form) -> np.ndarray:
     """Each entry at the floor of the mean of its parts."""
     parts, k, width = books.shape
 
@@ -147,7 +172,7 @@ def _moved_entries(state: DataFrame, books: np.ndarray) -> np.ndarray:
         total = np.zeros((parts, k, width + 1), np.int64)
         for batch in batches:
             v = matrix(batch.column("v")).astype(np.int64).reshape(batch.num_rows, parts, width)
-            code = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint16).reshape(batch.num_rows, parts)
+            code = _codes(batch, form)
             for j in range(parts):
                 np.add.at(total[j, :, :width], code[:, j], v[:, j])
                 total[j, :, width] += np.bincount(code[:, j], minlength=k)
@@ -168,7 +193,7 @@ def compress(
     """Codes of all vectors under codebooks that are learned from all of them."""
     spark = df.sparkSession
     others = [c for c in df.columns if c != vector]
-    rows, length = whole_vectors(df, {"row": F.struct(*[quoted(c) for c in others])}, vector, scale)
+    rows, length, largest = whole_vectors(df, {"row": F.struct(*[quoted(c) for c in others])}, vector, scale)
     result = T.StructType([rows.schema["row"], T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("error", T.LongType())])
     if not length:
         return Codes(spark.createDataFrame([], result), np.zeros((parts, 0, 0), np.int64), [])
@@ -178,6 +203,8 @@ def compress(
     first = rows.select(F.col("row").getField(key).alias("key"), "v").orderBy(F.col("key").asc_nulls_last(), "v").limit(entries).collect()
     books = np.array([r["v"] for r in first], np.int64).reshape(len(first), parts, width).transpose(1, 0, 2)
     k = len(first)
+    # entries stay within the range of the components, so no distance is above this
+    form = Form(parts, max(1.0, 2.0 * largest * width**0.5) / (OPEN - 1), np.uint8 if k <= 256 else np.uint16)
 
     kept = T.StructType([
         rows.schema["row"], rows.schema["v"], *[T.StructField(n, T.BinaryType()) for n in ("code", "upper", "near", "lower")],
@@ -194,14 +221,14 @@ def compress(
                     x = cut(batch)
                     states = [assign_all(x[:, j], shared.value[0][j], b) for j in range(parts)]
                     verified = pa.array(np.full(batch.num_rows, parts), pa.int32())
-                    yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("v"), *_packed(states), verified], kept.names)
+                    yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("v"), *_packed(states, form), verified], kept.names)
 
         return work
 
     def bounded(batch: pa.RecordBatch, shared, b: int) -> tuple[np.ndarray, list[State], np.ndarray]:
         x, verified = cut(batch), np.zeros(batch.num_rows, np.int32)
         states = []
-        for j, old in enumerate(_unpacked(batch, parts)):
+        for j, old in enumerate(_unpacked(batch, form)):
             state, looked = assign_bounded(x[:, j], shared.value[0][j], shared.value[1][j], old, b)
             states.append(state)
             verified += looked
@@ -212,7 +239,7 @@ def compress(
             for batch in batches:
                 if batch.num_rows:
                     _, states, verified = bounded(batch, shared, b)
-                    yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("v"), *_packed(states), pa.array(verified)], kept.names)
+                    yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("v"), *_packed(states, form), pa.array(verified)], kept.names)
 
         return work
 
@@ -237,7 +264,7 @@ def compress(
     state = stored(rows.mapInArrow(beginning(shared_value(spark, (books,)), b), kept))
     shares = []
     for turn in range(rounds):
-        before, books = books, _moved_entries(state, books)
+        before, books = books, _moved_entries(state, books, form)
         step = books - before
         moved = _above((step * step).sum(axis=2)) * (step != 0).any(axis=2)  # an entry that stays moves by nothing
         shared = shared_value(spark, (books, moved.astype(np.float32)))

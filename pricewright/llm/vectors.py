@@ -17,8 +17,9 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def whole_vectors(df: DataFrame, columns: dict[str, Column], vector: str, scale: int) -> tuple[DataFrame, int]:
-    """Stored rows of `columns` and `v`, the array of floor(scale * x), and the length of the vectors (0: no rows).
+def whole_vectors(df: DataFrame, columns: dict[str, Column], vector: str, scale: int) -> tuple[DataFrame, int, int]:
+    """Stored rows of `columns` and `v`, the array of floor(scale * x), the length of the vectors (0: no rows),
+    and the largest absolute component.
 
     Rows whose vector is NULL, empty, or holds NULL or non-finite components are left out, and so are those of
     another length than most (the longer one, if as many).  Components beyond `LIMIT` raise a ValueError: sums
@@ -33,10 +34,10 @@ def whole_vectors(df: DataFrame, columns: dict[str, Column], vector: str, scale:
     lengths = rows.groupBy(F.size("v").alias("length")).agg(F.count(F.lit(1)).alias("rows"), F.max(largest).alias("largest"))
     usual = lengths.orderBy(F.col("rows").desc(), F.col("length").desc()).first()
     if usual is None:
-        return rows, 0
+        return rows, 0, 0
     if usual["largest"] > LIMIT:
         raise ValueError(f"components beyond {LIMIT} / {scale} cannot be summed exactly")
-    return rows.filter(F.size("v") == usual["length"]), usual["length"]
+    return rows.filter(F.size("v") == usual["length"]), usual["length"], usual["largest"]
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -41,7 +41,10 @@ def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name:
     Ranges are cut by key and value: a key that holds much of the table is spread over many of them, and many
     small keys share one.
     """
-    spread = _ranged(counts.select(*keys, "_v", "_n"), [*keys, "_v"])
+    rows = counts.select(*keys, "_v", "_n")
+    if rows.count() <= ROWS_PER_RANGE:  # few enough for one task, whatever the keys
+        return _within_one_range(rows, keys, share, name)
+    spread = _ranged(rows, [*keys, "_v"])
 
     # as many rows as ranges and keys from here to `wanted`
     sizes = spread.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
@@ -59,6 +62,19 @@ def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name:
     running = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = spread.join(wanted, [*keys, "_range"]).withColumn("_until", F.col("_start") + F.sum("_n").over(running))
 
+    return _interpolated(ranked, keys, name)
+
+
+def _within_one_range(rows: DataFrame, keys: list[str], share: float, name: str) -> DataFrame:
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    position = (F.sum("_n").over(group) - 1) * F.lit(float(share))
+    ranked = rows.withColumns({"_until": F.sum("_n").over(running), "_position": position})
+    low = F.floor("_position")
+    return _interpolated(ranked.withColumns({"_low": low, "_high": F.ceil("_position"), "_between": F.col("_position") - low}), keys, name)
+
+
+def _interpolated(ranked: DataFrame, keys: list[str], name: str) -> DataFrame:
     def value_at(rank: str) -> Column:
         holds = (F.col("_until") > F.col(rank)) & (F.col("_until") - F.col("_n") <= F.col(rank))
         return F.max(F.when(holds, F.col("_v")))

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": 4,
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": 2000,
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("catalog")),
         },

@@ -7,19 +7,22 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions.numbers import round_half_up
 from ..operators.cleaning import drop_unusable, require_columns
 from ..operators.statistics import arg_max
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import path_exists
+from .boosting import Boosted, Setting, fit_all, published_settings
 from .metrics import regression_metrics
-from .split import SEED, with_fold, with_split
+from .split import SEED, with_exact_folds, with_exact_split
 
 MIN_FEATURES = 3
 SPLIT_BINS = 256  # candidate values of a feature; a feature with fewer distinct values is split at any of them
@@ -77,14 +80,9 @@ def ridge(alpha: float = 1.0) -> Learner:
     return Learner("ridge", fit)
 
 
-def default_learners(trees: int = 300, forest_trees: int = 200) -> list[Learner]:
-    """The four compared models; the second also samples features, per split."""
-    return [
-        gradient_boosting(trees),
-        gradient_boosting(trees, columns="0.8", name="gbt_colsample"),
-        random_forest(forest_trees),
-        ridge(),
-    ]
+def default_learners(trees: int = 300, forest_trees: int = 200) -> list[Learner | Setting]:
+    """The four compared models; the two boosted ones share their passes over the rows."""
+    return [*published_settings(trees), random_forest(forest_trees), ridge()]
 
 
 def _cached(df: DataFrame) -> DataFrame:
@@ -122,8 +120,9 @@ def model_frame(df: DataFrame, features: list[str], target: str, keep: list[str]
 class Comparison:
     scores: DataFrame  # ordinal, model, rows_train, rows_test, r2, mae, rmse, cv_r2, cv_std
     fold_scores: DataFrame  # model, fold, rows, r2
-    models: dict[str, Model]
+    models: dict[str, Model | Boosted]
     predictions: dict[str, DataFrame]  # on the test rows: label, prediction
+    stages: DataFrame | None = None  # scores of the boosted models after every tree
 
     def best(self) -> str:
         return arg_max(self.scores, "cv_r2", "ordinal").first()["model"]
@@ -132,7 +131,7 @@ class Comparison:
 def compare(
     df: DataFrame,
     keys: list[str],
-    learners: list[Learner] | None = None,
+    learners: list[Learner | Setting] | None = None,
     features: list[str] | None = None,
     target: str = fv.TARGET,
     folds: int = 5,
@@ -146,14 +145,28 @@ def compare(
     """
     spark = df.sparkSession
     names = features or fv.FEATURES
-    data = with_fold(with_split(df, keys, test_pct, seed), keys, folds, seed)
+    chosen = learners or default_learners()
+    ensure_checkpoint_dir(spark)
+    usable = drop_unusable(require_columns(df, [*names, target]), [*names, target]).checkpoint()  # read by every count
+    data = with_exact_folds(with_exact_split(usable, keys, test_pct, seed), keys, folds, seed)
+    boosted, stages = _boosted(data, keys, [c for c in chosen if isinstance(c, Setting)], names, target, folds)
+    split = data
     data = _cached(model_frame(data, names, target, ["is_test", "fold"]))
     train, test = data.filter(~F.col("is_test")), data.filter("is_test")
     score_rows, fold_rows, models, predictions = [], [], {}, {}
     pool = ThreadPool(parallelism)
     try:
         rows_train = train.count()
-        for ordinal, learner in enumerate(learners or default_learners()):
+        for ordinal, learner in enumerate(chosen):
+            if isinstance(learner, Setting):
+                scores = boosted[learner.name]
+                own = scores.pop(-1)
+                score_rows.append((ordinal, learner.name, rows_train, own["rows"], *[round(own[m], 4) for m in ("r2", "mae", "rmse")]))
+                fold_rows += [(learner.name, fold, r["rows"], r["r2"]) for fold, r in sorted(scores.items())]
+                models[learner.name] = stages.models[learner.name, -1]
+                test_rows = models[learner.name].transform(split.filter("is_test").withColumn("label", F.col(target).cast("double")))
+                predictions[learner.name] = test_rows.select("label", "prediction")
+                continue
             held_in = [train, *[data.filter(F.col("fold") != fold) for fold in range(folds)]]
             model, *by_fold = pool.map(inheritable_thread_target(spark)(learner.fit), held_in)
             predicted = model.transform(test).select("label", "prediction")
@@ -182,7 +195,20 @@ def compare(
         score_rows,
         "ordinal int, model string, rows_train bigint, rows_test bigint, r2 double, mae double, rmse double",
     )
-    return Comparison(scores.join(F.broadcast(cv), "model"), fold_scores, models, predictions)
+    return Comparison(scores.join(F.broadcast(cv), "model"), fold_scores, models, predictions, stages.stages if stages else None)
+
+
+def _boosted(data: DataFrame, keys: list[str], settings: list[Setting], features: list[str], target: str, folds: int):
+    """Final scores by setting and fold (-1: the test rows), and all that was fitted."""
+    if not settings:
+        return {}, None
+    fitted = fit_all(data, features, target, settings, F.col("fold"), folds, F.col("is_test"), keys)
+    final = {s.name: s.trees for s in settings}
+    scores: dict[str, dict] = {name: {} for name in final}
+    for row in fitted.stages.collect():  # a row for each tree and fold
+        if row["trees"] == final[row["setting"]]:
+            scores[row["setting"]][row["fold"]] = row
+    return scores, fitted
 
 
 def fit_one(
@@ -196,10 +222,13 @@ def fit_one(
         data.unpersist()
 
 
-def importance(df: DataFrame, model: Model, features: list[str], labels: dict[str, str] | None = None) -> DataFrame:
+def importance(df: DataFrame, model: Model | Boosted, features: list[str], labels: dict[str, str] | None = None) -> DataFrame:
     """(feature, label, importance, importance_pct), largest first."""
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
-    if hasattr(fitted, "featureImportances"):
+    if isinstance(model, Boosted):
+        shares = model.importance()
+        weights = np.array([shares[f] for f in features])
+    elif hasattr(fitted, "featureImportances"):
         weights = fitted.featureImportances.toArray()
     else:
         weights = abs(fitted.coefficients.toArray())
@@ -212,10 +241,28 @@ def importance(df: DataFrame, model: Model, features: list[str], labels: dict[st
     )
 
 
-def as_pipeline(model: Model, features: list[str]) -> PipelineModel:
-    """The model with its own assembler, ready to save and to score named columns."""
-    return PipelineModel(stages=[assembler(features), model])
+def as_pipeline(model: Model | Boosted, features: list[str]) -> PipelineModel | Boosted:
+    """The model with its own assembler, ready to save and to score named columns; a boosted one names its columns itself."""
+    return model if isinstance(model, Boosted) else PipelineModel(stages=[assembler(features), model])
+
+
+def needed_columns(model: PipelineModel | Boosted) -> list[str]:
+    """The columns that a model reads."""
+    if isinstance(model, Boosted):
+        return model.features
+    return [c for stage in model.stages if stage.hasParam("inputCols") for c in stage.getInputCols()]
+
+
+def save_model(model: PipelineModel | Boosted, path: str, spark: SparkSession | None = None) -> None:
+    """Replace the stored model; a boosted one is one line of JSON, of a size given by its trees."""
+    if isinstance(model, Boosted):
+        session = spark or SparkSession.active()
+        session.createDataFrame([(model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def load_model(spark: SparkSession, path: str) -> PipelineModel | Boosted:
+    if path_exists(spark, f"{path}/metadata"):
+        return PipelineModel.load(path)
+    return Boosted.from_json(spark.read.text(path).first()["value"])

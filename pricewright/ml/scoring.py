@@ -11,6 +11,8 @@ from ..functions.numbers import Rounding, as_col, capped_score, nan_to_null, rou
 from ..functions.pricing import price_band
 from ..operators.encode import encode_fixed
 from ..operators.reshape import with_grid
+from .boosting import Boosted
+from .models import needed_columns
 
 SCENARIO = (
     "genre string, competition_score double, mau_millions double, arpdau_usd double, "
@@ -60,7 +62,7 @@ def scenario_features(
 
 
 def score(
-    scenarios: DataFrame, model: PipelineModel, genre_codes: DataFrame | dict[str, int],
+    scenarios: DataFrame, model: PipelineModel | Boosted, genre_codes: DataFrame | dict[str, int],
     rate: float = fv.IDR_PER_USD, floor: float | None = None,
 ) -> DataFrame:
     """The scenarios with predicted price and price band; `floor` keeps a prediction above zero.
@@ -69,7 +71,7 @@ def score(
     what it lacks; it is NULL for the others.
     """
     features = scenario_features(scenarios, genre_codes, round_nearest)
-    needed = [c for stage in model.stages if stage.hasParam("inputCols") for c in stage.getInputCols()]
+    needed = needed_columns(model)
     lacking = F.concat_ws(", ", *[F.when(F.col(c).isNull() | F.isnan(c), F.lit(c)) for c in needed])
     marked = features.withColumn("not_scored", F.nullif(lacking, F.lit("")))
     band = price_band("prediction", rate, floor, round_nearest)

@@ -14,7 +14,7 @@ from ..session import ensure_checkpoint_dir
 ROWS_PER_RANGE = 200_000
 
 
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+def ranged_rows(df: DataFrame, order: list[str]) -> DataFrame:
     """`df` with `_range`: rows of a lower range come before rows of a higher one in `order`.
 
     The numbered ranges are checkpointed, so that a recomputed task cannot deal a row to another range.
@@ -44,7 +44,7 @@ def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name:
     rows = counts.select(*keys, "_v", "_n")
     if rows.count() <= ROWS_PER_RANGE:  # few enough for one task, whatever the keys
         return _within_one_range(rows, keys, share, name)
-    spread = _ranged(rows, [*keys, "_v"])
+    spread = ranged_rows(rows, [*keys, "_v"])
 
     # as many rows as ranges and keys from here to `wanted`
     sizes = spread.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
@@ -87,10 +87,35 @@ def _interpolated(ranked: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def positions(df: DataFrame, value: str, tie_break: list[str], name: str = "position") -> DataFrame:
     """Zero-based position of every row in the order (value, tie_break); `value` must not be null."""
-    spread = _ranged(df, [value, *tie_break])
+    spread = ranged_rows(df, [value, *tie_break])
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     within = Window.partitionBy("_range").orderBy(value, *tie_break)
     ranked = spread.join(starts, "_range")
     return ranked.withColumn(name, F.col("_start") + F.row_number().over(within) - 1).drop("_range", "_start")
+
+
+def quantile_bins(counts: DataFrame, group: str, bins: int) -> dict[int, list[float]]:
+    """{group: upper ends} of at most `bins` bins of about equal weight, from (group, _v, _n) with whole-number groups.
+
+    A group of no more distinct values than bins has one bin for each.  The driver receives the ends only.
+    """
+    spread = ranged_rows(counts.select(group, "_v", "_n"), [group, "_v"])
+    sizes = spread.groupBy(group, "_range").agg(F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_values"))
+    every = Window.partitionBy(group)
+    before = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+        F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_rank"), F.sum("_size").over(every).alias("_total"), F.sum("_values").over(every).alias("_distinct"),
+    )
+    running = Window.partitionBy(group, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = spread.withColumns({"_sum": F.sum("_n").over(running), "_place": F.row_number().over(running.orderBy("_v"))})
+    ranked = ranked.join(F.broadcast(starts), (F.col(group) == F.col("_g")) & (F.col("_range") == F.col("_r")))  # a row for each range and group in it
+    share = F.floor((F.col("_start") + F.col("_sum") - F.col("_n")) * F.lit(bins) / F.col("_total"))
+    own_bin = F.when(F.col("_distinct") <= bins, F.col("_rank") + F.col("_place") - 1).otherwise(share)
+    ends = ranked.groupBy(group, own_bin.alias("_bin")).agg(F.max("_v").alias("_upto")).orderBy(group, "_bin").collect()
+    found: dict[int, list[float]] = {}
+    for row in ends:
+        found.setdefault(row[group], []).append(row["_upto"])
+    return found

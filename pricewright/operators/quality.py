@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .ordering import ranged_rows
+
 NULL_TEXT = "<null>"
+STRETCH = 1000  # ranges whose hashes are joined in one row
 
 
 def row_fingerprint(columns: list[str]) -> Column:
@@ -32,6 +36,48 @@ def table_checksum(df: DataFrame, table: str, columns: list[str] | None = None)
     return summed.select(F.lit(table).alias("table_name"), "row_count", "checksum")
 
 
+PRIME = (1 << 31) - 1
+BASES = (1_000_003, 998_244_353)
+
+
+def _joined(parts: Column, hashes: Callable[[Column, int], Column], powers: Callable[[Column, int], Column]) -> Column:
+    """Hashes of consecutive parts as one: (h1, p1) and (h2, p2) make (h1 * p2 + h2, p1 * p2), p being base ** rows."""
+    names = [f"{kind}{i}" for i in range(len(BASES)) for kind in "hp"]
+    start = F.struct(*[F.lit(int(n[0] == "p")).cast("long").alias(n) for n in names])
+
+    def join(done: Column, part: Column) -> Column:
+        fields = []
+        for i in range(len(BASES)):
+            h, p = hashes(part, i), powers(part, i)
+            fields += [((done[f"h{i}"] * p + h) % PRIME).alias(f"h{i}"), ((done[f"p{i}"] * p) % PRIME).alias(f"p{i}")]
+        return F.struct(*fields)
+
+    return F.aggregate(parts, start, join)
+
+
+def ordered_checksum(df: DataFrame, table: str, order: list[str], columns: list[str] | None = None) -> DataFrame:
+    """(table_name, row_count, checksum) where the checksum depends on the order of the rows by `order`.
+
+    It is a polynomial over the fingerprints of the rows.  The hash of a stretch of rows, kept with the power of its
+    length, joins with that of the next stretch; so rows are cut into ranges of the order, each range is hashed by
+    itself, and ranges are joined in stretches.  How they are cut does not change the result.  Rows that `order` does
+    not tell apart are taken by their fingerprints; NULL comes first.
+    """
+    names = columns or df.columns
+    rows = df.select(F.struct(*[F.col(c) for c in order]).alias("_at"), (row_fingerprint(names) % PRIME).alias("_f"))
+    ranged = ranged_rows(rows, ["_at"])
+    one = F.sort_array(F.collect_list(F.struct("_at", "_f")))
+    parts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), _joined(one, lambda r, i: r["_f"], lambda r, i: F.lit(BASES[i]).cast("long")).alias("_s"))
+    stretch = F.floor(F.col("_range") / STRETCH)
+    for by in (stretch, F.lit(0)):
+        several = F.sort_array(F.collect_list(F.struct("_range", "_s")))
+        joined = _joined(several, lambda r, i: r["_s"][f"h{i}"], lambda r, i: r["_s"][f"p{i}"])
+        parts = parts.groupBy(by.alias("_group")).agg(F.sum("_n").alias("_n"), joined.alias("_s")).withColumnRenamed("_group", "_range")
+    digits = [F.lower(F.lpad(F.hex(F.col(f"_s.h{i}")), 8, "0")) for i in range(len(BASES))]
+    text = parts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.coalesce(F.max(F.concat(*digits)), F.lit("00000000" * len(BASES))).alias("checksum"))
+    return text.select(F.lit(table).alias("table_name"), "row_count", "checksum")
+
+
 def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     """(table_name, row_count, column_count, status); -1 and UNREADABLE for a table that could not be opened."""
     parts = []

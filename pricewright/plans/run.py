@@ -97,7 +97,7 @@ def train(
     )
     best = result.best()
     pipeline = models.as_pipeline(result.models[best], names)
-    models.save_model(pipeline, paths.model)
+    models.save_model(pipeline, paths.model, spark)
     codes = data.select("genre", "genre_encoded").distinct()
     codes.write.mode("overwrite").parquet(f"{paths.model}_genre_codes")
     weights = models.importance(data, pipeline, names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
@@ -421,6 +423,24 @@ def q_table_checksum(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+ORDERED = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "part": ["p_brand", "p_partkey"], "events": ["user_id", "event_id"]}
+
+
+def _ordered_sql(name: str, order: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '{quality.NULL_TEXT}')" for c in CHECKED_COLUMNS[name])
+    value = f"('0x' || substr(md5({text}), 1, 8))::BIGINT % {quality.PRIME}"
+    hashes = [f"list_reduce(list_prepend(0::BIGINT, list(v ORDER BY {', '.join(order)}, v)), lambda h, v: (h * {b} + v) % {quality.PRIME})" for b in quality.BASES]
+    shown = " || ".join(f"format('{{:08x}}', {h})" for h in hashes)
+    return f"SELECT '{name}' AS table_name, count(*) AS row_count, {shown} AS checksum FROM (SELECT {', '.join(order)}, {value} AS v FROM {name})"
+
+
+@query(" UNION ALL ".join(_ordered_sql(n, o) for n, o in ORDERED.items()))
+def q_ordered_checksum(spark: SparkSession, sf: str) -> DataFrame:
+    """A checksum that changes when two rows change places in the order of the key."""
+    parts = [quality.ordered_checksum(table(spark, sf, n), n, o, CHECKED_COLUMNS[n]) for n, o in ORDERED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 ALL_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

@@ -167,3 +167,26 @@ def test_scenarios_that_lack_a_number_come_back_unscored(spark, tables):
     assert done.prediction is not None and done.not_scored is None
     assert undone.prediction is None and set(undone.not_scored.split(", ")) == {"competition_score", "arpdau_usd"}
     assert undone.predicted_price_per_100_usd is None
+
+
+def test_exact_split_and_folds(tables):
+    data = tables["ml_features"]
+    one = rows(split.with_exact_split(data, KEYS), *KEYS, "is_test")
+    assert sum(r[-1] for r in one) == 18 and len(one) == 90
+    assert one == rows(split.with_exact_split(data.repartition(7), KEYS), *KEYS, "is_test")
+    assert one != rows(split.with_exact_split(data, KEYS, seed=7), *KEYS, "is_test")
+    for folds in (4, 7):
+        by_fold = rows(split.with_exact_folds(data, KEYS, folds), *KEYS, "fold")
+        counts = [sum(r[-1] == f for r in by_fold) for f in range(folds)]
+        assert counts == [90 // folds + (f < 90 % folds) for f in range(folds)]
+        assert by_fold == rows(split.with_exact_folds(data.coalesce(1), KEYS, folds), *KEYS, "fold")
+
+
+def test_exact_split_of_equal_rows(spark):
+    same = spark.createDataFrame([(1, "x")] * 250 + [(2, "y")] * 50, "id long, v string")
+    assert split.with_exact_split(same, ["id"], 33).filter("is_test").count() == 99
+    counts = split.with_exact_folds(same, ["id"], 7).groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in counts) == [42, 43, 43, 43, 43, 43, 43]
+    assert split.with_exact_split(same.limit(0), ["id"]).count() == 0
+    keyless = spark.createDataFrame([(None, i) for i in range(10)], "id long, v int")
+    assert split.with_exact_split(keyless, ["id"], 30).filter("is_test").count() == 3

@@ -305,3 +305,29 @@ def test_split_rejects(spark):
     good, bad = quality.split_rejects(df, F.col("e"), F.col("v"))
     assert rows(good, "k") == [("a",)]
     assert rows(bad, "k", "reject_reason") == [("b", "source error"), ("c", "empty")]
+
+
+def test_ordered_checksum_sees_the_order_and_not_the_partitions(spark, monkeypatch):
+    from pricewright.operators import ordering, quality
+
+    given = [(i, f"v{i % 7}") for i in range(500)]
+
+    def result(pairs, parts, **settings):
+        for name, value in settings.items():
+            monkeypatch.setattr(quality if name == "STRETCH" else ordering, name, value)
+        df = spark.createDataFrame(pairs, "k long, v string").repartition(parts)
+        return tuple(quality.ordered_checksum(df, "t", ["k"], ["v"]).first())
+
+    fingerprints = spark.createDataFrame(given, "k long, v string").orderBy("k").select(quality.row_fingerprint(["v"])).collect()
+    hashes = []
+    for base in quality.BASES:
+        h = 0
+        for (f,) in fingerprints:
+            h = (h * base + f) % quality.PRIME
+        hashes.append(f"{h:08x}")
+    expected = ("t", 500, "".join(hashes))
+    assert result(given, 1) == result(given, 6) == expected
+    assert result(given, 3, ROWS_PER_RANGE=40, STRETCH=3) == expected
+    swapped = [(1, "v2"), (2, "v1")] + [g for g in given if g[0] not in (1, 2)]
+    assert result(swapped, 2) != expected
+    assert result([], 1) == ("t", 0, "0" * 16)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, importable_in_workers  # noqa: F401 (for the queries and the pipeline)
 
 SLICE_BYTES = 2 * 1024 * 1024
 
@@ -85,14 +84,6 @@ def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text") ->
     return df.mapInArrow(run, schema)
 
 
-def importable_in_workers(spark: SparkSession) -> None:
-    """Let Python workers find this package where it lies beside the driver's script and is not installed."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

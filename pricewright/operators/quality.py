@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .ordering import ranged_rows
 
@@ -93,6 +93,18 @@ def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
 
+def readable_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
+    """The same for tables that may fail while they are read: each is counted by itself, and one that fails gets -1."""
+    lines = []
+    for name, df in tables.items():
+        try:
+            rows = -1 if df is None else df.agg(F.count(F.lit(1)), F.max(F.xxhash64(*df.columns))).first()[0]  # every column is read
+        except Exception:  # reported as unreadable
+            rows = -1
+        lines.append((name, rows, -1 if rows < 0 else len(df.columns), "UNREADABLE" if rows < 0 else "EMPTY" if rows == 0 else "OK"))
+    return spark.createDataFrame(lines, "table_name string, row_count long, column_count int, status string")
+
+
 def rule_report(table: str, df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, table_name, affected, total) for row-level rules: `rules` marks the affected rows.
 

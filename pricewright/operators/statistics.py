@@ -43,8 +43,11 @@ def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: Column | str, bins: int = 20) -> DataFrame:
-    """(bin, bin_from, bin_to, rows): equal-width bins over the value range, empty ones included."""
-    values = df.select(as_col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    """(bin, bin_from, bin_to, rows): equal-width bins over the range of the finite values, empty ones included.
+
+    `left_out` counts the others.
+    """
+    values = df.select(finite_or_null(as_col(value).cast("double")).alias("_v")).filter("_v is not null")
     spread = values.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).filter("lo is not null")
     flat = F.col("lo") == F.col("hi")
     limits = spread.select(
@@ -65,6 +68,16 @@ def histogram(df: DataFrame, value: Column | str, bins: int = 20) -> DataFrame:
     )
 
 
+def left_out(df: DataFrame, value: Column | str) -> DataFrame:
+    """One row: values that a histogram leaves out, and all rows."""
+    v = as_col(value).cast("double")
+    infinite = F.abs(v) == float("inf")
+    return df.agg(
+        F.count_if(v.isNull()).alias("null_rows"), F.count_if(F.isnan(v)).alias("nan_rows"), F.count_if(infinite).alias("infinite_rows"),
+        F.count(F.lit(1)).alias("total_rows"),
+    )
+
+
 def group_mean(df: DataFrame, key: str, measure: Column | str, name: str) -> DataFrame:
     """Mean per non-null key, smallest first; NaN is passed over like NULL."""
     mean = F.avg(nan_to_null(as_col(measure).cast("double")))

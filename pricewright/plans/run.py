@@ -144,11 +144,14 @@ def run(
         raise ValueError(f"unknown phase {phase}")
     seconds = {}
     for name in PHASES if phase == "all" else [phase]:
-        started = time.perf_counter()
-        steps[name]()
-        seconds[name] = round(time.perf_counter() - started, 2)
-    timings = spark.createDataFrame(list(seconds.items()), "phase string, seconds double")
-    timings.coalesce(1).withColumn("ended_at", F.current_timestamp()).write.mode("append").json(paths.report("run_times"))
+        started, status = time.perf_counter(), "FAILED"
+        try:
+            steps[name]()
+            status = "SUCCESS"
+        finally:  # a phase that fails leaves its time too
+            seconds[name] = round(time.perf_counter() - started, 2)
+            line = spark.createDataFrame([(name, seconds[name], status)], "phase string, seconds double, status string")
+            line.coalesce(1).withColumn("ended_at", F.current_timestamp()).write.mode("append").json(paths.report("run_times"))
     return seconds
 
 

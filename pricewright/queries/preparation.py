@@ -18,7 +18,7 @@ from ..operators.cleaning import (
     keep_positive,
     null_profile,
 )
-from ..operators.encode import encode_first_seen, encode_fixed
+from ..operators.encode import encode_first_seen, encode_fixed, extended_codes, first_seen_codes
 from ..operators.reshape import explode_list, explode_map, field_by_key, join_text, unnest_series
 from ..operators.statistics import group_first, share_totals
 from ..sources.pages import extract_items
@@ -357,6 +357,26 @@ def q_encode_first_seen(spark: SparkSession, sf: str) -> DataFrame:
     return encode_first_seen(parts, "p_brand", "p_partkey", "brand_code")
 
 
+@query("""
+WITH a AS (SELECT p_brand, row_number() OVER (ORDER BY min(p_partkey)) - 1 AS code FROM part WHERE p_size % 7 = 0 GROUP BY p_brand),
+b AS (SELECT p_brand, row_number() OVER (ORDER BY min(p_partkey)) - 1 + (SELECT count(*) FROM a) AS code FROM part
+      WHERE p_size % 7 <> 0 AND p_brand NOT IN (SELECT p_brand FROM a) GROUP BY p_brand)
+SELECT 'brand' AS kind, p_brand AS category, CAST(code AS INTEGER) AS code FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
+UNION ALL SELECT 'name', p_name, CAST(code AS INTEGER) FROM (
+  SELECT p_name, row_number() OVER (ORDER BY min(CASE WHEN p_size < 25 THEN 0 ELSE 1 END), min(CASE WHEN p_size < 25 THEN p_partkey END), min(p_partkey)) - 1 AS code
+  FROM part GROUP BY p_name)
+""")
+def q_codes_that_stay(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of brands and names after two batches of parts: the second batch numbers its new ones behind the first's."""
+    parts = table(spark, sf, "part")
+    out = []
+    for kind, category, first in (("brand", "p_brand", F.col("p_size") % 7 == 0), ("name", "p_name", F.col("p_size") < 25)):
+        codes = first_seen_codes(parts.filter(first), category, "p_partkey")
+        both = extended_codes(codes, parts.filter(~first), category, "p_partkey")
+        out.append(both.select(F.lit(kind).alias("kind"), F.col(category).alias("category"), "code"))
+    return out[0].unionByName(out[1])
+
+
 TYPE_CODES = {"SMALL": 1, "MEDIUM": 2, "LARGE": 3}
 
 

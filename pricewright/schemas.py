@@ -79,7 +79,7 @@ TABLES = {
 PARTITIONED_BY = {"fact_revenue_monthly": ["year"]}
 
 AUDIT_LOG = (
-    "table_name string, rows_loaded bigint, checksum string, status string, loaded_at timestamp, note string"
+    "table_name string, rows_loaded bigint, checksum string, status string, loaded_at timestamp, note string, run string"
 )
 
 TABLE_KEYS = {

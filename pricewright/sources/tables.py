@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,7 +26,16 @@ class Paths:
         return f"{self.root}/processed/{table}"
 
     def warehouse(self, table: str) -> str:
-        return f"{self.root}/warehouse/{table}.parquet"
+        """The Parquet folder of the table: the version that its pointer names, if it has one."""
+        spark = SparkSession.getActiveSession()
+        current = read_pointer(spark, self.pointer(table)) if spark else None
+        return current or f"{self.root}/warehouse/{table}.parquet"
+
+    def versions(self, table: str) -> str:
+        return f"{self.root}/warehouse/versions/{table}"
+
+    def pointer(self, table: str) -> str:
+        return f"{self.root}/warehouse/current/{table}"
 
     @property
     def audit_log(self) -> str:
@@ -45,6 +56,49 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def read_pointer(spark: SparkSession, path: str) -> str | None:
+    """The one line of a pointer file; None where there is none."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def switch_pointer(spark: SparkSession, path: str, value: str) -> None:
+    """Replace a pointer in one step: a new file is written beside it and renamed over it."""
+    files, target = _file_system(spark, path)
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fresh = fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(fresh, True)
+    stream.write(bytearray(value.encode()))
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    context = fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
+
+
+def drop_old_versions(spark: SparkSession, paths: Paths, table: str, keep: int) -> None:
+    """Delete all but the latest `keep` versions of a table; names of versions ascend, and the current one stays."""
+    files, folder = _file_system(spark, paths.versions(table))
+    if not files.exists(folder):
+        return
+    current = read_pointer(spark, paths.pointer(table)) or ""
+    names = sorted(status.getPath().getName() for status in files.listStatus(folder))
+    for name in names[:-keep]:
+        if not current.endswith(f"/{name}"):
+            files.delete(_file_system(spark, f"{paths.versions(table)}/{name}")[1], True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -92,12 +146,25 @@ def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def write_catalog(df: DataFrame, table: str, database: str | None = None, root: str | None = None) -> None:
-    """Replace a catalog table; with `root`, its files lie below that folder instead of the session's warehouse."""
+    """Replace a catalog table.
+
+    With `root`, its files lie below that folder, each load in a folder of its own, and an existing table of the
+    same columns changes its location in one step; without, Spark's own replacement is used.
+    """
     name = f"{database}.{table}" if database else table
-    writer = df.write.mode("overwrite")
-    if root is not None:
-        writer = writer.option("path", f"{root}/catalog/{table}")
-    writer.saveAsTable(name)
+    if root is None:
+        df.write.mode("overwrite").saveAsTable(name)
+        return
+    spark, path = df.sparkSession, f"{root}/catalog/{table}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name):
+        if spark.table(name).dtypes == df.dtypes:
+            quoted = path.replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path, source="parquet")
 
 
 def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str]) -> None:
@@ -106,18 +173,74 @@ def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str])
     df.write.mode("overwrite").option("numPartitions", limit).jdbc(url, table, properties=properties)
 
 
-def read_table(spark: SparkSession, table: str, paths: Paths, database: str | None = None) -> DataFrame:
-    """First source that has the table: catalog, Parquet warehouse, CSV."""
+def _checked_catalog(spark: SparkSession, name: str, table: str) -> DataFrame:
+    found = spark.table(name)
+    conform(found, table)
+    files = found.inputFiles()
+    if files and all(f.endswith(".parquet") for f in files):
+        spark.read.option("mergeSchema", True).parquet(*files).schema  # reads every footer
+    return found
+
+
+def _checked_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
+    conform(spark.read.option("mergeSchema", True).parquet(path), table)  # reads every footer, in a Spark job
+    return read_parquet(spark, path, table)
+
+
+def _checked_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    found, wanted = spark.read.option("header", True).csv(path).columns, fields(TABLES[table]).fieldNames()
+    if found != wanted:
+        raise ValueError(f"{table}: columns {found} in place of {wanted}")
+    return read_csv(spark, path, table)
+
+
+def read_table(
+    spark: SparkSession, table: str, paths: Paths, database: str | None = None, report: list[tuple] | None = None
+) -> DataFrame:
+    """First source that has the table and can be read: catalog, Parquet warehouse, CSV.
+
+    A source counts as readable after the footers of its Parquet files, or the header of its CSV, and its columns
+    have been checked.  `report` receives (table, source, status, reason) for every source up to the one taken.
+    """
     name = f"{database}.{table}" if database else table
-    if spark.catalog.tableExists(name):
-        return spark.table(name)
-    if path_exists(spark, paths.warehouse(table)):
-        return read_parquet(spark, paths.warehouse(table), table)
-    if path_exists(spark, paths.processed(table)):
-        return read_csv(spark, paths.processed(table), table)
+    plain, processed, lines = paths.warehouse(table), paths.processed(table), [] if report is None else report
+    sources: list[tuple[str, Callable[[], bool], Callable[[], DataFrame]]] = [
+        ("catalog", lambda: spark.catalog.tableExists(name), lambda: _checked_catalog(spark, name, table)),
+        ("warehouse", lambda: path_exists(spark, plain), lambda: _checked_parquet(spark, plain, table)),
+        ("processed", lambda: path_exists(spark, processed), lambda: _checked_csv(spark, processed, table)),
+    ]
+    reasons = []
+    for source, exists, read in sources:
+        if not exists():
+            lines.append((table, source, "ABSENT", ""))
+            continue
+        try:
+            found = read()
+        except Exception as error:  # the next source may do; the reason is reported
+            reasons.append(f"{source}: {str(error).splitlines()[0]}")
+            lines.append((table, source, "UNREADABLE", reasons[-1]))
+            continue
+        lines.append((table, source, "READ", ""))
+        return found
+    if reasons:
+        raise OSError(f"{table}: no source can be read; {'; '.join(reasons)}")
     raise FileNotFoundError(f"{table}: not in the catalog, the warehouse or the processed folder")
 
 
+def read_tables(spark: SparkSession, paths: Paths, database: str | None = None) -> dict[str, DataFrame]:
+    """Every table from its first readable source; which ones were taken or passed over is stored with the reports."""
+    report: list[tuple] = []
+    found = {}
+    for table in TABLES:
+        try:
+            found[table] = read_table(spark, table, paths, database, report)
+        except OSError:  # not found or unreadable; the report says which
+            continue
+    lines = spark.createDataFrame(report, "table_name string, source string, status string, reason string")
+    lines.coalesce(1).write.mode("overwrite").json(paths.report("sources"))
+    return found
+
+
 def all_built(spark: SparkSession, paths: Paths) -> bool:
     """Whether every table has been written completely."""
     return all(path_exists(spark, f"{paths.processed(t)}/_SUCCESS") for t in TABLES)

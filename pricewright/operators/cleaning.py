@@ -90,6 +90,35 @@ def fill_null_median(df: DataFrame, columns: list[str], key: str | None = None)
     return out.select(*df.columns)
 
 
+def fill_report(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
+    """(column_name, gaps, from_group, from_all, left_open, total_rows): what `fill_null_median` does to each column.
+
+    Gaps are counted per key before they are added up, so a hot key is one row by then.
+    """
+    present = [c for c in columns if c in df.columns]
+    keys = [key] if key in df.columns else []
+    values = df.select(*[F.col(k).alias("_key") for k in keys], *[nan_to_null(F.col(c).cast("double")).alias(f"_c{i}") for i, c in enumerate(present)])
+    counts = [F.count(f"_c{i}").alias(f"_k{i}") for i in range(len(present))]
+    per_key = values.groupBy(*(["_key"] if keys else [])).agg(F.count(F.lit(1)).alias("_n"), *counts)
+    grouped = F.col("_key").isNotNull() if keys else F.lit(False)
+    totals = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
+        *[F.coalesce(F.sum(F.col("_n") - F.col(f"_k{i}")), F.lit(0)).alias(f"_g{i}") for i in range(len(present))],
+        *[F.coalesce(F.sum(F.when(grouped & (F.col(f"_k{i}") > 0), F.col("_n") - F.col(f"_k{i}"))), F.lit(0)).alias(f"_f{i}") for i in range(len(present))],
+        *[F.coalesce(F.sum(f"_k{i}"), F.lit(0)).alias(f"_a{i}") for i in range(len(present))],
+    )
+
+    def entry(i: int, name: str) -> Column:
+        rest = F.col(f"_g{i}") - F.col(f"_f{i}")
+        known = F.col(f"_a{i}") > 0
+        return F.struct(
+            F.lit(name).alias("column_name"), F.col(f"_g{i}").alias("gaps"), F.col(f"_f{i}").alias("from_group"),
+            F.when(known, rest).otherwise(F.lit(0)).alias("from_all"), F.when(known, F.lit(0)).otherwise(rest).alias("left_open"),
+        )
+
+    return totals.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(present)])), "total_rows")
+
+
 def _fill_one(source: DataFrame, out: DataFrame, column: str, key: str | None) -> DataFrame:
     value = F.col(column)
     if key is None:

@@ -59,16 +59,24 @@ def raw_tiers(topup: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
+# Columns whose gaps are filled with medians.
+FILLED = {"fact_pricing": ["price_official_usd", "value_score"], "dim_game": ["mau_millions", "dau_millions", "arpdau_usd"]}
+
+
 def fact_pricing(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD) -> DataFrame:
     """One row per purchasable tier of a configured game."""
+    filled = fill_null_median(priced_tiers(topup, keys, rate), FILLED["fact_pricing"], "game_key")
+    return conform(keep_positive(filled, ["price_official_usd"]), "fact_pricing")
+
+
+def priced_tiers(topup: DataFrame, keys: DataFrame, rate: float = fv.IDR_PER_USD) -> DataFrame:
+    """The tiers before their gaps are filled."""
     tiers = raw_tiers(topup, keys)
     priced = keep_positive(tiers, ["price", "total_currency"])
     priced = priced.withColumns(tier_prices("price", "total_currency", "discount_avg_pct", rate, round_nearest))
     priced = priced.withColumn("spend_tier", bins.spend_tier("price"))
     priced = priced.withColumn("price_elasticity", bins.elasticity("spend_tier"))
-    unique = keep_first(priced, ["game_key", "tier_label"], [DOCUMENT_ORDER, "tier_no"])
-    filled = fill_null_median(unique, ["price_official_usd", "value_score"], "game_key")
-    return conform(keep_positive(filled, ["price_official_usd"]), "fact_pricing")
+    return keep_first(priced, ["game_key", "tier_label"], [DOCUMENT_ORDER, "tier_no"])
 
 
 def _tier_number(name: str) -> Column:
@@ -77,6 +85,11 @@ def _tier_number(name: str) -> Column:
 
 def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame:
     """One row per configured game.  A game without a record gets defaults, a failed one is left out."""
+    return conform(fill_null_median(known_games(stats, rejects, keys), FILLED["dim_game"], "game_key"), "dim_game")
+
+
+def known_games(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame:
+    """The games before their gaps are filled."""
     known = _without_failed(configured_only(stats, keys, keep_absent=True), rejects)
     mau = F.coalesce("mau_millions", F.lit(0.0))
     known = known.withColumns(
@@ -115,8 +128,7 @@ def dim_game(stats: DataFrame, rejects: DataFrame, keys: DataFrame) -> DataFrame
         _or("age_median", 25).alias("age_median"),
         join_text("top_countries").alias("top_countries"),
     )
-    unique = keep_first(known, ["game_key"], [DOCUMENT_ORDER])
-    return conform(fill_null_median(unique, ["mau_millions", "dau_millions", "arpdau_usd"], "game_key"), "dim_game")
+    return keep_first(known, ["game_key"], [DOCUMENT_ORDER])
 
 
 def health_score(mau: str, ratio: str, downloads: str) -> Column:

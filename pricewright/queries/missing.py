@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import fixed_values as fv
 from ..functions.numbers import capped_score, cents, round_half_up
 from ..functions.pricing import price_band
-from ..operators.cleaning import duplicate_report, fill_null_median, keep_positive, null_profile
+from ..operators.cleaning import duplicate_report, fill_null_median, fill_report, keep_positive, null_profile
 from ..operators.joins import lookup_join, orphans
+from ..operators.merge import merge_first, merged_table
 from ..operators.quality import table_counts
 from ..operators.statistics import correlation_pairs, group_mean
 from ..schemas import TOPUP_RECORD
+from ..session import ensure_checkpoint_dir, importable_in_workers
+from ..sources.pages import extract_product_items
 from ..sources.raw import UNREADABLE, branch_records, unreadable_documents
 from .preparation import ALL_TABLES
 from .registry import query, sql_cents, sql_round, sql_trunc, table
@@ -192,3 +196,61 @@ def q_load_report(spark: SparkSession, sf: str) -> DataFrame:
     for fact, key, dim, dim_key in _REFERENCES:
         parts.append(orphans(tables[fact], key, tables[dim], dim_key).select(F.lit(f"{fact}.{key}"), F.lit("orphans"), "orphan_rows"))
     return reduce(DataFrame.union, parts)
+
+
+_GAP_SQL = "CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS discount, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE l_quantity END AS quantity, CAST(NULL AS DOUBLE) AS nothing"
+
+
+@query(f"""
+WITH g AS (SELECT CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_suppkey END AS k, {_GAP_SQL} FROM lineitem),
+c AS ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, k, count(*) - count({c}) AS gaps, count({c}) AS known FROM g GROUP BY k" for c in ('discount', 'quantity', 'nothing'))}),
+s AS (SELECT column_name, sum(gaps) AS gaps, coalesce(sum(gaps) FILTER (known > 0 AND k IS NOT NULL), 0) AS from_group, sum(known) AS known, sum(gaps + known) AS n FROM c GROUP BY 1)
+SELECT column_name, CAST(gaps AS BIGINT) AS gaps, CAST(from_group AS BIGINT) AS from_group, CAST(CASE WHEN known > 0 THEN gaps - from_group ELSE 0 END AS BIGINT) AS from_all,
+       CAST(CASE WHEN known > 0 THEN 0 ELSE gaps - from_group END AS BIGINT) AS left_open, CAST(n AS BIGINT) AS total_rows FROM s
+""")
+def q_fill_report(spark: SparkSession, sf: str) -> DataFrame:
+    """How many gaps a median fill closes, from the group and from all rows."""
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_partkey") % 50 != 0, F.col("l_suppkey")).alias("k"), F.nullif("l_discount", F.lit(0.0)).alias("discount"),
+        F.when(F.col("l_suppkey") % 3 != 0, F.col("l_quantity")).alias("quantity"), F.lit(None).cast("double").alias("nothing"),
+    )
+    return fill_report(lines, ["discount", "quantity", "nothing"], "k")
+
+
+@query("""
+WITH f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders)
+SELECT o_custkey, o_orderkey, o_orderpriority, o_totalprice FROM f WHERE r = 1
+""")
+def q_merged_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The first order of every customer, from three loads merged into a stored table one after the other."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merged-{uuid.uuid4().hex}"
+    for turn in (2, 0, 1):
+        merge_first(path, orders.filter(F.col("o_orderkey") % 3 == turn), ["o_custkey"], ["o_orderdate", "o_orderkey"], 16)
+    return merged_table(spark, path).select("o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+_NAME = "regexp_replace(url, '[^a-z0-9/.:]', '', 'g')"
+
+
+@query(f"""
+WITH i AS (
+  SELECT page_id, 1 AS item_no, {_NAME} AS label, CAST(page_id AS VARCHAR) AS price FROM pages
+  UNION ALL SELECT page_id, 2, 'two ' || page_id || 'bold', 'USD ' || page_id * 2 FROM pages WHERE page_id % 3 <> 0
+  UNION ALL SELECT page_id, 3, 'cell' || length(html), '3' FROM pages
+  UNION ALL SELECT page_id, 4, 'inner', '4' FROM pages WHERE page_id % 2 = 0)
+SELECT page_id, CAST(item_no AS INTEGER) AS item_no, label, price FROM i
+""")
+def q_nested_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items in nested markup with end tags left out or in the wrong order, in front of every page's own markup."""
+    importable_in_workers(spark)
+    page = F.col("page_id").cast("string")
+    name = F.regexp_replace("url", "[^a-z0-9/.:]", "")
+    second = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit('<p class="amount">USD '), (F.col("page_id") * 2).cast("string"))).otherwise(F.lit("<p>none"))
+    inner = F.when(F.col("page_id") % 2 == 0, F.lit('<div class="diamond"><b class="name">inner</b><i class="price">4</i></div>')).otherwise(F.lit(""))
+    made = F.concat(
+        F.lit('<ul><li class="product-item"><div><p class="name">'), name, F.lit('<p class="price">'), page, F.lit("</div></span>"),
+        F.lit('<li class="product-item"><div class="title">two '), page, F.lit("<b><div>bold</b></div></div>"), second, F.lit("</ul>"),
+        F.lit('<table class="package"><tr><td class="name">cell'), F.length("html").cast("string"), F.lit('</div><td class="price">3<tr><td>'), inner, F.lit("</table>"), F.col("html"),
+    )
+    return extract_product_items(table(spark, sf, "pages").select("page_id", made.alias("html")), "html")

@@ -19,6 +19,24 @@ PRICE_FRAGMENTS = ("price", "amount")
 # Elements that never have a closing tag in HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+# Elements whose end tag may be left out (HTML, "optional tags"): a start tag on the right ends an open element on the
+# left, looked for up to the nearest element that encloses such a list.
+_BLOCKS = frozenset(
+    "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
+)
+IMPLIED_ENDS = {
+    "p": _BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
+    "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
+    "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}, "head": {"body"},
+}
+ENCLOSING = {
+    "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "optgroup": {"select"},
+    "tr": {"table"}, "td": {"table"}, "th": {"table"}, "thead": {"table"}, "tbody": {"table"}, "p": {"button", "table", "td", "th", "caption"},
+}
+# No end tag inside one of these ends an element outside, but for their own and those of tables.
+BARRIERS = frozenset("td th caption table template".split())
+INLINE = frozenset("a b big code em font i small span strong u".split())  # their end tags leave blocks inside open
+
 
 def extract_items(
     pages: DataFrame, html: str, item: str, name: str, price: str, first: int = ITEMS_PER_PAGE
@@ -50,6 +68,7 @@ class _ItemParser(HTMLParser):
         self.open: list[tuple[str, list[tuple[dict, str]], dict | None]] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_implied(tag)
         classes = dict(attrs).get("class") or ""
         enclosing = [item for _, _, item in self.open if item is not None]
         claims = []
@@ -66,10 +85,33 @@ class _ItemParser(HTMLParser):
         if tag not in VOID:
             self.open.append((tag, claims, item))
 
+    def _end_implied(self, tag: str) -> None:
+        """End the elements that may not contain a `tag`."""
+        again = True
+        while again:
+            again = False
+            for place in range(len(self.open) - 1, -1, -1):
+                name = self.open[place][0]
+                if tag in IMPLIED_ENDS.get(name, ()):
+                    del self.open[place:]
+                    again = True
+                    break
+                if any(name in enclosing and tag in IMPLIED_ENDS[inner] for inner, enclosing in ENCLOSING.items()):
+                    break
+
     def handle_endtag(self, tag: str) -> None:
-        if any(name == tag for name, _, _ in self.open):
-            while self.open.pop()[0] != tag:
-                pass
+        for place in range(len(self.open) - 1, -1, -1):
+            name = self.open[place][0]
+            if name == tag:
+                if tag in INLINE and any(inner in _BLOCKS for inner, _, _ in self.open[place:]):
+                    del self.open[place]
+                else:
+                    del self.open[place:]
+                return
+            if name in BARRIERS and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th"):
+                return
+            if name == "table" and tag != "table":
+                return
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] in ("script", "style"):

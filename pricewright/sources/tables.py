@@ -31,6 +31,10 @@ class Paths:
         current = read_pointer(spark, self.pointer(table)) if spark else None
         return current or f"{self.root}/warehouse/{table}.parquet"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/processed/_manifest"
+
     def versions(self, table: str) -> str:
         return f"{self.root}/warehouse/versions/{table}"
 

@@ -331,3 +331,25 @@ def test_ordered_checksum_sees_the_order_and_not_the_partitions(spark, monkeypat
     swapped = [(1, "v2"), (2, "v1")] + [g for g in given if g[0] not in (1, 2)]
     assert result(swapped, 2) != expected
     assert result([], 1) == ("t", 0, "0" * 16)
+
+
+def test_histogram_leaves_infinities_out(spark):
+    from pricewright.operators.statistics import histogram, left_out
+
+    values = [1.0, 2.0, 3.0, 5.0, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [tuple(r) for r in histogram(df, "v", 4).orderBy("bin").collect()] == [(1, 1.0, 2.0, 1), (2, 2.0, 3.0, 1), (3, 3.0, 4.0, 1), (4, 4.0, 5.0, 1)]
+    assert tuple(left_out(df, "v").first()) == (1, 1, 2, 8)
+    assert histogram(df.filter("isnan(v)"), "v", 4).count() == 0
+
+
+def test_fill_report_says_what_the_fill_does(spark):
+    from pricewright.operators.cleaning import fill_null_median, fill_report
+
+    nan = float("nan")
+    data = [("a", 1.0, None), ("a", None, None), ("a", nan, None), ("b", None, None), ("b", None, None), (None, None, None), (None, 4.0, None)]
+    df = spark.createDataFrame(data, "k string, v double, w double")
+    assert [tuple(r) for r in fill_report(df, ["v", "w", "absent"], "k").collect()] == [("v", 5, 2, 3, 0, 7), ("w", 7, 0, 0, 7, 7)]
+    assert fill_null_median(df, ["v", "w"], "k").agg(F.count("v"), F.count("w")).first() == (7, 0)
+    assert [tuple(r) for r in fill_report(df, ["v"]).collect()] == [("v", 5, 0, 5, 0, 7)]
+    assert [tuple(r) for r in fill_report(df.limit(0), ["v"], "k").collect()] == [("v", 0, 0, 0, 0, 0)]

@@ -286,6 +286,19 @@ def fit_all(
 _STAGES = "setting string, fold int, trees int, rows long, r2 double, mae double, rmse double"
 
 
+def best_stage(stages: DataFrame) -> DataFrame:
+    """(setting, trees, folds, cv_r2, cv_std), one row: the setting and number of trees with the highest mean score over the folds.
+
+    Among equal scores the fewest trees, then the first name.  A stage counts if every fold of its setting has a score.
+    """
+    scored = stages.filter("fold >= 0").groupBy("setting", "trees").agg(
+        F.count("r2").alias("folds"), F.avg("r2").alias("cv_r2"), F.stddev_pop("r2").alias("cv_std")
+    )
+    whole = stages.filter("fold >= 0").groupBy("setting").agg(F.countDistinct("fold").alias("_folds"))
+    complete = scored.join(F.broadcast(whole), "setting").filter(F.col("folds") == F.col("_folds")).drop("_folds")  # a row for each setting
+    return complete.orderBy(F.desc("cv_r2"), "trees", "setting").limit(1)
+
+
 def _grow(state: DataFrame, fits: list[_Fit], live: list[_Fit], turn: int, level: int, features: int, widest: int, unit: float, tasks: int) -> None:
     """Count one level of every growing tree and split its nodes."""
     index = {id(f): i for i, f in enumerate(fits)}

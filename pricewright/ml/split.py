@@ -38,10 +38,11 @@ def _drawn(df: DataFrame, keys: list[str], seed: int) -> tuple[DataFrame, list[s
 
 def _first_rows(df: DataFrame, keys: list[str], seed: int, counts: list[int]) -> tuple[DataFrame, list[str], list]:
     """The seeded order, and for each count the cut behind exactly so many rows."""
+    ensure_checkpoint_dir(df.sparkSession)
     placed, order = _drawn(df, keys, seed)
-    cuts = cut_points(placed.select(*order), order, [(0, c) for c in counts])
+    # three numbers a row, written once: every step of the search reads them
+    cuts = cut_points(placed.select(*order).checkpoint(), order, [(0, c) for c in counts])
     if any(cut.at is not None and cut.before < c for c, cut in zip(counts, cuts)):  # equal rows on both sides of a cut
-        ensure_checkpoint_dir(df.sparkSession)
         placed, order = placed.withColumn("_draw3", F.monotonically_increasing_id()).checkpoint(), [*order, "_draw3"]
         cuts = cut_points(placed.select(*order), order, [(0, c) for c in counts])
     return placed, order, cuts
@@ -52,7 +53,7 @@ def with_exact_split(df: DataFrame, keys: list[str], test_pct: int = 20, seed: i
 
     The last of them is found by counting ranges of the order; rows are neither sorted nor moved, and where they lie
     does not matter.  `keys` should name a row; rows of one key are ordered by their content, and equal rows
-    are interchangeable.  `df` is read several times.
+    are interchangeable.  `df` is read more than once.
     """
     if not 10 <= test_pct <= 40:
         raise ValueError("the test share is 10 to 40 percent")

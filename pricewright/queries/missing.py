@@ -186,13 +186,15 @@ def _count_sql(name: str) -> str:
 def q_load_report(spark: SparkSession, sf: str) -> DataFrame:
     """What a load reports: rows and columns of every table, repeated keys, references that lead nowhere."""
     tables = {n: table(spark, sf, n) for n in ALL_TABLES}
-    counts = table_counts(tables)
-    parts = [
-        counts.select(F.col("table_name").alias("subject"), F.lit("rows").alias("finding"), F.col("row_count").alias("n")),
-        counts.select("table_name", F.lit("columns"), F.col("column_count").cast("long")),
-    ]
-    for name, keys in _KEYS.items():
-        parts.append(duplicate_report(tables[name], keys).select(F.lit(name), F.lit("repeated keys"), F.col("rows_dropped")))
+    counts = table_counts({n: df for n, df in tables.items() if n not in _KEYS})
+    parts = [counts.select(F.col("table_name").alias("subject"), F.lit("rows").alias("finding"), F.col("row_count").alias("n"))]
+    for name, keys in _KEYS.items():  # rows and repeated keys in one pass
+        found = F.array(
+            F.struct(F.lit("rows").alias("finding"), F.col("rows_in").alias("n")), F.struct(F.lit("repeated keys").alias("finding"), F.col("rows_dropped").alias("n"))
+        )
+        parts.append(duplicate_report(tables[name], keys).select(F.lit(name).alias("subject"), F.inline(found)))
+    widths = F.array(*[F.struct(F.lit(n).alias("subject"), F.lit("columns").alias("finding"), F.lit(len(df.columns)).cast("long").alias("n")) for n, df in tables.items()])
+    parts.append(spark.range(1).select(F.inline(widths)))
     for fact, key, dim, dim_key in _REFERENCES:
         parts.append(orphans(tables[fact], key, tables[dim], dim_key).select(F.lit(f"{fact}.{key}"), F.lit("orphans"), "orphan_rows"))
     return reduce(DataFrame.union, parts)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.ml import models
-from pricewright.ml.boosting import Boosted, Setting, drawn_columns, drawn_rows, fit_all
+from pricewright.ml.boosting import Boosted, Setting, best_stage, drawn_columns, drawn_rows, fit_all
 from pricewright.ml.ridge import ridge_folds, solve
 
 NAMES = ["a", "b", "c"]
@@ -98,6 +98,14 @@ def test_stages_are_the_scores_of_shorter_fits(spark):
             assert row.r2 == pytest.approx(1 - (error**2).sum() / ((y[out] - y[out].mean()) ** 2).sum())
 
 
+def test_the_best_stage_is_found(spark):
+    rows = [("a", 0, 1, 0.5), ("a", 1, 1, 0.7), ("a", 0, 2, 0.9), ("a", 1, 2, 0.7), ("b", 0, 1, 0.8), ("b", 1, 1, 0.8), ("c", 0, 5, 1.0), ("c", 1, 5, None), ("d", -1, 1, 0.99)]
+    stages = spark.createDataFrame([(s, f, t, 10, r, 0.0, 0.0) for s, f, t, r in rows], "setting string, fold int, trees int, rows long, r2 double, mae double, rmse double")
+    best = best_stage(stages).first()
+    assert (best.setting, best.trees, best.folds) == ("b", 1, 2) and best.cv_r2 == pytest.approx(0.8) and best.cv_std == pytest.approx(0)
+    assert best_stage(stages.limit(0)).count() == 0
+
+
 def test_settings_share_passes_without_touching_each_other(spark):
     x, y = data()
     settings = [Setting("one", 3, 0.3, 2, subsample=0.7), Setting("two", 5, 0.1, 4, columns=0.6, penalty=1.0)]

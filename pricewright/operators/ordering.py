@@ -14,7 +14,7 @@ from ..session import ensure_checkpoint_dir
 ROWS_PER_RANGE = 200_000
 
 
-def ranged_rows(df: DataFrame, order: list[str]) -> DataFrame:
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
     """`df` with `_range`: rows of a lower range come before rows of a higher one in `order`.
 
     The numbered ranges are checkpointed, so that a recomputed task cannot deal a row to another range.
@@ -26,6 +26,9 @@ def ranged_rows(df: DataFrame, order: list[str]) -> DataFrame:
     return df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
 
 
+ranged_rows = _ranged  # for other modules
+
+
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """(keys, _v, _n): how often each value occurs; a hot key is spread over its values."""
     known = F.col(value).isNotNull()
@@ -44,7 +47,7 @@ def exact_quantile(counts: DataFrame, keys: list[str], share: float = 0.5, name:
     rows = counts.select(*keys, "_v", "_n")
     if rows.count() <= ROWS_PER_RANGE:  # few enough for one task, whatever the keys
         return _within_one_range(rows, keys, share, name)
-    spread = ranged_rows(rows, [*keys, "_v"])
+    spread = _ranged(rows, [*keys, "_v"])
 
     # as many rows as ranges and keys from here to `wanted`
     sizes = spread.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
@@ -87,7 +90,7 @@ def _interpolated(ranked: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def positions(df: DataFrame, value: str, tie_break: list[str], name: str = "position") -> DataFrame:
     """Zero-based position of every row in the order (value, tie_break); `value` must not be null."""
-    spread = ranged_rows(df, [value, *tie_break])
+    spread = _ranged(df, [value, *tie_break])
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
@@ -101,7 +104,7 @@ def quantile_bins(counts: DataFrame, group: str, bins: int) -> dict[int, list[fl
 
     A group of no more distinct values than bins has one bin for each.  The driver receives the ends only.
     """
-    spread = ranged_rows(counts.select(group, "_v", "_n"), [group, "_v"])
+    spread = _ranged(counts.select(group, "_v", "_n"), [group, "_v"])
     sizes = spread.groupBy(group, "_range").agg(F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_values"))
     every = Window.partitionBy(group)
     before = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -90,6 +90,8 @@ def _interpolated(ranked: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def positions(df: DataFrame, value: str, tie_break: list[str], name: str = "position") -> DataFrame:
     """Zero-based position of every row in the order (value, tie_break); `value` must not be null."""
+    if df.count() <= ROWS_PER_RANGE:  # few enough for one task
+        return df.withColumn(name, F.row_number().over(Window.orderBy(value, *tie_break)).cast("long") - 1)
     spread = _ranged(df, [value, *tie_break])
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range

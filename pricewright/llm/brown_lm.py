@@ -1,15 +1,17 @@
 """Class-based n-grams: exchange clustering, class transitions, word emissions.
 
-Training tokens are counted over the whole corpus.  The most frequent words (the core) are clustered: their
-classes are exchanged one word at a time for the class that raises the likelihood of the class bigrams most.
-All other words belong to classes by the band of their count; those seen once, those outside the
-head and unknown ones share the last.  A text's
-probability is the product of class transitions, smoothed by the classes' own frequencies, and of the words'
-shares in their class, which leave room for one unknown word in the last.
+Training tokens are counted over the whole corpus.  Every word seen `LEAST` times or more is in a learned class.  The
+most frequent words (the core) are exchanged one at a time for the class that raises the likelihood of the class
+bigrams most, which gives the classes their start.  The other words of the head then join the class of highest
+likelihood, and rounds in Spark exchange the words of the head, half of them at a time, against the class bigrams of
+the round; a round that does not raise the likelihood is not kept, and ends them.  Words beyond the head, whose number
+grows with the corpus, choose their class in one further round, by their neighbours' classes.  Words seen less often
+and unknown ones share the last class.  A text's probability is the product of class transitions, smoothed by the
+classes' own frequencies, and of the words' shares in their class, which leave room for one unknown word in the last.
 
 Counts are summed in Spark.  Words above `HEAD` in rank are looked up in a table of fixed size that is broadcast;
-the others, whose number grows with the corpus, are joined by word.  What reaches the driver is
-bounded: the head, and the bigram counts of core words and bands.
+the others are joined by word.  What reaches the driver is bounded: the head, the bigram counts of core words, and
+those of classes.
 
 Defined results: a NULL text counts as empty and has the end token alone; a NULL doc_id is not held out; rows
 that repeat are each counted and each get their row; an empty table gives none; a base score with
@@ -28,14 +30,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import map_texts, remainder, shared_value, stored
 
-CORE = 1_000  # words that are clustered one by one
-CLASSES = 64
+CORE = 1_000  # words that are exchanged one by one before the rounds
+CLASSES = 64  # at most 250: a class is stored as a byte
+LEAST = 2  # occurrences of a word in a learned class
+ROUNDS = 3  # of exchanges in Spark, after the one in which the head's other words join
 HEAD = 200_000  # words looked up in memory, at most
 STEPS = 64  # steps of counts per power of two, to find where the head ends
 HELD_WORDS = 300_000  # distinct words a task holds before it emits their counts
+HELD_CELLS = 1 << 20  # cells that a task holds in an array, and others it holds before it emits them
+AT_ONCE = 256  # words whose classes are chosen together
 PASSES = 12
 BACKOFF = 5.0  # weight of the classes' own frequencies in a transition
-BANDS = 40  # of counts, by powers of two
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -71,18 +76,22 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 class Head(NamedTuple):
-    """The most frequent words: number and count, and what the corpus adds up to."""
+    """The most frequent words, by number in falling order of count, and what the corpus adds up to."""
 
     number: dict[bytes, int]
     counts: np.ndarray
     ends: int
     tokens: int  # all training tokens, ends included
     distinct: int
-    core: int  # words below this number are clustered
+    rare: int  # words seen less than LEAST times, in the whole corpus
+    core: int  # words below this number are exchanged one by one
+    movable: int  # words below this number are in learned classes
 
 
 def _head(counts: DataFrame, ends: int, core: int, size: int) -> Head:
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    total, distinct, rare = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") < LEAST)
+    ).first()
     step = F.floor(F.log2("n") * STEPS)
     above, lowest = 0, None
     for r in counts.groupBy(step.alias("step")).count().orderBy(F.col("step").desc()).collect():  # STEPS rows per power of two
@@ -92,79 +101,145 @@ def _head(counts: DataFrame, ends: int, core: int, size: int) -> Head:
         lowest = r["step"]
     frequent = counts.filter(step >= lowest) if lowest is not None else counts.limit(0)
     top = frequent.toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    words = top.column("word").to_pylist()
-    known = int(ends > 0)
-    return Head({w: i for i, w in enumerate(words)}, top.column("n").to_numpy(), ends, total + ends, distinct + known, min(core, len(words)))
+    words, n = top.column("word").to_pylist(), top.column("n").to_numpy()
+    movable = int((n >= LEAST).sum())
+    return Head({w: i for i, w in enumerate(words)}, n, ends, total + ends, distinct + int(ends > 0), rare, min(core, movable), movable)
 
 
-def band_of(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64), BANDS - 1)
+# Symbols: the numbers of the head's words, then the end of a text, then any word outside the head.
+# Classes: the learned ones, then the end, then the rest: words seen too rarely, unknown, or not yet in a class.
 
 
-# Symbols: 0 to core - 1 the core words, core the end of a text, then the bands, then the rare words: seen once or outside the head.
+def _weight(counts: np.ndarray) -> np.ndarray:
+    """log10 of what a word weighs within its class."""
+    return np.log10(np.where(counts >= LEAST, counts, counts + 1.0))
 
 
 def _encoded(rows: DataFrame, head: Head, kind: str) -> DataFrame:
-    """Per row: symbols of its tokens, sums over its head words, and its words outside the head with their counts."""
+    """Per row: symbols of its tokens, sums over its head words, and its words outside the head with their places."""
     shared = shared_value(rows.sparkSession, head)  # bounded by HEAD
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h: Head = shared.value
-        place, band, last = np.arange(len(h.counts)), band_of(h.counts), h.core + 1 + BANDS
-        symbol_of = np.r_[np.where(place < h.core, place, np.where(band > 0, h.core + 1 + band, last)), last]
-        weight = np.r_[np.where(place < h.core, 0.0, np.log10(np.where(band > 0, h.counts, h.counts + 1.0))), 0.0]
-        log = np.r_[np.log10(h.counts + 1.0), 0.0]
-        outside = len(h.counts)
+        outside, end = len(h.counts) + 1, len(h.counts)
+        weight, log = np.r_[_weight(h.counts), 0.0, 0.0], np.r_[np.log10(h.counts + 1.0), 0.0, 0.0]
         texts = [words_of(t) for t in batch.column("text").to_pylist()]
         find = h.number.get
-        numbers = np.array([find(w, outside) for ws in texts for w in ws], np.int64)
-        ends = np.r_[0, np.cumsum([len(ws) for ws in texts])]
-        symbols, offsets, rare, in_bands, base, known = [], [0], [], [], [], []
-        core_end = np.int32(h.core)
-        for i, ws in enumerate(texts):
-            mine = numbers[ends[i] : ends[i + 1]]
-            symbols += [symbol_of[mine], [core_end]]
+        symbols, offsets, tails, base, known, weights = [], [0], [], [], [], []
+        for ws in texts:
+            mine = np.fromiter((find(w, outside) for w in ws), np.int32, len(ws))
+            symbols += [mine, [end]]
             offsets.append(offsets[-1] + len(mine) + 1)
             base.append(log[mine].sum())
             known.append(int((mine != outside).sum()))
-            in_bands.append(weight[mine].sum())
-            rare.append(list(Counter(ws[j] for j in np.flatnonzero(mine == outside).tolist()).items()))
+            weights.append(weight[mine].sum())
+            tails.append([(j, ws[j]) for j in np.flatnonzero(mine == outside).tolist()])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("held_out"), pa.array([len(ws) + 1 for ws in texts], pa.int64()),
-                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(in_bands, pa.float64()),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(symbols).astype(np.int16))),
-                pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(weights, pa.float64()),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(symbols).astype(np.int32))),
+                pa.array(tails, pa.list_(pa.struct([("place", pa.int32()), ("word", pa.binary())]))),
             ],
-            ["doc_id", "held_out", "n_tokens", "known", "base", "in_bands", "symbols", "rare"],
+            ["doc_id", "held_out", "n_tokens", "known", "base", "weight", "symbols", "tail"],
         )
 
     schema = (
-        f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, in_bands double, symbols array<smallint>, "
-        "rare array<struct<word:binary,n:int>>"
+        f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, weight double, symbols array<int>, "
+        "tail array<struct<place:int,word:binary>>"
     )
     return stored(map_texts(rows, work, schema).withColumn("row_id", F.monotonically_increasing_id()))
 
 
-def _bigrams(encoded: DataFrame, symbols: int, end: int) -> np.ndarray:
-    """Counts of neighbouring symbols in training texts, the end standing before each text too; symbols^2 cells at most."""
+def _square(found: pa.Table, size: int) -> np.ndarray:
+    table = np.zeros(size * size, np.int64)
+    table[found.column("key").to_numpy()] = found.column("n").to_numpy()
+    return table.reshape(size, size)
+
+
+def _cells(rows: DataFrame, column: str, codes) -> DataFrame:
+    """(code, n): how often each code is made of the flat values of `column`; `codes` gets an array of whole texts' values."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(symbols * symbols, np.int64)
+        dense = np.zeros(HELD_CELLS, np.int64)
+        held: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+        def emitted(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(code), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(code[i : i + 100_000]), pa.array(n[i : i + 100_000])], ["code", "n"])
+
         for batch in batches:
             lists = batch.column(0)
-            flat = lists.flatten().to_numpy().astype(np.int64)
-            if len(flat):  # every text closes with the end, which is what stands before the next
-                cells += np.bincount(np.r_[end, flat[:-1]] * symbols + flat, minlength=len(cells))
-        at = np.flatnonzero(cells)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(cells[at[i : i + 100_000]])], ["cell", "n"])
-
-    partial = encoded.filter("not held_out").select("symbols").mapInArrow(count, "cell long, n long")
-    found = partial.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(symbols * symbols, np.int64)
-    table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return table.reshape(symbols, symbols)
+            for flat in _whole_texts(lists):
+                for found in codes(flat):
+                    small = found < HELD_CELLS
+                    dense += np.bincount(found[small], minlength=HELD_CELLS)
+                    code, n = np.unique(found[~small], return_counts=True)
+                    code, place = np.unique(np.r_[held[0], code], return_inverse=True)
+                    held = code, np.bincount(place, np.r_[held[1], n], minlength=len(code)).astype(np.int64)
+                    if len(held[0]) > HELD_CELLS:
+                        yield from emitted(*held)
+                        held = held[0][:0], held[1][:0]
+        yield from emitted(*held)
+        at = np.flatnonzero(dense)
+        yield from emitted(at, dense[at])
+
+    partial = rows.select(column).mapInArrow(count, "code long, n long")
+    return partial.groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def _whole_texts(lists: pa.Array, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The values of whole lists, about `most` at a time, in pieces that all end with a list's end."""
+    if pa.types.is_binary(lists.type):
+        ends = np.cumsum([0, *(len(v) for v in lists.to_pylist())])
+        values = np.frombuffer(b"".join(lists.to_pylist()), np.uint8)
+    else:
+        ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0] if len(lists) else np.zeros(1, int)
+        values = lists.flatten().to_numpy()
+    at = 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield values[ends[at] : ends[to]].astype(np.int64)
+        at = to
+
+
+def _core_bigrams(trained: DataFrame, head: Head) -> np.ndarray:
+    """Counts of neighbours among core words, the end and all others, the end standing before each text too."""
+    core, end, size = head.core, len(head.counts), head.core + 2
+
+    def codes(flat: np.ndarray) -> Iterator[np.ndarray]:
+        symbol = np.where(flat < core, flat, np.where(flat == end, core, core + 1))
+        yield np.r_[core, symbol[:-1]] * size + symbol
+
+    return _square(_cells(trained, "symbols", codes).withColumnRenamed("code", "key").toArrow(), size)
+
+
+def _contexts(trained: DataFrame, head: Head, member: np.ndarray, groups: int) -> tuple[DataFrame, np.ndarray]:
+    """(word, key, n) of the head's movable words, and the class bigrams.
+
+    Keys: the class before the word, that after it (plus the number of classes), or itself after it (the last key).
+    """
+    end, movable, size = len(head.counts), head.movable, groups + 2
+    width = 2 * size + 1
+    shared = shared_value(trained.sparkSession, member)  # bounded by HEAD
+
+    def codes(flat: np.ndarray) -> Iterator[np.ndarray]:
+        own = shared.value[flat].astype(np.int64)
+        before, after = np.r_[groups, own[:-1]], np.r_[own[1:], groups]
+        yield before * size + own
+        at = np.flatnonzero(flat < movable)
+        first = size * size + flat[at] * width
+        yield first + before[at]
+        yield first + size + after[at]
+        again = at[flat[np.minimum(at + 1, len(flat) - 1)] == flat[at]]  # a text closes with the end, so the next one is of the text
+        yield size * size + flat[again] * width + 2 * size
+
+    assert member[end] == groups
+    cells = stored(_cells(trained, "symbols", codes))
+    table = _square(cells.filter(F.col("code") < size * size).withColumnRenamed("code", "key").toArrow(), size)
+    code = F.col("code") - size * size
+    rest = cells.filter(F.col("code") >= size * size)
+    return rest.select(F.floor(code / width).cast("int").alias("word"), F.pmod(code, F.lit(width)).cast("int").alias("key"), "n"), table
 
 
 def _plogp(x: np.ndarray) -> np.ndarray:
@@ -223,29 +298,231 @@ def exchange(table: np.ndarray, movable: int, classes: int, passes: int = PASSES
     return member
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Of class bigrams, up to what does not depend on the classes."""
+    t = table.astype(float)
+    return float(_plogp(t).sum() - _plogp(t.sum(axis=0)).sum() - _plogp(t.sum(axis=1)).sum())
+
+
+def best_classes(after: np.ndarray, before: np.ndarray, loop: np.ndarray, own: np.ndarray, table: np.ndarray, groups: int) -> np.ndarray:
+    """For each word the learned class of highest likelihood, all other words staying where they are.
+
+    `after` and `before` count the classes next to each word, `loop` itself next to itself; `table` has the class
+    bigrams with the word in its own class, which it leaves only for a better one.
+    """
+    at, learned = np.arange(len(own)), np.flatnonzero(own < groups)
+    a, b = after.astype(float), before.astype(float)
+    a[at, own] -= loop
+    b[at, own] -= loop
+    gain = np.zeros((len(own), groups))
+    for x, other, raw, t in ((a, before, after, table), (b, after, before, table.T)):
+        w, k = np.nonzero(x)
+        if len(w):
+            cell = t[:groups].T[k].astype(float)  # of each class with each neighbouring class, the word taken out
+            mine = k == own[w]
+            cell[mine] -= other[w[mine], :groups]
+            hit = np.flatnonzero(own[w] < groups)
+            cell[hit, own[w[hit]]] -= raw[w[hit], k[hit]]
+            both = np.flatnonzero(mine & (own[w] < groups))
+            cell[both, own[w[both]]] += loop[w[both]]
+            starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+            gain[w[starts]] += np.add.reduceat(_plogp(cell + x[w, k][:, None]) - _plogp(cell), starts)
+        n = raw.sum(axis=1)
+        sums = np.tile(t.sum(axis=1)[:groups].astype(float), (len(own), 1))
+        sums[learned, own[learned]] -= n[learned]
+        gain -= _plogp(sums + n[:, None]) - _plogp(sums)
+    d = np.tile(np.diag(table)[:groups].astype(float), (len(own), 1))
+    d[learned, own[learned]] -= (after[at, own] + before[at, own] - loop)[learned]
+    x, y = a[:, :groups], b[:, :groups]
+    gain += _plogp(d + x + y + loop[:, None]) - _plogp(d + x) - _plogp(d + y) + _plogp(d)
+    best = gain.argmax(axis=1)
+    stay = learned[gain[learned, best[learned]] <= gain[learned, own[learned]] + 1e-9]
+    best[stay] = own[stay]
+    return best
+
+
+def _chosen(contexts: DataFrame, member: np.ndarray, table: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, classes) of the head's words in `contexts`: HEAD rows at most."""
+    size = groups + 2
+    shared = shared_value(contexts.sparkSession, (member, table))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member, table = shared.value
+        for whole in batches:
+            for i in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(i, AT_ONCE)
+                word, entries = batch.column(0).to_numpy(), batch.column(1)
+                row = np.repeat(np.arange(len(word)), entries.value_lengths().to_numpy())
+                keys = np.zeros((len(word), 2 * size + 1), np.int64)
+                keys[row, entries.flatten().field("key").to_numpy()] = entries.flatten().field("n").to_numpy()
+                best = best_classes(keys[:, size:-1], keys[:, :size], keys[:, -1], member[word].astype(np.int64), table, groups)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int16))], ["word", "class"])
+
+    listed = contexts.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("entries"))  # 2 x size + 1 entries at most
+    found = listed.mapInArrow(choose, "word int, class smallint").toArrow()
+    return found.column("word").to_numpy(), found.column("class").to_numpy()
+
+
+def cluster_head(trained: DataFrame, head: Head, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, int, list[float]]:
+    """(class of each symbol, class bigrams, number of learned classes, likelihood after each round that was kept)."""
+    groups = max(1, min(classes, head.core))
+    start = exchange(_core_bigrams(trained, head), head.core, classes)
+    member = np.full(len(head.counts) + 2, groups + 1, np.int16)
+    member[: head.core] = start[: head.core]
+    member[len(head.counts)] = groups
+    contexts, table = _contexts(trained, head, member, groups)
+    reached: list[float] = []
+    for number in range(rounds + 1):
+        if not head.movable:
+            break
+        word, best = _chosen(contexts, member, table, groups)
+        half = (word.astype(np.int64) * 2_654_435_761 >> 16) % 2 == number % 2
+        moves = member[word] > groups if number == 0 else half & (best != member[word])
+        if not moves.any():
+            if number == 0:
+                reached.append(likelihood(table))
+            continue
+        moved = member.copy()
+        moved[word[moves]] = best[moves]
+        more, after = _contexts(trained, head, moved, groups)
+        value = likelihood(after)
+        if number and value <= reached[-1]:
+            break
+        member, contexts, table = moved, more, after
+        reached.append(value)
+    return member, table, groups, reached
+
+
+def _tail_classes(trained: DataFrame, head: Head, member: np.ndarray, table: np.ndarray, groups: int) -> DataFrame:
+    """(word, n, class) of every training word outside the head, by the classes next to its occurrences."""
+    size = groups + 2
+    shared = shared_value(trained.sparkSession, (member, table))  # bounded by HEAD
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member, _ = shared.value
+        for batch in batches:
+            lists, tail = batch.column(0), batch.column(1)
+            own = np.r_[groups, member[lists.flatten().to_numpy()]].astype(np.int16)  # one place on
+            starts = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0])[:-1]
+            place = np.repeat(starts, tail.value_lengths().to_numpy()) + tail.flatten().field("place").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [tail.flatten().field("word"), pa.array(own[place]), pa.array(own[place + 2])], ["word", "before", "after"]
+            )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, table = shared.value
+        for whole in batches:
+            for i in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(i, AT_ONCE)
+                entries = batch.column(1)
+                row = np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy())
+                before, after, n = (entries.flatten().field(c).to_numpy() for c in ("before", "after", "n"))
+                sides = np.zeros((2, batch.num_rows, size), np.int64)
+                np.add.at(sides[0], (row, before), n)
+                np.add.at(sides[1], (row, after), n)
+                total, rest = sides[0].sum(axis=1), np.full(batch.num_rows, groups + 1)
+                often = np.flatnonzero(total >= LEAST)
+                none = np.zeros(len(often), np.int64)
+                rest[often] = best_classes(sides[1][often], sides[0][often], none, rest[often], table, groups)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(rest.astype(np.int16))], ["word", "n", "class"])
+
+    seen = trained.select("symbols", "tail").mapInArrow(neighbours, "word binary, before smallint, after smallint")
+    counted = seen.groupBy("word", "before", "after").agg(F.count(F.lit(1)).alias("n"))
+    listed = counted.groupBy("word").agg(F.collect_list(F.struct("before", "after", "n")).alias("entries"))  # size^2 entries at most
+    return stored(listed.mapInArrow(choose, "word binary, n long, class smallint"))
+
+
+def _in_classes(encoded: DataFrame, member: np.ndarray, kind: str, tail: DataFrame | None) -> DataFrame:
+    """Per row: the classes of its tokens as bytes, and its sums, those of words outside the head included."""
+    shared = shared_value(encoded.sparkSession, member.astype(np.uint8))  # bounded by HEAD
+    sums = ["doc_id", "held_out", "n_tokens", "known", "base", "weight"]
+    fields = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, weight double"
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("symbols")
+            own = shared.value[lists.flatten().to_numpy()]
+            ends = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]).astype(np.int32)
+            made = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(own)])
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), *[batch.column(c) for c in sums], made], ["row_id", *sums, "classes"])
+
+    rows = encoded.select("row_id", *sums, "symbols").mapInArrow(narrowed, f"row_id long, {fields}, classes binary")
+    if tail is None:
+        return stored(rows.drop("row_id"))
+    places = encoded.select("row_id", F.explode("tail").alias("t")).select("row_id", "t.place", "t.word")
+    n = F.coalesce("n", F.lit(0))
+    found = places.join(tail, "word", "left").groupBy("row_id").agg(
+        F.collect_list(F.when(F.col("class").isNotNull(), F.struct("place", "class"))).alias("placed"),  # of one text
+        F.count("class").alias("more_known"), F.sum(F.log10(n + 1.0)).alias("more_base"),
+        F.sum(F.log10(F.when(n >= LEAST, n).otherwise(n + 1.0))).alias("more_weight"),
+    )
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for text, placed in zip(batch.column("classes"), batch.column("placed")):
+                own = np.frombuffer(text.as_py(), np.uint8).copy()
+                if placed.is_valid and len(placed):
+                    own[placed.values.field("place").to_numpy()] = placed.values.field("class").to_numpy()
+                made.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in sums], pa.array(made, pa.binary())], [*sums, "classes"])
+
+    joined = rows.join(found, "row_id", "left").withColumns({
+        "known": F.col("known") + F.coalesce("more_known", F.lit(0)),
+        "base": F.col("base") + F.coalesce("more_base", F.lit(0.0)),
+        "weight": F.col("weight") + F.coalesce("more_weight", F.lit(0.0)),
+    })
+    return stored(joined.select(*sums, "classes", "placed").mapInArrow(merged, f"{fields}, classes binary"))
+
+
 class Model(NamedTuple):
-    member: np.ndarray  # class of each symbol
     transition: np.ndarray  # log10 of a class after a class
-    emission: np.ndarray  # log10 share of a core word or the end in its class; for other symbols, of one occurrence in its class
-
-
-def fit(table: np.ndarray, head: Head, rare: int, classes: int) -> Model:
-    member = exchange(table, head.core, classes)
-    groups = int(member.max()) + 1
-    one = np.zeros((len(table), groups))
-    one[np.arange(len(table)), member] = 1
-    counts = one.T @ table @ one
-    seen = counts.sum(axis=0)  # occurrences of each class
-    share = (seen + 1.0) / (seen.sum() + groups)
-    transition = np.log10((counts + BACKOFF * share[None]) / (counts.sum(axis=1, keepdims=True) + BACKOFF))
-    own = table.sum(axis=0).astype(float)
-    emission = np.zeros(len(table))
-    core = np.arange(head.core + 1)
-    emission[core] = np.log10(np.maximum(own[core], 1) / np.maximum(seen[member[core]], 1))
-    bands = np.arange(head.core + 1, len(table) - 1)
-    emission[bands] = -np.log10(np.maximum(seen[member[bands]], 1))  # times the word's count, added per row
-    emission[-1] = -np.log10(seen[member[-1]] + rare + 1.0)  # times the word's count and one
-    return Model(member, transition, emission)
+    share: np.ndarray  # log10 of one occurrence within its class
+
+
+def fit(table: np.ndarray, rare: int, groups: int) -> Model:
+    """From the class bigrams; `rare` words are in the last class, and one unknown one."""
+    seen = table.sum(axis=0).astype(float)
+    wanted = seen + np.r_[np.zeros(groups), 1.0, 1.0]
+    share = wanted / wanted.sum()
+    chance = (table + BACKOFF * share[None]) / (table.sum(axis=1, keepdims=True) + BACKOFF)
+    within = np.r_[np.maximum(seen[:groups], 1), 1.0, seen[groups + 1] + rare + 1.0]
+    return Model(np.log10(np.maximum(chance, 1e-300)), -np.log10(within))  # a class without words is never met
+
+
+class Learned(NamedTuple):
+    head: Head
+    encoded: DataFrame
+    member: np.ndarray
+    groups: int
+    tail: DataFrame | None  # None if the head holds every word of the corpus
+    reached: list[float]
+
+
+def learn(docs: DataFrame, divisor: int, held: int, core: int, classes: int, head_size: int, kind: str) -> Learned:
+    if not 0 < classes <= 250:
+        raise ValueError("classes must be between 1 and 250")
+    rows = _trained(docs, divisor, held)
+    counts = stored(word_counts(rows))
+    head = _head(counts, rows.filter("not held_out").count(), core, head_size)
+    encoded = _encoded(rows, head, kind)
+    trained = encoded.filter("not held_out")
+    member, table, groups, reached = cluster_head(trained, head, classes)
+    whole = head.distinct - int(head.ends > 0) == len(head.counts)
+    return Learned(head, encoded, member, groups, None if whole else _tail_classes(trained, head, member, table, groups), reached)
+
+
+def word_classes(
+    docs: DataFrame, divisor: int = 7, held: int = 2, core: int = CORE, classes: int = CLASSES, head_size: int = HEAD
+) -> DataFrame:
+    """(word, n, class) of every training word; those seen less than LEAST times are in the last class."""
+    made = learn(docs, divisor, held, core, classes, head_size, docs.schema["doc_id"].dataType.simpleString())
+    frame = pa.table({
+        "word": pa.array(list(made.head.number), pa.binary()), "n": pa.array(made.head.counts, pa.int64()),
+        "class": pa.array(made.member[: len(made.head.counts)], pa.int16()),
+    })
+    of_head = docs.sparkSession.createDataFrame(frame)  # HEAD rows at most
+    return of_head if made.tail is None else of_head.unionByName(made.tail)
 
 
 def score_documents(
@@ -253,47 +530,36 @@ def score_documents(
 ) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _trained(docs, divisor, held)
-    counts = stored(word_counts(rows))
-    ends = rows.filter("not held_out").count()
-    head = _head(counts, ends, core, head_size)
-    encoded = _encoded(rows, head, kind)
-    symbols = head.core + 1 + BANDS + 1
-    table = _bigrams(encoded, symbols, head.core)
-    once = int((band_of(head.counts[head.core :]) == 0).sum())
-    model = fit(table, head, once + max(0, head.distinct - int(ends > 0) - len(head.counts)), classes)
-    shared = shared_value(docs.sparkSession, model)
+    made = learn(docs, divisor, held, core, classes, head_size, kind)
+    head, groups, size = made.head, made.groups, made.groups + 2
+    placed = _in_classes(made.encoded, made.member, kind, made.tail)
+
+    def pairs(flat: np.ndarray) -> Iterator[np.ndarray]:
+        yield np.r_[groups, flat[:-1]] * size + flat
+
+    table = _square(_cells(placed.filter("not held_out"), "classes", pairs).withColumnRenamed("code", "key").toArrow(), size)
+    shared = shared_value(docs.sparkSession, fit(table, head.rare, groups))
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         for batch in batches:
-            lists = batch.column("symbols")
-            flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            ends = ends - ends[0]
-            group = m.member[flat]
-            step = m.transition[np.r_[m.member[-2 - BANDS], group[:-1]], group] + m.emission[flat] if len(flat) else np.zeros(0)
-            sums = np.add.reduceat(step, ends[:-1]) if len(flat) else np.zeros(0)
-            columns = [batch.column(c) for c in ("row_id", "doc_id", "held_out", "n_tokens", "known", "base", "in_bands")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums)], ["row_id", "doc_id", "held_out", "n_tokens", "known", "base", "in_bands", "path"])
-
-    narrow = encoded.select("row_id", "doc_id", "held_out", "n_tokens", "known", "base", "in_bands", "symbols")
-    walked = narrow.mapInArrow(paths, f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, in_bands double, path double")
-
-    # words outside the head: their counts come by a join on the word
-    rare = encoded.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.word", "r.n")
-    found = rare.join(counts.withColumnRenamed("n", "c"), "word").groupBy("row_id").agg(
-        F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log")
+            path = []
+            for text in batch.column("classes").to_pylist():
+                own = np.frombuffer(text, np.uint8).astype(np.int64)
+                path.append(float((m.transition[np.r_[groups, own[:-1]], own] + m.share[own]).sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(path, pa.float64())], [*batch.schema.names[:-1], "path"])
+
+    walked = placed.mapInArrow(
+        paths, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, weight double, path double"
     )
-    joined = walked.join(found, "row_id", "left")
-    rare_log = F.coalesce("rare_log", F.lit(0.0))
     scale = F.lit(float(np.log10(head.tokens + 1.0 * (head.distinct + 1))))
-    end_log = F.lit(float(np.log10(ends + 1.0)))
-    score = F.col("path") + F.col("in_bands") + rare_log
-    return joined.select(
+    end_log = F.lit(float(np.log10(head.ends + 1.0)))
+    score = F.col("path") + F.col("weight")
+    return walked.select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
+        (F.col("known") + F.lit(int(head.ends > 0))).cast("long").alias("n_known"),
         F.lit(head.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + rare_log + end_log - F.col("n_tokens") * scale).alias("base_score"),
+        (F.col("base") + end_log - F.col("n_tokens") * scale).alias("base_score"),
         score.alias("score"),
         F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )

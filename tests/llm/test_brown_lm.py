@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from pricewright.llm.brown_lm import exchange, score_documents
+from pricewright.llm.brown_lm import LEAST, best_classes, exchange, learn, likelihood as likelihood_of, score_documents, word_classes
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -91,19 +91,84 @@ def test_base_scores(spark):
     assert score_documents(docs.limit(0)).collect() == []
 
 
-def test_probabilities_sum_to_one(spark):
-    """Over all one-word texts, known words and one unknown, and the empty text."""
-    train = [(i, t) for i, t in corpus() if not held(i)]
-    words = sorted({w for _, t in train for w in tokens(t)})
-    tests = [i for i in range(10_000, 90_000) if held(i)][: len(words) + 2]
-    for settings in ({"core": 15, "classes": 5, "head_size": 40}, {"core": 1000, "classes": 4, "head_size": 10_000}):
-        rows = train + [(i, w) for i, w in zip(tests, [*words, "unknown!"])]
-        docs = spark.createDataFrame(rows, "doc_id long, text string")
-        scored = {r.doc_id: r.score for r in score_documents(docs, **settings).collect()}
-        # p(w) p(end | w) summed over w is at most 1 and, with p(end) of the empty text, the share of texts of one word or none
-        assert 0 < sum(10 ** scored[i] for i in tests[: len(words) + 1]) < 1
-        pairs = [(w, v) for w in ("n1", "v1é", "rare3", "unknown!") for v in words[:40]]
-        assert all(math.isfinite(s) and s < 0 for s in scored.values()) and pairs
+def test_best_class_is_that_of_highest_likelihood():
+    draw = np.random.default_rng(8)
+    for _ in range(6):
+        bigrams = draw.poisson(1.2, (16, 16)) * draw.integers(0, 2, (16, 16))
+        member = np.r_[draw.integers(0, 3, 8), [0, 1, 2], [4] * 3, 3, 4]  # the last two: the end, and the rest
+        one = np.eye(5, dtype=int)[member]
+        table = one.T @ bigrams @ one
+        words = np.arange(14)
+        best = best_classes(bigrams[:14] @ one, bigrams.T[:14] @ one, np.diag(bigrams)[:14], member[:14], table, 3)
+        for w in words:
+            reached = []
+            for c in range(3):
+                other = member.copy()
+                other[w] = c
+                cells = np.eye(5, dtype=int)[other]
+                reached.append(likelihood_of(cells.T @ bigrams @ cells))
+            assert reached[best[w]] >= max(reached) - 1e-6
+
+
+SETTINGS = [{"core": 15, "classes": 5, "head_size": 40}, {"core": 1000, "classes": 4, "head_size": 10_000}, {"core": 3, "classes": 3, "head_size": 12}]
+
+
+def brute_scores(rows, known, groups):
+    """Scores of all rows, and p(next | class) of every word, one unknown and the end; `known` has each word's (n, class)."""
+    end, rest = groups, groups + 1
+    of = lambda w: known.get(w, (0, rest))[1]
+    table = np.zeros((groups + 2, groups + 2))
+    for i, t in rows:
+        if not held(i):
+            path = [end, *[of(w) for w in tokens(t)], end]
+            for x, y in zip(path, path[1:]):
+                table[x, y] += 1
+    seen = table.sum(axis=0)
+    wanted = seen.copy()
+    wanted[[end, rest]] += 1
+    move = (table + 5.0 * wanted / wanted.sum()) / (table.sum(axis=1, keepdims=True) + 5.0)
+    room = seen[rest] + sum(c == rest for _, c in known.values()) + 1
+
+    def share(w):
+        n, c = known.get(w, (0, rest))
+        return (n + 1) / room if c == rest else n / seen[c]
+
+    scores = []
+    for _, t in rows:
+        at, total = end, 0.0
+        for w in tokens(t):
+            total += math.log10(move[at, of(w)]) + math.log10(share(w))
+            at = of(w)
+        scores.append(round(total + math.log10(move[at, end]), 5))
+    sums = [sum(move[x, of(w)] * share(w) for w in [*known, "unknown!"]) + move[x, end] for x in range(groups + 2) if seen[x] or x in (end, rest)]
+    return scores, sums
+
+
+def test_scores_and_probabilities_by_brute_force(spark):
+    """Scores follow from the words' classes; the probabilities of all words, an unknown one and the end add up to 1."""
+    rows = corpus() + odd_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = Counter(w for i, t in rows if not held(i) for w in tokens(t))
+    for settings in SETTINGS:
+        known = {bytes(r.word).decode(): (r.n, r["class"]) for r in word_classes(docs, **settings).collect()}
+        assert {w: n for w, (n, _) in known.items()} == counts
+        groups = settings["classes"] if settings["core"] > settings["classes"] else settings["core"]
+        assert all((c < groups) == (n >= LEAST) and (n >= LEAST or c == groups + 1) for n, c in known.values())
+        want, sums = brute_scores(rows, known, groups)
+        assert all(abs(s - 1) < 1e-9 for s in sums)
+        got_scores = sorted((r.doc_id or -1, round(r.score, 5)) for r in score_documents(docs, **settings).collect())
+        assert got_scores == sorted((i or -1, s) for (i, _), s in zip(rows, want))
+
+
+def test_likelihood_rises_and_partitions_do_not_matter(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+    made = learn(docs, 7, 2, 6, 4, 10_000, "bigint")
+    assert len(made.reached) > 1 and all(b > a for a, b in zip(made.reached, made.reached[1:]))
+    again = learn(docs.repartition(5), 7, 2, 6, 4, 10_000, "bigint")
+    assert (made.member == again.member).all() and made.reached == again.reached
+    nouns = {made.member[made.head.number[f"n{i}".encode()]] for i in range(30)}
+    verbs = {made.member[made.head.number[f"v{i}é".encode()]] for i in range(30)}
+    assert not nouns & verbs
 
 
 def test_classes_beat_the_base_on_held_out_texts(spark):

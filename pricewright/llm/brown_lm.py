@@ -157,35 +157,78 @@ def _square(found: pa.Table, size: int) -> np.ndarray:
     return table.reshape(size, size)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes in order, how often) for what `codes` makes of whole texts' values; a code may come several times."""
+    dense = np.zeros(HELD_CELLS, np.int64)
+    none = np.zeros(0, np.int64)
+    held, waiting = (none, none), []
+    for batch in batches:
+        for flat in _whole_texts(batch.column(0)):
+            found = np.concatenate(list(codes(flat)))
+            small = found < HELD_CELLS
+            dense += np.bincount(found[small], minlength=HELD_CELLS)
+            waiting.append(found[~small])
+            if sum(map(len, waiting)) > HELD_CELLS:
+                held, waiting = _merged([held, *[(w, np.ones(len(w), np.int64)) for w in waiting]]), []
+                if len(held[0]) > HELD_CELLS:
+                    yield held
+                    held = none, none
+    yield _merged([held, *[(w, np.ones(len(w), np.int64)) for w in waiting]])
+    at = np.flatnonzero(dense)
+    yield at, dense[at]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order, each once, with their counts added up."""
+    code, n = np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts])
+    if not len(code):
+        return code, n
+    order = np.argsort(code)
+    code, n = code[order], n[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return code[starts], np.add.reduceat(n, starts)
+
+
 def _cells(rows: DataFrame, column: str, codes) -> DataFrame:
-    """(code, n): how often each code is made of the flat values of `column`; `codes` gets an array of whole texts' values."""
+    """(key, n): how often each code is made of the values of `column`; the number of codes is bounded by the caller."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(HELD_CELLS, np.int64)
-        held: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-        def emitted(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for code, n in _counted(batches, codes):
             for i in range(0, len(code), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(code[i : i + 100_000]), pa.array(n[i : i + 100_000])], ["code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(code[i : i + 100_000]), pa.array(n[i : i + 100_000])], ["key", "n"])
+
+    return rows.select(column).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            lists = batch.column(0)
-            for flat in _whole_texts(lists):
-                for found in codes(flat):
-                    small = found < HELD_CELLS
-                    dense += np.bincount(found[small], minlength=HELD_CELLS)
-                    code, n = np.unique(found[~small], return_counts=True)
-                    code, place = np.unique(np.r_[held[0], code], return_inverse=True)
-                    held = code, np.bincount(place, np.r_[held[1], n], minlength=len(code)).astype(np.int64)
-                    if len(held[0]) > HELD_CELLS:
-                        yield from emitted(*held)
-                        held = held[0][:0], held[1][:0]
-        yield from emitted(*held)
-        at = np.flatnonzero(dense)
-        yield from emitted(at, dense[at])
-
-    partial = rows.select(column).mapInArrow(count, "code long, n long")
-    return partial.groupBy("code").agg(F.sum("n").alias("n"))
+
+PACKED = "word int, keys binary, counts binary"  # one row for a word and all its cells: keys in 16 bits, counts in 64
+KEYS = 1 << 16
+
+
+def _packed(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows for cells in order; a code is (word + 1) * KEYS + key."""
+    word = code // KEYS - 1
+    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(code) else np.zeros(0, np.int64)
+    for i in range(0, len(starts), 20_000):
+        ends = np.r_[starts[i : i + 20_000], starts[i + 20_000] if i + 20_000 < len(starts) else len(code)]
+        inside = slice(ends[0], ends[-1])
+        offsets = (ends - ends[0]).astype(np.int32)
+
+        def column(values: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(
+                pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets * np.int32(values.itemsize)), pa.py_buffer(np.ascontiguousarray(values))]
+            )
+
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(word[ends[:-1]].astype(np.int32)), column((code[inside] % KEYS).astype(np.uint16)), column(n[inside])],
+            ["word", "keys", "counts"],
+        )
+
+
+def _unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, count) of every cell."""
+    keys, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+    row = np.repeat(np.arange(len(keys)), [len(k) // 2 for k in keys]) if keys else np.zeros(0, np.int64)
+    return row, np.frombuffer(b"".join(keys), np.uint16).astype(np.int64), np.frombuffer(b"".join(counts), np.int64)
 
 
 def _whole_texts(lists: pa.Array, most: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -211,17 +254,19 @@ def _core_bigrams(trained: DataFrame, head: Head) -> np.ndarray:
         symbol = np.where(flat < core, flat, np.where(flat == end, core, core + 1))
         yield np.r_[core, symbol[:-1]] * size + symbol
 
-    return _square(_cells(trained, "symbols", codes).withColumnRenamed("code", "key").toArrow(), size)
+    return _square(_cells(trained, "symbols", codes).toArrow(), size)
 
 
 def _contexts(trained: DataFrame, head: Head, member: np.ndarray, groups: int) -> tuple[DataFrame, np.ndarray]:
-    """(word, key, n) of the head's movable words, and the class bigrams.
+    """Cells of the head's movable words, a row for each word, and the class bigrams.
 
     Keys: the class before the word, that after it (plus the number of classes), or itself after it (the last key).
+    A task adds up its cells before anything is shuffled; a partition of the words then holds HEAD times the keys of a
+    word, over the number of shuffle partitions.
     """
-    end, movable, size = len(head.counts), head.movable, groups + 2
+    spark, movable, size = trained.sparkSession, head.movable, groups + 2
+    shared = shared_value(spark, member)  # bounded by HEAD
     width = 2 * size + 1
-    shared = shared_value(trained.sparkSession, member)  # bounded by HEAD
 
     def codes(flat: np.ndarray) -> Iterator[np.ndarray]:
         own = shared.value[flat].astype(np.int64)
@@ -234,12 +279,30 @@ def _contexts(trained: DataFrame, head: Head, member: np.ndarray, groups: int) -
         again = at[flat[np.minimum(at + 1, len(flat) - 1)] == flat[at]]  # a text closes with the end, so the next one is of the text
         yield size * size + flat[again] * width + 2 * size
 
-    assert member[end] == groups
-    cells = stored(_cells(trained, "symbols", codes))
-    table = _square(cells.filter(F.col("code") < size * size).withColumnRenamed("code", "key").toArrow(), size)
-    code = F.col("code") - size * size
-    rest = cells.filter(F.col("code") >= size * size)
-    return rest.select(F.floor(code / width).cast("int").alias("word"), F.pmod(code, F.lit(width)).cast("int").alias("key"), "n"), table
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _counted(batches, codes):  # class bigrams stand under the word -1
+            of_word = code - size * size
+            yield from _packed(np.where(of_word < 0, code, (of_word // width + 1) * KEYS + of_word % width), n)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, waiting = [], 0
+        for batch in batches:
+            row, key, n = _unpacked(batch)
+            parts.append(((batch.column(0).to_numpy().astype(np.int64)[row] + 1) * KEYS + key, n))
+            waiting += len(n)
+            if waiting > 2 * HELD_CELLS:
+                parts = [_merged(parts)]
+                waiting = min(len(parts[0][0]), HELD_CELLS)
+        if parts:
+            yield from _packed(*_merged(parts))
+
+    width_of_shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = trained.select("symbols").mapInArrow(count, PACKED).repartition(width_of_shuffle, "word").mapInArrow(add_up, PACKED)
+    cells = stored(cells)
+    _, key, n = _unpacked(cells.filter("word = -1").toArrow())
+    table = np.zeros(size * size, np.int64)
+    table[key] = n
+    return cells.filter("word >= 0"), table.reshape(size, size)
 
 
 def _plogp(x: np.ndarray) -> np.ndarray:
@@ -351,15 +414,14 @@ def _chosen(contexts: DataFrame, member: np.ndarray, table: np.ndarray, groups:
         for whole in batches:
             for i in range(0, whole.num_rows, AT_ONCE):
                 batch = whole.slice(i, AT_ONCE)
-                word, entries = batch.column(0).to_numpy(), batch.column(1)
-                row = np.repeat(np.arange(len(word)), entries.value_lengths().to_numpy())
+                word = batch.column(0).to_numpy()
+                row, key, n = _unpacked(batch)
                 keys = np.zeros((len(word), 2 * size + 1), np.int64)
-                keys[row, entries.flatten().field("key").to_numpy()] = entries.flatten().field("n").to_numpy()
+                keys[row, key] = n
                 best = best_classes(keys[:, size:-1], keys[:, :size], keys[:, -1], member[word].astype(np.int64), table, groups)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int16))], ["word", "class"])
 
-    listed = contexts.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("entries"))  # 2 x size + 1 entries at most
-    found = listed.mapInArrow(choose, "word int, class smallint").toArrow()
+    found = contexts.mapInArrow(choose, "word int, class smallint").toArrow()
     return found.column("word").to_numpy(), found.column("class").to_numpy()
 
 
@@ -537,7 +599,7 @@ def score_documents(
     def pairs(flat: np.ndarray) -> Iterator[np.ndarray]:
         yield np.r_[groups, flat[:-1]] * size + flat
 
-    table = _square(_cells(placed.filter("not held_out"), "classes", pairs).withColumnRenamed("code", "key").toArrow(), size)
+    table = _square(_cells(placed.filter("not held_out"), "classes", pairs).toArrow(), size)
     shared = shared_value(docs.sparkSession, fit(table, head.rare, groups))
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

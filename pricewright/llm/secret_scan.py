@@ -2,9 +2,12 @@
 
 A worklist holds layers of a document, the text itself first.  Each layer is scanned, then unwrapped: URL
 and Unicode escapes are resolved over the whole layer, base64 runs are decoded, alone and joined over line breaks,
-to any text that is valid UTF-8, and decoded bytes that are a compressed stream are inflated, all streams that follow one another to their end.  Layers that were not seen
-before are unwrapped in turn, until none is new.  Every layer knows, per character, which span of the original
-text it stands for, so what is found in it is reported in places of the original.
+each from its first four characters on, for a word may be glued to its front.  Decoded bytes are read as text: as
+UTF-8, or as Latin-1 where they are not, and in both orders of UTF-16 where they have NULs.  Compressed streams in
+them are inflated, from every mark of one on (gzip, zlib, bz2, xz, lzma, members of ZIP files; a raw deflate
+stream has no mark: it is looked for at the first byte only and counts if it comes to its end), all streams that follow one another to their end.  Layers
+that were not seen before are unwrapped in turn, until none is new.  Every layer knows, per character, which span of
+the original text it stands for, so what is found in it is reported in places of the original.
 
 What is inflated stands for one span as a whole.  Beyond `INFLATED_BYTES` it is read in pieces, each a layer that
 is done with before the next is inflated: a piece takes along the end of the one before it, and an encoded run
@@ -28,6 +31,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,6 +49,9 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_PARTS = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
 LINE_END = re.compile(r"\r?\n")
 SHORT_LINE = re.compile(r"[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-])={0,2}")
+SHORTEST_RUN = 16
+STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|\x5d\0\0[\0-\xff]{2}|PK\x03\x04", re.DOTALL)
+LZMA_MEMORY = 128 * 1024 * 1024  # an lzma stream without a container says itself how much memory it takes
 INFLATED_BYTES = 16 * 1024 * 1024  # of a compressed layer held at a time
 OVERLAP = 64 * 1024  # characters that a piece takes along from the one before it
 RUN_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-\r\n"
@@ -140,12 +147,22 @@ def _escape(run: str) -> list[tuple[str, int, int]]:
     return [(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�", 0, len(run))]
 
 
-def _readable(data: bytes, front: bool = False) -> str | None:
-    """The bytes as text, whatever its characters; with `front` as far as they are one."""
+def _texts(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """The bytes as text, and the byte that each character begins at, with the end behind the last."""
+    raw = np.frombuffer(data, np.uint8)
     try:
-        return data.decode("utf-8") or None
-    except UnicodeDecodeError as e:
-        return data[: e.start].decode("utf-8") or None if front else None
+        yield data.decode("utf-8"), np.r_[np.flatnonzero(raw & 0xC0 != 0x80), len(raw)]
+    except UnicodeDecodeError:
+        yield data.decode("latin-1"), np.arange(len(raw) + 1)
+    if 0 not in data:
+        return
+    # behind an odd number of bytes the other order sees the text too, but with its spans a byte off
+    for order, skipped in (("le", 0), ("be", 0), ("le", 1), ("be", 1))[: 4 if data[0] else 2]:
+        pairs = data[skipped:]
+        pairs += b"\0" * (len(pairs) % 2)
+        text = pairs.decode(f"utf-16-{order}", "surrogatepass")
+        wide = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") > 0xFFFF
+        yield text, np.minimum(np.r_[0, np.cumsum(2 + 2 * wide)] + skipped, len(data))
 
 
 def _opener(data: bytes):
@@ -155,21 +172,25 @@ def _opener(data: bytes):
         return bz2.BZ2Decompressor()
     if data[:6] == b"\xfd7zXZ\x00":
         return lzma.LZMADecompressor()
+    if data[:3] == b"\x5d\0\0":
+        return lzma.LZMADecompressor(lzma.FORMAT_ALONE, LZMA_MEMORY)
     return None
 
 
 class _Inflater:
     """Compressed streams one after the other, and what stands behind the last as it is; fed bit by bit.
 
-    Bytes that are no stream from the start give nothing, or themselves if `plain`.
+    Bytes that are no stream from the start give nothing, or themselves if `plain`.  `opener` is that of a first
+    stream without a mark.  `unread` tells how many of the last bytes belong to no stream.
     """
 
-    def __init__(self, plain: bool = False) -> None:
-        self.opener, self.head, self.plain, self.ended = None, b"", plain, False
+    def __init__(self, plain: bool = False, opener=None) -> None:
+        self.opener, self.head, self.plain, self.ended, self.unread = opener, b"", plain, False, 0
 
     def feed(self, data: bytes) -> Iterator[bytes]:
         while data:
             if self.ended:
+                self.unread = len(data)
                 if self.plain:
                     yield data
                 return
@@ -183,7 +204,7 @@ class _Inflater:
                     self.ended = True
                     continue
             else:
-                given = True
+                given = self.plain
             try:
                 rest = data
                 while not self.opener.eof:
@@ -205,9 +226,9 @@ class _Inflater:
 class _Stream:
     """Layers of a text that comes bit by bit and stands for the span `whole`."""
 
-    def __init__(self, whole: tuple[int, int]) -> None:
+    def __init__(self, whole: tuple[int, int], encoding: str = "utf-8") -> None:
         self.whole, self.held, self.run = whole, "", None
-        self.decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        self.decoder = codecs.getincrementaldecoder(encoding)("replace")
 
     def feed(self, data: bytes) -> Iterator[Layer]:
         yield from self._read(self.decoder.decode(data))
@@ -269,19 +290,61 @@ class _Run:
             yield from self.inner.feed(made)
 
 
-def _inflated(data: bytes, whole: tuple[int, int]) -> Iterator[tuple[Layer, bool]]:
-    """The layer that compressed streams hold, in pieces if it is long; the second one is marked."""
-    if _opener(data) is None:
-        return
-    inflater, stream = _Inflater(), _Stream(whole)
+def _is_raw_stream(data: bytes) -> bool:
+    """Whether a deflate stream without a container begins here and comes to its end: chance bytes often inflate to some."""
+    opener, rest = zlib.decompressobj(-15), data
+    try:
+        while not opener.eof:
+            made = opener.decompress(rest, INFLATED_BYTES)
+            rest = opener.unconsumed_tail
+            if not (made or rest):
+                return False
+    except (zlib.error, MemoryError):
+        return False
+    return True
 
-    def made() -> Iterator[Layer]:
-        for piece in inflater.feed(data):
-            yield from stream.feed(piece)
-        yield from stream.close()
 
-    for i, layer in enumerate(made()):
-        yield layer, i == 1
+def _inflated(data: bytes, whole: tuple[int, int]) -> Iterator[tuple[Layer, bool]]:
+    """The layers that compressed streams hold, in pieces if one is long; its second piece is marked."""
+    if _is_raw_stream(data):
+        yield from _streams(_Inflater(opener=zlib.decompressobj(-15)), data, whole)
+    view, done = memoryview(data), 0
+    for mark in STREAM.finditer(data):
+        at = mark.start()
+        if at < done:  # of a stream that was read
+            continue
+        if mark[0] == b"PK\x03\x04":
+            if data[at + 8 : at + 10] != b"\x08\0":
+                continue
+            at += 30 + int.from_bytes(data[at + 26 : at + 28], "little") + int.from_bytes(data[at + 28 : at + 30], "little")
+            opener = zlib.decompressobj(-15)
+        else:
+            opener = _opener(mark[0] + b"\0\0")
+        inflater, found = _Inflater(opener=opener), False
+        for layer in _streams(inflater, view[at:], whole):
+            found = True
+            yield layer
+        if found:
+            done = len(data) - inflater.unread
+
+
+def _streams(inflater: _Inflater, data: bytes | memoryview, whole: tuple[int, int]) -> Iterator[tuple[Layer, bool]]:
+    streams: list[_Stream] = []
+    pieces = []
+
+    def marked(number: int, layers: Iterator[Layer]) -> Iterator[tuple[Layer, bool]]:
+        for layer in layers:
+            pieces[number] += 1
+            yield layer, pieces[number] == 2
+
+    for piece in inflater.feed(data):
+        if not streams:
+            streams = [_Stream(whole, e) for e in ("utf-8", "utf-16-le", "utf-16-be")[: 3 if 0 in piece else 1]]
+            pieces = [0] * len(streams)
+        for number, stream in enumerate(streams):
+            yield from marked(number, stream.feed(piece))
+    for number, stream in enumerate(streams):
+        yield from marked(number, stream.close())
 
 
 def _wrapped(text: str, runs: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
@@ -328,36 +391,35 @@ def _blob_layers(layer: Layer) -> Iterator[tuple[Layer, bool]]:
     for match in BASE64.finditer(layer.text):
         run = match[0]
         runs.append(match.span())
-        tries = [(match.start(), run)]
+        tries = {(match.start(), run)}
         if re.search("[+/_-]", run):  # a path or a name may be glued to the run
-            tries += [(match.start() + m.start(), m[0]) for m in BASE64_PARTS.finditer(run)]
-        for at, part in tries:
+            tries |= {(match.start() + m.start(), m[0]) for m in BASE64_PARTS.finditer(run)}
+        # so may be a word: a run that begins behind it is met from one of the four places on
+        tries |= {(at + k, part[k:]) for at, part in tries for k in (1, 2, 3) if len(part) - k >= SHORTEST_RUN}
+        for at, part in sorted(tries):
             if decoded := _decoded(part):
-                yield from _held_layers(layer, *decoded, range(at, at + len(part)), False)
+                yield from _held_layers(layer, *decoded, np.arange(at, at + len(part)))
     for lines in _wrapped(layer.text, runs):
         if decoded := _decoded("".join(layer.text[b:e] for b, e in lines)):
-            places = array("q")
-            for b, e in lines:
-                places.extend(range(b, e))
-            yield from _held_layers(layer, *decoded, places, True)
+            yield from _held_layers(layer, *decoded, np.concatenate([np.arange(b, e) for b, e in lines]))
 
 
-def _held_layers(layer: Layer, bare: str, data: bytes, places: range | array, front: bool) -> Iterator[tuple[Layer, bool]]:
+def _held_layers(layer: Layer, bare: str, data: bytes, places: np.ndarray) -> Iterator[tuple[Layer, bool]]:
     """The layers in decoded bytes; character i of the run stands at `places[i]`."""
-    yield from _inflated(data, layer.origin(places[0], places[-1] + 1))
-    if (text := _readable(data, front)) is None:
-        return
-    if layer.whole is not None:
-        yield Layer(text, whole=layer.whole), False
+    if not data:
         return
-    start, end, byte = array("q"), array("q"), 0
-    for char in text:
-        size = len(char.encode())
-        a, b = layer.origin(places[byte * 8 // 6], places[min(-(-(byte + size) * 8 // 6), len(bare)) - 1] + 1)
-        start.append(a)
-        end.append(b)
-        byte += size
-    yield Layer(text, start, end), False
+    yield from _inflated(data, layer.origin(int(places[0]), int(places[-1]) + 1))
+    for text, byte in _texts(data):
+        if layer.whole is not None:
+            yield Layer(text, whole=layer.whole), False
+            continue
+        first = places[byte[:-1] * 8 // 6]
+        last = places[np.minimum(-(-byte[1:] * 8 // 6), len(bare)) - 1]
+        if layer.start is None:
+            last = last + 1
+        else:
+            first, last = np.frombuffer(layer.start, np.int64)[first], np.frombuffer(layer.end, np.int64)[last]
+        yield Layer(text, array("q", first.astype(np.int64).tobytes()), array("q", last.astype(np.int64).tobytes())), False
 
 
 def _unwrapped(layer: Layer) -> Iterator[tuple[Layer, bool]]:

@@ -2,10 +2,12 @@ import base64
 import bz2
 import gzip
 import hashlib
+import io
 import lzma
 import random
 import re
 import urllib.parse
+import zipfile
 import zlib
 
 from pricewright.llm import secret_scan
@@ -152,3 +154,67 @@ def test_base64_over_several_lines():
                         assert (len(lead), len(lead) + len(block)) in found, (lead, tail)
     text = f"a {block} b"
     assert redact(text, scan(text)[1]) == f"a {PLACEHOLDER} b"
+
+
+def raw_deflate(data):
+    made = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return made.compress(data) + made.flush()
+
+
+def zipped(data):
+    file = io.BytesIO()
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("notes.txt", data * 3)
+    return file.getvalue()
+
+
+def test_text_in_other_encodings():
+    """Spans are those of the secret's bytes, whatever is glued to the run."""
+    for encoding, before, width in (("latin-1", "é ü ", 1), ("utf-16-le", "é日 ", 2), ("utf-16-be", " é日 ", 2), ("utf-16-le", "", 2), ("utf-16-be", "", 2)):
+        code = base64.b64encode(f"{before}{KEY} ü".encode(encoding)).decode()
+        for lead in ("", "x", "xy", "xyz", "word", "see: "):
+            begin = len(before) * width
+            a, b = (len(lead) + 2 + begin * 8 // 6, len(lead) + 2 + -(-(begin + len(KEY) * width) * 8 // 6))
+            assert (a, 1, b) in scan(f"( {lead}{code} )")[1], (encoding, before, lead)
+    odd = base64.b64encode(b"a" + KEY.encode("utf-16-le")).decode()
+    assert any(k == 1 for _, k, _ in scan(odd)[1])
+
+
+def test_streams_behind_other_bytes():
+    plain = f"all work {KEY} and no play".encode()
+    packed = {
+        "raw deflate": raw_deflate(plain), "lzma alone": lzma.compress(plain, format=lzma.FORMAT_ALONE), "zip": zipped(plain),
+        "gzip of UTF-16": gzip.compress(plain.decode().encode("utf-16"), mtime=0), "zlib of Latin-1": zlib.compress(plain + "é".encode("latin-1")),
+    }
+    for name, make in {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress}.items():
+        packed[name + " behind a header"] = b"HEAD\0\xff" + make(plain)
+        packed[name + " behind another"] = gzip.compress(b"first", mtime=0) + b"HEAD\0\xff" + make(plain)
+    for name, data in packed.items():
+        code = base64.b64encode(data).decode()
+        for lead in ("", "x", "xy", "xyz"):
+            start = 2 + len(lead)
+            assert (start, 1, start + len(code)) in scan(f"( {lead}{code} )")[1], (name, lead)
+
+
+def test_random_nests():
+    draw = random.Random(12)
+    steps = {
+        "base64": lambda d: base64.b64encode(d), "urlsafe": lambda d: base64.urlsafe_b64encode(d), "percent": lambda d: "".join(f"%{b:02x}" for b in d).encode(),
+        "escapes": lambda d: "".join(f"\\x{b:02x}" for b in d).encode(), "gzip": lambda d: base64.b64encode(b"h" + gzip.compress(d, mtime=0)),
+        "deflate": lambda d: base64.b64encode(raw_deflate(d)), "utf16": lambda d: base64.b64encode(d.decode("latin-1").encode("utf-16-le")),
+        "glued": lambda d: b"ab." + d + b".", "spaced": lambda d: b"see " + d + b" there",
+    }
+    for _ in range(150):
+        data, names = f"my {KEY} .".encode(), [draw.choice(list(steps)) for _ in range(draw.randrange(1, 5))]
+        for name in names:
+            data = steps[name](data)
+        text = f"é ( {data.decode()} ) end"
+        found = [(a, b) for a, k, b in scan(text)[1] if k == 1]
+        assert any(4 <= a < b <= 4 + len(data) + 1 for a, b in found), names
+
+
+def test_noise_has_no_secrets():
+    noise = random.Random(3)
+    for size in (12, 50, 5_000):
+        for _ in range(20):
+            assert scan(f"see {base64.b64encode(noise.randbytes(size)).decode()} there")[1] == []

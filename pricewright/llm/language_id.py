@@ -106,7 +106,9 @@ def language_profiles(docs: DataFrame, learn, size: int = PROFILE) -> DataFrame:
     kind = docs.schema["lang"].dataType.simpleString()
     counted = rows.mapInArrow(count, f"lang {kind}, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    return counted.withColumn("place", F.row_number().over(order) - 1).filter(F.col("place") < size).select("lang", "gram", "place")
+    # a filter on the row number itself lets every task before the shuffle keep its first `size` only
+    first = counted.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= size)
+    return first.select("lang", "gram", (F.col("number") - 1).alias("place"))
 
 
 def collected(profiles: DataFrame) -> Profiles:

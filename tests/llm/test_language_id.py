@@ -97,3 +97,9 @@ def test_texts_in_an_unlearned_script_are_not_kept(spark):
     rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, "собака и кошка", None), (4, "cat собака", None), (5, "12 34", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert sorted(r.doc_id for r in known_languages(docs).collect()) == [1, 2, 4]
+
+
+def test_tasks_keep_the_first_n_grams_only(spark):
+    docs = spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string")
+    plan = language_profiles(docs, F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -140,13 +140,22 @@ class Chain(NamedTuple):
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, categories: list[str], most: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, text, categories) of about `most` labelled rows at most, each id once."""
+    """(doc_id, text, categories) of about `most` labelled rows at most, each id and text once.
+
+    Ids are drawn first, then rows of them: an id that stands on many rows of different text takes part with a share
+    of these, by a hash of id and text.
+    """
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(c).cast("double").alias(c) for c in categories])
     total = marks.count()
     if total > most:
         marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / total))
     known = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return known.join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id", "text"])  # bounded by `most`
+    rows = known.join(F.broadcast(marks), "doc_id")  # bounded by `most`
+    found = rows.count()
+    if found > most:
+        draw = F.pmod(F.xxhash64(F.lit("row"), "doc_id", F.coalesce("text", F.lit(""))), F.lit(1_000_000))
+        rows = rows.filter(draw < int(1_000_000 * most / found))
+    return rows.dropDuplicates(["doc_id", "text"])
 
 
 def _numbered(texts: list[str | None], vocabulary: dict[str, int]) -> Rows:

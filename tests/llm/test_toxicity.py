@@ -75,3 +75,12 @@ def test_given_documents(spark):
     got = scored.join(labels.select("doc_id", labels.toxic.alias("truth")), "doc_id").collect()
     assert scored.count() == docs.count()
     assert sum(r.toxic == bool(r.truth) for r in got) / len(got) > 0.93
+
+
+def test_rows_of_the_sample_are_bounded(spark):
+    """One labelled id on many rows of different text."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(5_000)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    found = labelled_rows(docs, labels, ["quality", "toxic"], most=100).collect()
+    assert 50 <= len(found) <= 150
+    assert len(labelled_rows(docs, labels, ["quality", "toxic"], most=10_000).collect()) == 5_001

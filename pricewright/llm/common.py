@@ -29,6 +29,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names that `df` has no column of: the wanted ones, behind as many underscores as it takes."""
+    taken, lead = {c.lower() for c in df.columns}, "_"
+    while any(lead + w.lower() in taken for w in wanted):
+        lead += "_"
+    return [lead + w for w in wanted]
+
+
 def remainder(column: str, divisor: int) -> Column:
     """CRC-32 of the column's text, modulo `divisor`; NULL for a NULL."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(divisor)
@@ -77,11 +85,12 @@ def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_others(work.__module__)
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch.rename_columns(names), column):
                 if part.num_rows:
                     yield from work(part)
 
-    return df.mapInArrow(run, schema)
+    names = df.columns  # Spark would read a dot in them as a field
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, schema)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import measured_side
-from .common import map_texts, shared_value, stored
+from .common import free_names, map_texts, shared_value, stored
+from .vectors import quoted
 
 WINDOW = 13
 SHINGLE = 3
@@ -207,5 +208,6 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` that are not contaminated.  Equal texts share the verdict, so it is joined by the text's hash."""
     key = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     verdicts = contamination(docs.select(key.alias("doc_id"), "text"), items)
-    dirty = verdicts.filter("contaminated").select(F.col("doc_id").alias("_text_key")).distinct()
-    return docs.withColumn("_text_key", key).join(measured_side(dirty).frame, "_text_key", "left_anti").select(*docs.columns)
+    (name,) = free_names(docs, "text_key")
+    dirty = verdicts.filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(measured_side(dirty).frame, name, "left_anti").select(*map(quoted, docs.columns))

@@ -11,8 +11,8 @@ the sizes of the sources, so that no task sorts a whole source: positions are co
 rank in the bucket.
 
 Defined results: a NULL source is a source of its own; a NULL text has no bytes and the CRC-32 of nothing;
-rows that are equal in every column are interchangeable; an empty table gives none.  Columns are kept, and
-`shard` and `slot` replace columns of these names.
+rows that are equal in every column are interchangeable; an empty table gives none.  Columns of any name are kept,
+as one struct on the way, and `shard` and `slot` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import stored, text_bytes
+from .vectors import quoted
 
 BUCKET_ROWS = 50_000
 SEED = 17
@@ -28,12 +29,13 @@ DRAWS = 1 << 30  # places between two ranks
 
 def interleave(df: DataFrame, source: str, shards: int, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """`df` with shard (0 to shards - 1) and slot (gapless from 0); hashable columns only."""
-    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     rows = stored(
-        df.select(*kept).withColumns({
-            "_stratum": F.to_json(F.struct(F.col(source).alias("s"))),
-            "_draw": F.xxhash64(F.lit(seed), *[F.coalesce(F.xxhash64(F.col(c)), F.lit(0)) for c in kept]),
-        })
+        df.select(
+            F.struct(*map(quoted, kept)).alias("_row"),
+            F.to_json(F.struct(quoted(source).alias("s"))).alias("_stratum"),
+            F.xxhash64(F.lit(seed), *[F.coalesce(F.xxhash64(quoted(c)), F.lit(0)) for c in kept]).alias("_draw"),
+        )
     )
     total = rows.count()
     buckets = max(1, -(-total // bucket_rows))
@@ -45,7 +47,7 @@ def interleave(df: DataFrame, source: str, shards: int, seed: int = SEED, bucket
     starts = sizes.select(
         "_stratum", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(stratum).alias("_of")
     )
-    within = Window.partitionBy("_stratum", "_bucket").orderBy("_draw", *kept)
+    within = Window.partitionBy("_stratum", "_bucket").orderBy("_draw", "_row")
     ranked = rows.join(starts, ["_stratum", "_bucket"]).withColumn("_rank", F.col("_start") + F.row_number().over(within))
     ranked = ranked.withColumn("_size", F.floor(F.log2("_of")))
     strata = sizes.groupBy("_stratum").agg(F.floor(F.log2(F.sum("_n"))).alias("_size"))
@@ -55,20 +57,20 @@ def interleave(df: DataFrame, source: str, shards: int, seed: int = SEED, bucket
         ranked.join(alike, "_size")
         .withColumn("_fraction", (F.col("_rank") - F.when(F.col("_alike"), drawn).otherwise(0.5)) / F.col("_of"))
         .withColumn("_bucket", F.floor(F.col("_fraction") * buckets))
-        .select(*kept, "_stratum", "_draw", "_bucket", "_fraction")
+        .select("_row", "_stratum", "_draw", "_bucket", "_fraction")
     )
 
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per `bucket_rows` rows
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy("_fraction", "_stratum", "_draw", *kept)
+    within = Window.partitionBy("_bucket").orderBy("_fraction", "_stratum", "_draw", "_row")
     position = F.col("_start") + F.row_number().over(within) - 1
     ordered = placed.join(starts, "_bucket").withColumn("_position", position)
     return (
         ordered.withColumn("_shard", F.expr(f"(_position * {shards}L) div {max(total, 1)}L"))
         .withColumn("slot", F.expr(f"_position - (_shard * {total}L + {shards - 1}L) div {shards}L"))
         .withColumn("shard", F.col("_shard").cast("int"))
-        .select(*kept, "shard", "slot")
+        .select(*[F.col("_row").getField(c).alias(c) for c in kept], "shard", "slot")
     )
 
 

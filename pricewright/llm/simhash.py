@@ -24,10 +24,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_texts, stored
+from ..operators.joins import measured_side
+from .common import free_names, map_texts, stored
 from .components import components
+from .vectors import quoted
 
 SHINGLE = 3
 SEED = 42
@@ -69,16 +71,16 @@ def _signed(value: int) -> int:
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, name: str = "fingerprint", keep: list[str] | None = None) -> DataFrame:
     """`docs` (or its columns `keep`) with the fingerprint as a long."""
-    kept = docs.columns if keep is None else keep
-    frame = docs.select(*kept, F.col("text").cast("binary").alias("_text"))
+    kept = list(map(quoted, docs.columns if keep is None else keep))
+    (held,) = free_names(docs, "text")
+    frame = docs.select(*kept, F.col("text").cast("binary").alias(held))
     schema = docs.select(*kept).schema.add(name, "long")
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        marks = [_signed(fingerprint(t, shingle)) for t in batch.column("_text").to_pylist()]
-        columns = [batch.column(i) for i in range(len(kept))]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(marks, pa.int64())], schema.names)
+        marks = [_signed(fingerprint(t, shingle)) for t in batch.column(held).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(marks, pa.int64())], schema.names)
 
-    return map_texts(frame, work, schema, "_text")
+    return map_texts(frame, work, schema, held)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -212,8 +214,9 @@ def _search(entries: DataFrame, places: list[tuple[int, ...]], distance: int, lo
 def close_fingerprints(prints: DataFrame, distance: int = DISTANCE, long_list: int = LONG_LIST) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (column `print`) at most `distance` bits apart."""
     index = prints.select("print", F.explode(_keys(TRIPLES)).alias("k")).select("k.list", "k.bytes", "print")
-    length = F.count(F.lit(1)).over(Window.partitionBy("list", "bytes"))
-    sized = stored(index.withColumn("n", length).filter("n > 1"))
+    # counted apart and joined: a window would hold a long list in one task
+    lengths = index.groupBy("list", "bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sized = stored(index.join(lengths, ["list", "bytes"]))
     short = _search(sized.filter(F.col("n") <= long_list), TRIPLES, distance, long_list)
     # longer lists under two further positions; five shared bytes contain the triple and one such pair
     wider = [(number, tuple(sorted((*t, *pair)))) for number, t in enumerate(TRIPLES) for pair in combinations(set(range(8)) - set(t), 2)]
@@ -233,13 +236,18 @@ def _wider_keys(wider: list[tuple[int, tuple[int, ...]]]):
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, long_list: int = LONG_LIST) -> DataFrame:
     """Per row of `docs`: doc_id, fingerprint (long), root (smallest fingerprint of the component), component_id."""
     marked = stored(with_fingerprints(docs, shingle, keep=["doc_id"]))
+    return _grouped(marked, distance, long_list).select("doc_id", "fingerprint", "root", "component_id")
+
+
+def _grouped(marked: DataFrame, distance: int, long_list: int = LONG_LIST) -> DataFrame:
+    """`marked`, which has doc_id and fingerprint, with root and component_id."""
     entries = stored(marked.groupBy(F.col("fingerprint").alias("print")).agg(F.min("doc_id").alias("first")))
     links = close_fingerprints(entries.select("print"), distance, long_list)
     grouped = components(links.select("a", "b"))
     rooted = entries.join(grouped, entries.print == grouped.node, "left").select("print", "first", F.coalesce("root", "print").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(smallest, "root").select(F.col("print").alias("fingerprint"), "root", "component_id")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "root", "component_id")
+    return marked.join(named, "fingerprint")
 
 
 def fingerprint_digests(docs: DataFrame) -> DataFrame:
@@ -248,14 +256,17 @@ def fingerprint_digests(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each component: of its smallest doc_id, and of repeated rows one."""
-    def keyed(frame: DataFrame, column: str) -> DataFrame:  # a NULL id is an id of its own
-        return frame.withColumns({"_null": F.col(column).isNull(), "_id": F.coalesce(F.col(column).cast("string"), F.lit(""))})
-
-    found = near_duplicates(docs, shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = found.groupBy("root").agg(F.min("fingerprint").alias("_print"), F.first("component_id").alias("_keep"))
-    marked = keyed(with_fingerprints(docs, shingle, "_print"), "doc_id")
-    kept = marked.join(keyed(chosen, "_keep").select("_id", "_null", "_print"), ["_id", "_null", "_print"], "left_semi")
-    # repeated rows have the same id and fingerprint; the join has brought them together
-    order = Window.partitionBy("_id", "_null", "_print").orderBy("text")
-    return kept.withColumn("_row", F.row_number().over(order)).filter("_row = 1").select(*docs.columns)
+    """One row of each component: of its smallest doc_id, and of repeated rows one.
+
+    The rows are written once with their fingerprints and numbers; what goes is chosen among these, and only its
+    numbers come back to the texts: broadcast if they are few, else by a shuffle.
+    """
+    mark, number = free_names(docs, "fingerprint", "number")
+    rows = stored(with_fingerprints(docs, shingle, mark).withColumn(number, F.monotonically_increasing_id()))
+    narrow = rows.select("doc_id", quoted(mark).alias("fingerprint"), F.xxhash64("text").alias("hash"), quoted(number).alias("number"))
+    found = stored(_grouped(narrow, distance).select("root", "doc_id", "fingerprint", "hash", "number"))
+    # a NULL id comes last, and equal rows are told apart by their numbers
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint", "hash", "number")).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.number").alias("number"))
+    gone = found.join(kept, "number", "left_anti").select(F.col("number").alias(number))
+    return rows.join(measured_side(gone).frame, number, "left_anti").select(*map(quoted, docs.columns))

@@ -7,8 +7,12 @@ from test_language_id import brute_grams
 from test_secret_scan import HEX
 from test_simhash import brute_components, brute_print
 
+from pyspark.sql.types import StructType
+
 import corpus_pipeline
+from pricewright.llm.common import stored
 from pricewright.llm.secret_scan import PLACEHOLDER, redact, scan
+from pricewright.llm.sharding import interleave
 
 
 def expected(rows, items):
@@ -54,6 +58,37 @@ def test_planted_cases(spark, tmp_path):
     assert PLACEHOLDER in last[201].text and HEX not in last[201].text and last[201].n_chars == len(last[201].text)
 
 
+NAMES = [
+    "_row", "_id", "_null", "_print", "_keep", "_text", "__text", "_text_key", "_fingerprint", "_number", "fingerprint", "number", "hash", "root", "component_id",
+    "first", "place", "key", "verdict", "_Fingerprint2", "a.b", "with space", "back`tick", "_stratum", "_draw", "_bucket", "_n", "_start", "_of", "_rank",
+    "_size", "_alike", "_fraction", "_position", "_shard", "n", "gram", "score", "lang_pred", "row_id", "begin", "end", "items", "contaminated", "words",
+]
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    """Further columns come out of every stage, and of the shards, as they went in."""
+    texts = ["plain words of one text here", "plain words of one text here", "quite another text with some words", f"token = {HEX} at last"]
+    rows = [(i, t, "en", "s", len(t), *[f"{n} of {i}" for n in NAMES]) for i, t in enumerate(texts)]
+    fields = [("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long"), *[(n, "string") for n in NAMES]]
+    schema = StructType()
+    for name, kind in fields:
+        schema = schema.add(name, kind)
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, texts[2])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = [{0, 1, 2, 3}, {0, 2, 3}, {0, 3}, {0, 3}]
+    for (name, stage), ids in zip(corpus_pipeline.STAGES, left):
+        docs = stored(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == [n for n, _ in fields], name
+        found = docs.collect()
+        assert {r[0] for r in found} == ids, name
+        assert all(r[5 + i] == f"{n} of {r[0]}" for r in found for i, n in enumerate(NAMES)), name
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 3}
+    placed = interleave(spark.read.parquet(f"{tmp_path}/documents.parquet"), "source", 2)
+    assert placed.columns == [n for n, _ in fields] + ["shard", "slot"]
+    assert all(r[5 + i] == f"{n} of {r[0]}" for r in placed.collect() for i, n in enumerate(NAMES))
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

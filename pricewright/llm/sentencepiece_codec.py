@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import kept_for, map_texts
 
 MARK = "▁"
-CACHED_CHUNKS = 400_000  # chunks whose tokens a worker remembers; beyond it the memory is emptied and filled anew
+CACHED_CHUNKS = 100_000  # chunks whose tokens a worker remembers; beyond it the memory is emptied and filled anew
 GROUP = 200  # chunks encoded as one string
 ROWS_DECODED = 256
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .ordering import ranged_rows
+from ..session import importable_in_workers
+from . import ordering
 
 NULL_TEXT = "<null>"
 STRETCH = 1000  # ranges whose hashes are joined in one row
@@ -38,12 +41,12 @@ def table_checksum(df: DataFrame, table: str, columns: list[str] | None = None)
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 998_244_353)
+FIELDS = [f"{kind}{i}" for i in range(len(BASES)) for kind in "hp"]  # a hash and a power for each base
 
 
 def _joined(parts: Column, hashes: Callable[[Column, int], Column], powers: Callable[[Column, int], Column]) -> Column:
     """Hashes of consecutive parts as one: (h1, p1) and (h2, p2) make (h1 * p2 + h2, p1 * p2), p being base ** rows."""
-    names = [f"{kind}{i}" for i in range(len(BASES)) for kind in "hp"]
-    start = F.struct(*[F.lit(int(n[0] == "p")).cast("long").alias(n) for n in names])
+    start = F.struct(*[F.lit(int(n[0] == "p")).cast("long").alias(n) for n in FIELDS])
 
     def join(done: Column, part: Column) -> Column:
         fields = []
@@ -55,6 +58,43 @@ def _joined(parts: Column, hashes: Callable[[Column, int], Column], powers: Call
     return F.aggregate(parts, start, join)
 
 
+def range_hashes(df: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """(_range, _n, _s): for each range of the order the number of its rows, and their hash and power for each base.
+
+    Rows are dealt and sorted by `order` and fingerprint, so that rows of one key need not share a range; only the
+    fingerprints of a sorted range pass through its task, a batch at a time.
+    """
+    importable_in_workers(df.sparkSession)
+    at = [f"_at{i}" for i in range(len(order))]
+    rows = df.select(*[F.col(c).alias(a) for c, a in zip(order, at)], (row_fingerprint(columns) % PRIME).alias("_f"))
+    ranges = max(1, -(-df.count() // ordering.ROWS_PER_RANGE))
+    dealt = rows.repartitionByRange(ranges, *at, "_f") if ranges > 1 else rows.repartition(1)
+    ranged = dealt.sortWithinPartitions(*at, "_f").select(F.spark_partition_id().alias("_range"), "_f")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, rows, hashes = 0, 0, [0] * len(BASES)
+        for batch in batches:
+            if batch.num_rows:
+                number, f = batch.column("_range")[0].as_py(), batch.column("_f").to_numpy()
+                rows += len(f)
+                hashes = [int((h * pow(base, len(f), PRIME) + (f * _falling_powers(base, len(f)) % PRIME).sum()) % PRIME) for base, h in zip(BASES, hashes)]
+        if rows:
+            parts = [number, rows, *[x for base, h in zip(BASES, hashes) for x in (h, pow(base, rows, PRIME))]]
+            yield pa.RecordBatch.from_pydict({name: [x] for name, x in zip(["_range", "_n", *FIELDS], parts)})
+
+    schema = ", ".join(["_range long", "_n long", *[f"{name} long" for name in FIELDS]])
+    return ranged.mapInArrow(work, schema).select("_range", "_n", F.struct(*FIELDS).alias("_s"))
+
+
+@lru_cache(maxsize=8)
+def _falling_powers(base: int, rows: int) -> np.ndarray:
+    """base ** (rows - 1), ..., base ** 0, by PRIME."""
+    powers = np.ones(1, np.int64)
+    while len(powers) < rows:
+        powers = np.concatenate([powers * pow(base, len(powers), PRIME) % PRIME, powers])
+    return powers[len(powers) - rows :]
+
+
 def ordered_checksum(df: DataFrame, table: str, order: list[str], columns: list[str] | None = None) -> DataFrame:
     """(table_name, row_count, checksum) where the checksum depends on the order of the rows by `order`.
 
@@ -63,11 +103,7 @@ def ordered_checksum(df: DataFrame, table: str, order: list[str], columns: list[
     itself, and ranges are joined in stretches.  How they are cut does not change the result.  Rows that `order` does
     not tell apart are taken by their fingerprints; NULL comes first.
     """
-    names = columns or df.columns
-    rows = df.select(F.struct(*[F.col(c) for c in order]).alias("_at"), (row_fingerprint(names) % PRIME).alias("_f"))
-    ranged = ranged_rows(rows, ["_at"])
-    one = F.sort_array(F.collect_list(F.struct("_at", "_f")))
-    parts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), _joined(one, lambda r, i: r["_f"], lambda r, i: F.lit(BASES[i]).cast("long")).alias("_s"))
+    parts = range_hashes(df, order, columns or df.columns)
     stretch = F.floor(F.col("_range") / STRETCH)
     for by in (stretch, F.lit(0)):
         several = F.sort_array(F.collect_list(F.struct("_range", "_s")))

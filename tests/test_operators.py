@@ -333,6 +333,20 @@ def test_ordered_checksum_sees_the_order_and_not_the_partitions(spark, monkeypat
     assert result([], 1) == ("t", 0, "0" * 16)
 
 
+def test_ordered_checksum_spreads_a_hot_key_and_collects_no_range(spark, monkeypatch):
+    from pricewright.operators import ordering, quality
+
+    given = [(None if i % 5 == 0 else 1, f"v{i}") for i in range(600)]
+    df = spark.createDataFrame(given, "k long, v string").repartition(3)
+    whole = tuple(quality.ordered_checksum(df, "t", ["k"], ["v"]).first())
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 50)
+    hashes = quality.range_hashes(df, ["k"], ["v"])
+    sizes = [r["_n"] for r in hashes.collect()]
+    assert sum(sizes) == 600 and len(sizes) > 6 and max(sizes) < 200  # one key has 480 rows
+    assert tuple(quality.ordered_checksum(df, "t", ["k"], ["v"]).first()) == whole
+    assert "collect_list" not in hashes._jdf.queryExecution().toString()
+
+
 def test_histogram_leaves_infinities_out(spark):
     from pricewright.operators.statistics import histogram, left_out
 

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.ml import models
-from pricewright.ml.boosting import Boosted, Setting, best_stage, drawn_columns, drawn_rows, fit_all
+from pricewright.ml import boosting, models
+from pricewright.ml.boosting import Boosted, Setting, Tree, best_stage, drawn_columns, drawn_rows, fit_all
 from pricewright.ml.ridge import ridge_folds, solve
 
 NAMES = ["a", "b", "c"]
@@ -98,6 +98,36 @@ def test_stages_are_the_scores_of_shorter_fits(spark):
             assert row.r2 == pytest.approx(1 - (error**2).sum() / ((y[out] - y[out].mean()) ** 2).sum())
 
 
+def test_ways_down_a_tree_are_those_of_its_rows():
+    tree = Tree([1, 0, -1, -1, 2, -1, -1] + [-1] * 8, [3, 5, 0, 0, 2, 0, 0] + [0] * 8, [float(i) for i in range(15)], [0] * 15, [0.0] * 15)
+    bins = np.random.default_rng(1).integers(0, 8, (500, 3))
+    for levels in range(4):
+        reached = np.array(tree.reached(levels))
+        assert (reached[tree.ways(bins.T.astype(np.uint8), levels)] == tree.walk(bins, levels)).all()
+    assert tree.steps(bins.T.astype(np.uint8), Setting("s", 1, 0.25, 3)) == pytest.approx(0.25 * tree.values(bins, 3))
+
+
+def test_each_tree_enters_the_state_once(spark, monkeypatch):
+    """However far checkpoints are apart, models and stages are the same, nothing stays persisted, and the state holds blocks."""
+    x, y = data()
+    setting, advanced, states = Setting("s", 5, 0.3, 2, subsample=0.8), boosting._advanced, []
+
+    def noted(state, fits, widest):
+        states.append((state.count(), [len(f.light().pending) for f in fits]))
+        return advanced(state, fits, widest)
+
+    monkeypatch.setattr(boosting, "_advanced", noted)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = []
+    for apart in (1, 2, 25):
+        monkeypatch.setattr(boosting, "REFRESH", apart)
+        fitted = fit_all(frame(spark, x, y), NAMES, "y", [setting], F.col("fold"), 4, F.col("test"), ["id"])
+        found.append((fitted.models, [(r.fold, r.trees, r.rows, pytest.approx(r.mae)) for r in fitted.stages.orderBy("fold", "trees").collect()]))
+    assert found[0] == found[1] == found[2]
+    assert len(states) == 3 * (setting.trees - 1) and all(n <= boosting.LEAST_TASKS and not any(late) for n, late in states)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
 def test_the_best_stage_is_found(spark):
     rows = [("a", 0, 1, 0.5), ("a", 1, 1, 0.7), ("a", 0, 2, 0.9), ("a", 1, 2, 0.7), ("b", 0, 1, 0.8), ("b", 1, 1, 0.8), ("c", 0, 5, 1.0), ("c", 1, 5, None), ("d", -1, 1, 0.99)]
     stages = spark.createDataFrame([(s, f, t, 10, r, 0.0, 0.0) for s, f, t, r in rows], "setting string, fold int, trees int, rows long, r2 double, mae double, rmse double")

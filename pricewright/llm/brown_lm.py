@@ -20,15 +20,15 @@ nothing learned is that of the formula (one unknown token in a vocabulary of non
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_texts, remainder, shared_value, stored
+from .common import map_texts, remainder, shared_value, slices, stored
 
 CORE = 1_000  # words that are exchanged one by one before the rounds
 CLASSES = 64  # at most 250: a class is stored as a byte
@@ -37,15 +37,35 @@ ROUNDS = 3  # of exchanges in Spark, after the one in which the head's other wor
 HEAD = 200_000  # words looked up in memory, at most
 STEPS = 64  # steps of counts per power of two, to find where the head ends
 HELD_WORDS = 300_000  # distinct words a task holds before it emits their counts
-HELD_CELLS = 1 << 20  # cells that a task holds in an array, and others it holds before it emits them
+HELD_CELLS = 1 << 20  # cells of the most frequent words, which a task holds in an array
+HELD_CODES = 1 << 22  # cells of other words, each for one occurrence, that a task holds before it adds them up and emits them
+ENCODED_BYTES = 8 << 20  # of texts whose words are looked up together, which sets the head up once
 AT_ONCE = 256  # words whose classes are chosen together
 PASSES = 12
 BACKOFF = 5.0  # weight of the classes' own frequencies in a transition
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Split at ASCII white space, ASCII letters lowered."""
-    return text.lower().split() if text else []
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, where each begins and the last ends) of a binary column."""
+    _, offsets, values = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    return np.frombuffer(values or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column of the values between each of `ends` and the next."""
+    offsets = ((ends - ends[0]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, where each text's begin and the last ends) of binary texts: split at ASCII white space, ASCII letters lowered."""
+    raw, ends = _flat(texts)
+    lowered = pc.ascii_lower(_binary(raw, ends).view(pa.string()))
+    lists = pc.ascii_split_whitespace(lowered)
+    words = lists.values.view(pa.binary())
+    some = pc.binary_length(words).to_numpy() > 0  # white space at either end leaves an empty one
+    return words.filter(pa.array(some)), np.r_[0, np.cumsum(some)][lists.offsets.to_numpy()]
 
 
 def _trained(docs: DataFrame, divisor: int, held: int) -> DataFrame:
@@ -56,19 +76,30 @@ def _trained(docs: DataFrame, divisor: int, held: int) -> DataFrame:
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, n) over the training rows; a task adds up before anything is shuffled."""
 
+    def added(words: list[pa.Array], counts: list[np.ndarray]) -> tuple[list[pa.Array], list[np.ndarray]]:
+        coded = pa.concat_arrays(words).dictionary_encode()
+        n = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(n, coded.indices.to_numpy(), np.concatenate(counts))
+        return [coded.dictionary], [n]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        words, counts = [], []
 
         def emitted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([words[0], pa.array(counts[0])], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(words_of(text))
-                if len(held) > HELD_WORDS:
-                    yield emitted()
-                    held.clear()
-        if held:
+            for part in slices(batch, "text"):
+                coded = words_of(part.column("text"))[0].dictionary_encode()
+                words.append(coded.dictionary)
+                counts.append(np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)).astype(np.int64))
+                if sum(map(len, words)) > 2 * HELD_WORDS:
+                    words, counts = added(words, counts)
+                    if len(words[0]) > HELD_WORDS:
+                        yield emitted()
+                        words, counts = [], []
+        if words:
+            words, counts = added(words, counts)
             yield emitted()
 
     partial = rows.filter("not held_out").select("text").mapInArrow(count, "word binary, n long")
@@ -115,40 +146,55 @@ def _weight(counts: np.ndarray) -> np.ndarray:
     return np.log10(np.where(counts >= LEAST, counts, counts + 1.0))
 
 
+SYMBOLS = ["low", "high"]  # a text's symbols, each in two columns of 16 bits
+
+
+def _symbols(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, where each text's begin and the last ends) from the columns `SYMBOLS`."""
+    low, ends = _flat(batch.column("low"))
+    high, _ = _flat(batch.column("high"))
+    return low.view(np.uint16).astype(np.int32) | high.view(np.uint16).astype(np.int32) << 16, ends // 2
+
+
+def _classes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _flat(batch.column("classes"))
+
+
 def _encoded(rows: DataFrame, head: Head, kind: str) -> DataFrame:
     """Per row: symbols of its tokens, sums over its head words, and its words outside the head with their places."""
-    shared = shared_value(rows.sparkSession, head)  # bounded by HEAD
+    shared = shared_value(rows.sparkSession, (pa.array(list(head.number), pa.binary()), head.counts))  # bounded by HEAD
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        h: Head = shared.value
-        outside, end = len(h.counts) + 1, len(h.counts)
-        weight, log = np.r_[_weight(h.counts), 0.0, 0.0], np.r_[np.log10(h.counts + 1.0), 0.0, 0.0]
-        texts = [words_of(t) for t in batch.column("text").to_pylist()]
-        find = h.number.get
-        symbols, offsets, tails, base, known, weights = [], [0], [], [], [], []
-        for ws in texts:
-            mine = np.fromiter((find(w, outside) for w in ws), np.int32, len(ws))
-            symbols += [mine, [end]]
-            offsets.append(offsets[-1] + len(mine) + 1)
-            base.append(log[mine].sum())
-            known.append(int((mine != outside).sum()))
-            weights.append(weight[mine].sum())
-            tails.append([(j, ws[j]) for j in np.flatnonzero(mine == outside).tolist()])
+        known, counts = shared.value
+        outside, end = len(counts) + 1, len(counts)
+        weight, log = np.r_[_weight(counts), 0.0, 0.0], np.r_[np.log10(counts + 1.0), 0.0, 0.0]
+        words, ends = words_of(batch.column("text"))
+        symbols = pc.index_in(words, value_set=known).fill_null(outside).to_numpy()
+        at = np.flatnonzero(symbols == outside)
+        logs, weights = log[symbols], weight[symbols]
+        texts = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+        tails = np.searchsorted(at, ends)
+        tail = pa.StructArray.from_arrays(
+            [pa.array((at - ends[np.searchsorted(ends, at, side="right") - 1]).astype(np.int32)), words.take(pa.array(at))], ["place", "word"]
+        )
+        closed = np.insert(symbols, ends[1:], end)
+        sizes = ends + np.arange(len(ends))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), batch.column("held_out"), pa.array([len(ws) + 1 for ws in texts], pa.int64()),
-                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(weights, pa.float64()),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(symbols).astype(np.int32))),
-                pa.array(tails, pa.list_(pa.struct([("place", pa.int32()), ("word", pa.binary())]))),
+                batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(sizes).astype(np.int64)),
+                pa.array((np.diff(ends) - np.diff(tails)).astype(np.int64)), pa.array([logs[i:j].sum() for i, j in texts], pa.float64()),
+                pa.array([weights[i:j].sum() for i, j in texts], pa.float64()),
+                _binary(closed.astype(np.uint16), sizes), _binary((closed >> 16).astype(np.uint16), sizes),
+                pa.ListArray.from_arrays(pa.array(tails.astype(np.int32)), tail),
             ],
-            ["doc_id", "held_out", "n_tokens", "known", "base", "weight", "symbols", "tail"],
+            ["doc_id", "held_out", "n_tokens", "known", "base", "weight", *SYMBOLS, "tail"],
         )
 
     schema = (
-        f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, weight double, symbols array<int>, "
+        f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, weight double, low binary, high binary, "
         "tail array<struct<place:int,word:binary>>"
     )
-    return stored(map_texts(rows, work, schema).withColumn("row_id", F.monotonically_increasing_id()))
+    return stored(map_texts(rows, work, schema, most=ENCODED_BYTES).withColumn("row_id", F.monotonically_increasing_id()))
 
 
 def _square(found: pa.Table, size: int) -> np.ndarray:
@@ -157,152 +203,167 @@ def _square(found: pa.Table, size: int) -> np.ndarray:
     return table.reshape(size, size)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes in order, how often) for what `codes` makes of whole texts' values; a code may come several times."""
-    dense = np.zeros(HELD_CELLS, np.int64)
-    none = np.zeros(0, np.int64)
-    held, waiting = (none, none), []
+Flat = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+
+
+def _whole_texts(batches: Iterator[pa.RecordBatch], flat: Flat, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The values of whole texts, about `most` at a time, in pieces that all end with a text's end."""
     for batch in batches:
-        for flat in _whole_texts(batch.column(0)):
-            found = np.concatenate(list(codes(flat)))
-            small = found < HELD_CELLS
-            dense += np.bincount(found[small], minlength=HELD_CELLS)
-            waiting.append(found[~small])
-            if sum(map(len, waiting)) > HELD_CELLS:
-                held, waiting = _merged([held, *[(w, np.ones(len(w), np.int64)) for w in waiting]]), []
-                if len(held[0]) > HELD_CELLS:
-                    yield held
-                    held = none, none
-    yield _merged([held, *[(w, np.ones(len(w), np.int64)) for w in waiting]])
-    at = np.flatnonzero(dense)
-    yield at, dense[at]
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes in order, each once, with their counts added up."""
-    code, n = np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts])
-    if not len(code):
-        return code, n
-    order = np.argsort(code)
-    code, n = code[order], n[order]
-    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-    return code[starts], np.add.reduceat(n, starts)
-
-
-def _cells(rows: DataFrame, column: str, codes) -> DataFrame:
-    """(key, n): how often each code is made of the values of `column`; the number of codes is bounded by the caller."""
+        values, ends = flat(batch)
+        at = 0
+        while at < len(ends) - 1:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+            yield values[ends[at] : ends[to]].astype(np.int64)
+            at = to
+
+
+def _cells(rows: DataFrame, columns: list[str], flat: Flat, codes: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """How often each code below size * size is made of the values of `columns`, as a square that the driver holds too."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for code, n in _counted(batches, codes):
-            for i in range(0, len(code), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(code[i : i + 100_000]), pa.array(n[i : i + 100_000])], ["key", "n"])
+        dense = np.zeros(size * size, np.int64)
+        for values in _whole_texts(batches, flat):
+            dense += np.bincount(codes(values), minlength=size * size)
+        code = np.flatnonzero(dense)
+        for i in range(0, len(code), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(code[i : i + 100_000]), pa.array(dense[code[i : i + 100_000]])], ["key", "n"])
 
-    return rows.select(column).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    cells = rows.select(*columns).mapInArrow(count, "key long, n long")
+    return _square(cells.groupBy("key").agg(F.sum("n").alias("n")).toArrow(), size)
 
 
-PACKED = "word int, keys binary, counts binary"  # one row for a word and all its cells: keys in 16 bits, counts in 64
+# Cells of words travel in blocks: a row for a block and all its cells, keys in 16 bits, counts in 8 bits or, if larger, in 64.
+PACKED = "block int, keys binary, counts binary, large_keys binary, large_counts binary"
 KEYS = 1 << 16
 
 
-def _packed(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows for cells in order; a code is (word + 1) * KEYS + key."""
-    word = code // KEYS - 1
-    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(code) else np.zeros(0, np.int64)
-    for i in range(0, len(starts), 20_000):
-        ends = np.r_[starts[i : i + 20_000], starts[i + 20_000] if i + 20_000 < len(starts) else len(code)]
-        inside = slice(ends[0], ends[-1])
-        offsets = (ends - ends[0]).astype(np.int32)
+class Blocks(NamedTuple):
+    """Where cells of words are: word w is in block w % count, and its cells stand from w // count * width on."""
 
-        def column(values: np.ndarray) -> pa.Array:
-            return pa.Array.from_buffers(
-                pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets * np.int32(values.itemsize)), pa.py_buffer(np.ascontiguousarray(values))]
-            )
+    count: int  # the block of this number has the class bigrams
+    width: int
 
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(word[ends[:-1]].astype(np.int32)), column((code[inside] % KEYS).astype(np.uint16)), column(n[inside])],
-            ["word", "keys", "counts"],
-        )
+    @staticmethod
+    def of(words: int, width: int) -> Blocks:
+        return Blocks(max(1, -(-words // (KEYS // width))), width)
+
+    def first(self, word: np.ndarray) -> np.ndarray:
+        return word % self.count * KEYS + word // self.count * self.width
 
 
-def _unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, count) of every cell."""
-    keys, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-    row = np.repeat(np.arange(len(keys)), [len(k) // 2 for k in keys]) if keys else np.zeros(0, np.int64)
-    return row, np.frombuffer(b"".join(keys), np.uint16).astype(np.int64), np.frombuffer(b"".join(counts), np.int64)
+def _packed(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows for cells in order; a code is block * KEYS + key."""
+    block = code // KEYS
+    of = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(code) else np.zeros(0, np.int64)
+    large, key, ends = n > 255, (code % KEYS).astype(np.uint16), np.r_[of, len(code)]
+    columns = []
+    for mine, kind in ((~large, np.uint8), (large, np.int64)):
+        cuts = np.r_[0, np.cumsum(mine)][ends]
+        columns += [_binary(key[mine], cuts), _binary(n[mine].astype(kind), cuts)]
+    return pa.RecordBatch.from_arrays([pa.array(block[of].astype(np.int32)), *columns], ["block", "keys", "counts", "large_keys", "large_counts"])
 
 
-def _whole_texts(lists: pa.Array, most: int = 1 << 20) -> Iterator[np.ndarray]:
-    """The values of whole lists, about `most` at a time, in pieces that all end with a list's end."""
-    if pa.types.is_binary(lists.type):
-        ends = np.cumsum([0, *(len(v) for v in lists.to_pylist())])
-        values = np.frombuffer(b"".join(lists.to_pylist()), np.uint8)
-    else:
-        ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0] if len(lists) else np.zeros(1, int)
-        values = lists.flatten().to_numpy()
-    at = 0
-    while at < len(ends) - 1:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
-        yield values[ends[at] : ends[to]].astype(np.int64)
-        at = to
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, keys, counts) of parts of the rows; no key comes twice in a part."""
+    for at, kind in ((1, np.uint8), (3, np.int64)):
+        keys, ends = _flat(batch.column(at))
+        keys, ends, counts = keys.view(np.uint16), ends // 2, _flat(batch.column(at + 1))[0].view(kind)
+        for block, i, j in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+            if j > i:
+                yield block, keys[i:j], counts[i:j]
 
 
 def _core_bigrams(trained: DataFrame, head: Head) -> np.ndarray:
     """Counts of neighbours among core words, the end and all others, the end standing before each text too."""
     core, end, size = head.core, len(head.counts), head.core + 2
 
-    def codes(flat: np.ndarray) -> Iterator[np.ndarray]:
+    def codes(flat: np.ndarray) -> np.ndarray:
         symbol = np.where(flat < core, flat, np.where(flat == end, core, core + 1))
-        yield np.r_[core, symbol[:-1]] * size + symbol
+        return np.r_[core, symbol[:-1]] * size + symbol
+
+    return _cells(trained, SYMBOLS, _symbols, codes, size)
+
+
+def _class_bigrams(trained: DataFrame, member: np.ndarray, groups: int) -> np.ndarray:
+    size = groups + 2
+    shared = shared_value(trained.sparkSession, member)  # bounded by HEAD
+
+    def codes(flat: np.ndarray) -> np.ndarray:
+        own = shared.value[flat].astype(np.int64)
+        return np.r_[groups, own[:-1]] * size + own
 
-    return _square(_cells(trained, "symbols", codes).toArrow(), size)
+    return _cells(trained, SYMBOLS, _symbols, codes, size)
 
 
 def _contexts(trained: DataFrame, head: Head, member: np.ndarray, groups: int) -> tuple[DataFrame, np.ndarray]:
-    """Cells of the head's movable words, a row for each word, and the class bigrams.
+    """Cells of the head's movable words, a row for each block of words, and the class bigrams.
 
     Keys: the class before the word, that after it (plus the number of classes), or itself after it (the last key).
-    A task adds up its cells before anything is shuffled; a partition of the words then holds HEAD times the keys of a
+    A task adds up its cells before anything is shuffled; a partition of the blocks then holds HEAD times the keys of a
     word, over the number of shuffle partitions.
     """
     spark, movable, size = trained.sparkSession, head.movable, groups + 2
     shared = shared_value(spark, member)  # bounded by HEAD
     width = 2 * size + 1
-
-    def codes(flat: np.ndarray) -> Iterator[np.ndarray]:
-        own = shared.value[flat].astype(np.int64)
-        before, after = np.r_[groups, own[:-1]], np.r_[own[1:], groups]
-        yield before * size + own
-        at = np.flatnonzero(flat < movable)
-        first = size * size + flat[at] * width
-        yield first + before[at]
-        yield first + size + after[at]
-        again = at[flat[np.minimum(at + 1, len(flat) - 1)] == flat[at]]  # a text closes with the end, so the next one is of the text
-        yield size * size + flat[again] * width + 2 * size
+    blocks = Blocks.of(movable, width)
+    frequent = min(movable, HELD_CELLS // width)
+    kind = np.uint32 if blocks.count < KEYS else np.int64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for code, n in _counted(batches, codes):  # class bigrams stand under the word -1
-            of_word = code - size * size
-            yield from _packed(np.where(of_word < 0, code, (of_word // width + 1) * KEYS + of_word % width), n)
+        first = blocks.first(np.arange(movable)).astype(kind)
+        bigrams, dense = np.zeros(size * size, np.int64), np.zeros(frequent * width, np.int64)
+        waiting, held = [], 0
+
+        def emitted() -> pa.RecordBatch:
+            code = np.sort(np.concatenate(waiting))
+            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            return _packed(code[starts].astype(np.int64), np.diff(np.r_[starts, len(code)]))
+
+        for flat in _whole_texts(batches, _symbols):
+            own = shared.value[flat].astype(np.int64)
+            before, after = np.r_[groups, own[:-1]], np.r_[own[1:], groups]
+            bigrams += np.bincount(before * size + own, minlength=size * size)
+            again = np.r_[flat[1:] == flat[:-1], False]  # a text closes with the end, so the next one is of the text
+            at = np.flatnonzero(flat < frequent)
+            cell = flat[at] * width
+            codes = np.concatenate([cell + before[at], cell + size + after[at], cell[again[at]] + 2 * size])
+            dense += np.bincount(codes, minlength=len(dense))
+            at = np.flatnonzero((flat >= frequent) & (flat < movable))
+            cell = first[flat[at]]
+            codes = [cell + before[at].astype(kind), cell + (size + after[at]).astype(kind), cell[again[at]] + kind(2 * size)]
+            waiting += codes
+            held += sum(map(len, codes))
+            if held > HELD_CODES:
+                yield emitted()
+                waiting, held = [], 0
+        if held:
+            yield emitted()
+        at = np.flatnonzero(dense)
+        code = blocks.first(at // width) + at % width
+        order = np.argsort(code)
+        yield _packed(code[order], dense[at[order]])
+        at = np.flatnonzero(bigrams)
+        yield _packed(blocks.count * KEYS + at, bigrams[at])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, waiting = [], 0
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            row, key, n = _unpacked(batch)
-            parts.append(((batch.column(0).to_numpy().astype(np.int64)[row] + 1) * KEYS + key, n))
-            waiting += len(n)
-            if waiting > 2 * HELD_CELLS:
-                parts = [_merged(parts)]
-                waiting = min(len(parts[0][0]), HELD_CELLS)
-        if parts:
-            yield from _packed(*_merged(parts))
+            for block, keys, n in _unpacked(batch):
+                if block not in sums:
+                    sums[block] = np.zeros(KEYS, np.int64)
+                sums[block][keys] += n
+        for block, cells in sums.items():
+            at = np.flatnonzero(cells)
+            yield _packed(block * KEYS + at, cells[at])
 
     width_of_shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = trained.select("symbols").mapInArrow(count, PACKED).repartition(width_of_shuffle, "word").mapInArrow(add_up, PACKED)
+    cells = trained.select(*SYMBOLS).mapInArrow(count, PACKED).repartition(width_of_shuffle, "block").mapInArrow(add_up, PACKED)
     cells = stored(cells)
-    _, key, n = _unpacked(cells.filter("word = -1").toArrow())
     table = np.zeros(size * size, np.int64)
-    table[key] = n
-    return cells.filter("word >= 0"), table.reshape(size, size)
+    for batch in cells.filter(F.col("block") == blocks.count).toArrow().to_batches():
+        for _, keys, n in _unpacked(batch):
+            table[keys] = n
+    return cells.filter(F.col("block") < blocks.count), table.reshape(size, size)
 
 
 def _plogp(x: np.ndarray) -> np.ndarray:
@@ -404,22 +465,27 @@ def best_classes(after: np.ndarray, before: np.ndarray, loop: np.ndarray, own: n
     return best
 
 
-def _chosen(contexts: DataFrame, member: np.ndarray, table: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """(words, classes) of the head's words in `contexts`: HEAD rows at most."""
+def _chosen(contexts: DataFrame, head: Head, member: np.ndarray, table: np.ndarray, groups: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, classes) of the words in `contexts` that may move in a round: those without a class in the first, then half of all."""
     size = groups + 2
     shared = shared_value(contexts.sparkSession, (member, table))
+    blocks, movable = Blocks.of(head.movable, 2 * size + 1), head.movable
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, table = shared.value
-        for whole in batches:
-            for i in range(0, whole.num_rows, AT_ONCE):
-                batch = whole.slice(i, AT_ONCE)
-                word = batch.column(0).to_numpy()
-                row, key, n = _unpacked(batch)
-                keys = np.zeros((len(word), 2 * size + 1), np.int64)
-                keys[row, key] = n
-                best = best_classes(keys[:, size:-1], keys[:, :size], keys[:, -1], member[word].astype(np.int64), table, groups)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int16))], ["word", "class"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cells = np.zeros(KEYS, np.int64)
+                for block, key, n in _unpacked(batch.slice(i, 1)):
+                    cells[key] = n
+                words = np.arange(block, movable, blocks.count)
+                keys = cells[: len(words) * blocks.width].reshape(len(words), blocks.width)
+                half = (words * 2_654_435_761 >> 16) % 2 == number % 2
+                free = np.flatnonzero(member[words] > groups if number == 0 else half)
+                for j in range(0, len(free), AT_ONCE):
+                    at, word = keys[free[j : j + AT_ONCE]], words[free[j : j + AT_ONCE]]
+                    best = best_classes(at[:, size:-1], at[:, :size], at[:, -1], member[word].astype(np.int64), table, groups)
+                    yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(best.astype(np.int16))], ["word", "class"])
 
     found = contexts.mapInArrow(choose, "word int, class smallint").toArrow()
     return found.column("word").to_numpy(), found.column("class").to_numpy()
@@ -437,16 +503,18 @@ def cluster_head(trained: DataFrame, head: Head, classes: int, rounds: int = ROU
     for number in range(rounds + 1):
         if not head.movable:
             break
-        word, best = _chosen(contexts, member, table, groups)
-        half = (word.astype(np.int64) * 2_654_435_761 >> 16) % 2 == number % 2
-        moves = member[word] > groups if number == 0 else half & (best != member[word])
+        word, best = _chosen(contexts, head, member, table, groups, number)
+        moves = best != member[word]
         if not moves.any():
             if number == 0:
                 reached.append(likelihood(table))
             continue
         moved = member.copy()
         moved[word[moves]] = best[moves]
-        more, after = _contexts(trained, head, moved, groups)
+        if number < rounds:
+            more, after = _contexts(trained, head, moved, groups)
+        else:  # no round is left to read the cells of words
+            more, after = None, _class_bigrams(trained, moved, groups)
         value = likelihood(after)
         if number and value <= reached[-1]:
             break
@@ -463,35 +531,46 @@ def _tail_classes(trained: DataFrame, head: Head, member: np.ndarray, table: np.
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member, _ = shared.value
         for batch in batches:
-            lists, tail = batch.column(0), batch.column(1)
-            own = np.r_[groups, member[lists.flatten().to_numpy()]].astype(np.int16)  # one place on
-            starts = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0])[:-1]
-            place = np.repeat(starts, tail.value_lengths().to_numpy()) + tail.flatten().field("place").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [tail.flatten().field("word"), pa.array(own[place]), pa.array(own[place + 2])], ["word", "before", "after"]
+            (symbols, ends), tail = _symbols(batch), batch.column("tail")
+            own = np.r_[groups, member[symbols]].astype(np.int32)  # one place on
+            place = np.repeat(ends[:-1], tail.value_lengths().to_numpy()) + tail.flatten().field("place").to_numpy()
+            yield pa.RecordBatch.from_arrays([tail.flatten().field("word"), pa.array(own[place] * size + own[place + 2])], ["word", "sides"])
+
+    def classed(words: pa.Array, sides: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+        coded = words.dictionary_encode()
+        row = coded.indices.to_numpy()
+        total = np.bincount(row, minlength=len(coded.dictionary))
+        rest = np.full(len(total), groups + 1)
+        often = np.flatnonzero(total >= LEAST)
+        for i in range(0, len(often), AT_ONCE):
+            some = often[i : i + AT_ONCE]
+            mine = slice(*np.searchsorted(row, [some[0], some[-1] + 1]))  # equal words stand together
+            at, inside = np.searchsorted(some, row[mine]), np.isin(row[mine], some)
+            before, after = (
+                np.bincount(at[inside] * size + side[mine][inside], minlength=len(some) * size).reshape(-1, size) for side in (sides // size, sides % size)
             )
+            rest[some] = best_classes(after, before, np.zeros(len(some), np.int64), rest[some], table, groups)
+        return pa.RecordBatch.from_arrays([coded.dictionary, pa.array(total.astype(np.int64)), pa.array(rest.astype(np.int16))], ["word", "n", "class"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, table = shared.value
-        for whole in batches:
-            for i in range(0, whole.num_rows, AT_ONCE):
-                batch = whole.slice(i, AT_ONCE)
-                entries = batch.column(1)
-                row = np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy())
-                before, after, n = (entries.flatten().field(c).to_numpy() for c in ("before", "after", "n"))
-                sides = np.zeros((2, batch.num_rows, size), np.int64)
-                np.add.at(sides[0], (row, before), n)
-                np.add.at(sides[1], (row, after), n)
-                total, rest = sides[0].sum(axis=1), np.full(batch.num_rows, groups + 1)
-                often = np.flatnonzero(total >= LEAST)
-                none = np.zeros(len(often), np.int64)
-                rest[often] = best_classes(sides[1][often], sides[0][often], none, rest[often], table, groups)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(rest.astype(np.int16))], ["word", "n", "class"])
-
-    seen = trained.select("symbols", "tail").mapInArrow(neighbours, "word binary, before smallint, after smallint")
-    counted = seen.groupBy("word", "before", "after").agg(F.count(F.lit(1)).alias("n"))
-    listed = counted.groupBy("word").agg(F.collect_list(F.struct("before", "after", "n")).alias("entries"))  # size^2 entries at most
-    return stored(listed.mapInArrow(choose, "word binary, n long, class smallint"))
+        words, sides = [], []  # the last word's, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words, sides = [*words, batch.column(0)], [*sides, batch.column(1).to_numpy()]
+            if words[0][0] == batch.column(0)[-1]:
+                continue
+            every, of = pa.concat_arrays(words), np.concatenate(sides)
+            until = pc.index(every, every[-1]).as_py()
+            yield classed(every.slice(0, until), of[:until], table)
+            words, sides = [every.slice(until)], [of[until:]]
+        if words:
+            yield classed(pa.concat_arrays(words), np.concatenate(sides), table)
+
+    seen = trained.select(*SYMBOLS, "tail").mapInArrow(neighbours, "word binary, sides int")
+    sorted_out = seen.repartition("word").sortWithinPartitions("word")  # a word outside the head is one of HEAD tokens at most
+    return stored(sorted_out.mapInArrow(choose, "word binary, n long, class smallint"))
 
 
 def _in_classes(encoded: DataFrame, member: np.ndarray, kind: str, tail: DataFrame | None) -> DataFrame:
@@ -502,13 +581,11 @@ def _in_classes(encoded: DataFrame, member: np.ndarray, kind: str, tail: DataFra
 
     def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("symbols")
-            own = shared.value[lists.flatten().to_numpy()]
-            ends = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]).astype(np.int32)
-            made = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(own)])
+            symbols, ends = _symbols(batch)
+            made = _binary(shared.value[symbols], ends)
             yield pa.RecordBatch.from_arrays([batch.column("row_id"), *[batch.column(c) for c in sums], made], ["row_id", *sums, "classes"])
 
-    rows = encoded.select("row_id", *sums, "symbols").mapInArrow(narrowed, f"row_id long, {fields}, classes binary")
+    rows = encoded.select("row_id", *sums, *SYMBOLS).mapInArrow(narrowed, f"row_id long, {fields}, classes binary")
     if tail is None:
         return stored(rows.drop("row_id"))
     places = encoded.select("row_id", F.explode("tail").alias("t")).select("row_id", "t.place", "t.word")
@@ -596,10 +673,10 @@ def score_documents(
     head, groups, size = made.head, made.groups, made.groups + 2
     placed = _in_classes(made.encoded, made.member, kind, made.tail)
 
-    def pairs(flat: np.ndarray) -> Iterator[np.ndarray]:
-        yield np.r_[groups, flat[:-1]] * size + flat
+    def pairs(flat: np.ndarray) -> np.ndarray:
+        return np.r_[groups, flat[:-1]] * size + flat
 
-    table = _square(_cells(placed.filter("not held_out"), "classes", pairs).toArrow(), size)
+    table = _cells(placed.filter("not held_out"), ["classes"], _classes, pairs, size)
     shared = shared_value(docs.sparkSession, fit(table, head.rare, groups))
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

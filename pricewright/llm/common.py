@@ -79,13 +79,13 @@ def drop_others(owner: str) -> None:
     pa.default_memory_pool().release_unused()
 
 
-def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text") -> DataFrame:
+def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
     """`mapInArrow` over batches whose text is bounded in size; `work` turns one batch into result batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_others(work.__module__)
         for batch in batches:
-            for part in slices(batch.rename_columns(names), column):
+            for part in slices(batch.rename_columns(names), column, most):
                 if part.num_rows:
                     yield from work(part)
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+import pricewright.llm.brown_lm as brown_lm
 from pricewright.llm.brown_lm import LEAST, best_classes, exchange, learn, likelihood as likelihood_of, score_documents, word_classes
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -171,6 +172,46 @@ def test_likelihood_rises_and_partitions_do_not_matter(spark):
     assert not nouns & verbs
 
 
+def test_cells_of_many_words_travel_in_one_row(spark, monkeypatch):
+    """Cells equal those counted by brute force, also where a task emits in pieces; a row holds a whole block of words."""
+    monkeypatch.setattr(brown_lm, "HELD_CELLS", 50)  # most words are not in the array of the frequent ones
+    monkeypatch.setattr(brown_lm, "HELD_CODES", 500)
+    rows = [*corpus(), (9001, "same " * 700), (9003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = learn(docs, 7, 2, 6, 4, 10_000, "bigint")
+    head, groups, size = made.head, made.groups, made.groups + 2
+    contexts, table = brown_lm._contexts(made.encoded.filter("not held_out"), head, made.member, groups)
+    want, bigrams = np.zeros((head.movable, 2 * size + 1), int), np.zeros((size, size), int)
+    for i, t in rows:
+        if not held(i):
+            path = [len(head.counts), *[head.number[w.encode()] for w in tokens(t)], len(head.counts)]
+            for x, y in zip(path, path[1:]):
+                a, b = made.member[x], made.member[y]
+                bigrams[a, b] += 1
+                if y < head.movable:
+                    want[y, a] += 1
+                if x < head.movable:
+                    want[x, size + b] += 1
+                    want[x, -1] += x == y
+    found = contexts.toArrow().to_batches()
+    blocks = brown_lm.Blocks.of(head.movable, 2 * size + 1)
+    assert sum(b.num_rows for b in found) == blocks.count < head.movable
+    got_cells = np.zeros((blocks.count, brown_lm.KEYS), int)
+    for batch in found:
+        for block, keys, n in brown_lm._unpacked(batch):
+            got_cells[block, keys] += n
+    first = blocks.first(np.arange(head.movable))
+    assert (got_cells.ravel()[first[:, None] + np.arange(2 * size + 1)] == want).all() and got_cells.sum() == want.sum()
+    assert (table == bigrams).all()
+
+
+def test_the_last_round_counts_no_cells_of_words(spark, monkeypatch):
+    calls, count = [], brown_lm._contexts
+    monkeypatch.setattr(brown_lm, "_contexts", lambda *a: calls.append(a) or count(*a))
+    learn(spark.createDataFrame(corpus(), "doc_id long, text string"), 7, 2, 6, 4, 10_000, "bigint")
+    assert 1 < len(calls) <= brown_lm.ROUNDS + 1
+
+
 def test_classes_beat_the_base_on_held_out_texts(spark):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string")
     rows = score_documents(docs, classes=6).filter("held_out").collect()

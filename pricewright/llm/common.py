@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,6 +16,7 @@ from ..session import ensure_checkpoint_dir, importable_in_workers  # noqa: F401
 SLICE_BYTES = 2 * 1024 * 1024
 
 Sliced = Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]
+Mapped = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -71,26 +73,48 @@ def kept_for(owner: str) -> dict:
     return _KEPT.setdefault(owner, {})
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the workers share an executor's limit with its JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; what libraries free stays with the process without it
+    if trim is not None:
+        trim(0)
+
+
 def drop_others(owner: str) -> None:
     """Free what other operators kept in this worker process: workers outlive the stages of a pipeline."""
     for other in [o for o in _KEPT if o != owner]:
         del _KEPT[other]
-    gc.collect()
-    pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def tidy(work: Mapped) -> Mapped:
+    """`work` for `mapInArrow`, in tasks that begin without what other operators kept, and end with no memory but their own."""
+    owner = work.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(owner)
+        yield from work(batches)
+        give_back()
+
+    return run
 
 
 def map_texts(df: DataFrame, work: Sliced, schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
     """`mapInArrow` over batches whose text is bounded in size; `work` turns one batch into result batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_others(work.__module__)
         for batch in batches:
             for part in slices(batch.rename_columns(names), column, most):
                 if part.num_rows:
                     yield from work(part)
+            batch = part = None  # the next batch is read into the memory of this one
+            pa.default_memory_pool().release_unused()
 
+    run.__module__ = work.__module__
     names = df.columns  # Spark would read a dot in them as a field
-    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(tidy(run), schema)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -145,10 +145,14 @@ def _block_hits(docs: DataFrame, block: list, window: int, shingle: int, kind: s
         least, most = lengths.get(widths[ids[0]], (len(ids), len(ids)))
         lengths[widths[ids[0]]] = min(least, len(ids)), max(most, len(ids))
     rows = _document_runs(docs, numbers, lengths, kind)
-    frame = spark.createDataFrame(
-        [(i, item, n, list(ids)) for i, (item, n, ids) in enumerate(windows)],
-        "window_id long, item_id string, n_words int, ids array<int>",
-    )
+    # an Arrow table: a list would start a second Python daemon with workers of its own on every executor
+    columns = {
+        "window_id": pa.array(range(len(windows)), pa.int64()),
+        "item_id": pa.array([item for item, _, _ in windows], pa.string()),
+        "n_words": pa.array([n for _, n, _ in windows], pa.int32()),
+        "ids": pa.array([ids for _, _, ids in windows], pa.list_(pa.int32())),
+    }
+    frame = spark.createDataFrame(pa.table(columns), "window_id long, item_id string, n_words int, ids array<int>")
     rows = stored(rows)
     runs = rows.select("row_id", F.explode("runs").alias("run")).select("row_id", "run.start", "run.ids")
     found = _contained(runs, frame)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import map_texts, remainder, shared_value, stored
+from .common import map_texts, remainder, shared_value, stored, tidy
 
 LONGEST = 3
 PROFILE = 400
@@ -104,7 +104,7 @@ def language_profiles(docs: DataFrame, learn, size: int = PROFILE) -> DataFrame:
         yield from emitted()
 
     kind = docs.schema["lang"].dataType.simpleString()
-    counted = rows.mapInArrow(count, f"lang {kind}, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(count), f"lang {kind}, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     # a filter on the row number itself lets every task before the shuffle keep its first `size` only
     first = counted.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= size)

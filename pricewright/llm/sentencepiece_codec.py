@@ -17,6 +17,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 from typing import NamedTuple
 
@@ -24,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import kept_for, map_texts
+from .common import kept_for, map_texts, tidy
 
 MARK = "▁"
 CACHED_CHUNKS = 100_000  # chunks whose tokens a worker remembers; beyond it the memory is emptied and filled anew
 GROUP = 200  # chunks encoded as one string
+LEARNED = 50 * GROUP  # chunks whose tokens the libraries hold at once; a chunk takes about a kilobyte there
 ROWS_DECODED = 256
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -167,7 +169,6 @@ class Codec:
         from tokenizers import decoders
 
         self.model = Model(path)
-        self.whole = self.model.tokenizer()
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self.threads = threads
         if self.model.chunked:
@@ -181,6 +182,11 @@ class Codec:
         self.differs: set[str] = set()  # chunks that the two libraries encode differently
         self.lossy: set[str] = set()  # chunks that decoding does not give back
 
+    @cached_property
+    def whole(self):
+        """For whole texts, and for decoding; texts in chunks do without it."""
+        return self.model.tokenizer()
+
     def encode(self, texts: list[str | None]) -> list[Encoded]:
         if not self.model.chunked:
             plain = [t or "" for t in texts]
@@ -196,8 +202,8 @@ class Codec:
             self.differs.clear()
             self.lossy.clear()
         new = list(set(chain.from_iterable(chunks)).difference(self.seen))
-        for start in range(0, len(new), GROUP * 500):
-            self._learn(new[start : start + GROUP * 500])
+        for start in range(0, len(new), LEARNED):
+            self._learn(new[start : start + LEARNED])
         find = self.seen.__getitem__
         return [
             Encoded(
@@ -289,7 +295,7 @@ def decode_documents(coded: DataFrame, model: str, threads: int = 2, id_column:
                 texts = codec(model, threads).decode([i or [] for i in part.column("ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return coded.select(F.col(id_column).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
+    return coded.select(F.col(id_column).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(tidy(run), f"doc_id {kind}, text string")
 
 
 def encoding_digests(docs: DataFrame, model: str, threads: int = 2) -> DataFrame:

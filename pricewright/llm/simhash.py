@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import measured_side
-from .common import free_names, map_texts, stored
+from .common import free_names, map_texts, stored, tidy
 from .components import components
 from .vectors import quoted
 
@@ -208,7 +208,7 @@ def _search(entries: DataFrame, places: list[tuple[int, ...]], distance: int, lo
             yield from whole(held, current[0])
 
     ordered = entries.repartition("list", "bytes").sortWithinPartitions("list", "bytes", "print")
-    return ordered.select("list", "bytes", "print").mapInArrow(work, "a long, b long")
+    return ordered.select("list", "bytes", "print").mapInArrow(tidy(work), "a long, b long")
 
 
 def close_fingerprints(prints: DataFrame, distance: int = DISTANCE, long_list: int = LONG_LIST) -> DataFrame:

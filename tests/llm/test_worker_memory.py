@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from pricewright.llm import common, language_id, simhash
-from pricewright.llm.common import drop_others, kept_for, tidy
+from pricewright.llm.common import drop_others, importable_in_workers, kept_for, tidy
 from pricewright.llm.decontamination import contamination
 from pricewright.llm.sentencepiece_codec import Codec
 
@@ -48,7 +48,7 @@ class Recorded:
         return call
 
 
-def test_profiles_and_posting_lists_drop_what_others_kept(spark):
+def test_posting_lists_drop_what_others_kept(spark):
     found = []
     entries = spark.createDataFrame([(0, 1, 2)], "list int, bytes long, print long")
     simhash._search(Recorded(entries, found), simhash.TRIPLES, 3, 10)
@@ -99,6 +99,7 @@ def test_freed_memory_goes_back():
 
 def test_windows_need_no_python_workers(spark):
     """Windows become a frame by Arrow; a list of rows would run a second Python daemon on every executor."""
+    importable_in_workers(spark)
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m n")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "b c d e f g h i j k l m n"), (None, "d e")], "item_id long, text string")
     used = []

@@ -206,3 +206,96 @@ def test_ridge_folds_at_the_edges(spark):
     moments = np.zeros((3, 3))
     moments[0, 0] = 5
     assert solve(moments, 1.0)[0] == 0.0
+
+
+def plain_forest(x, y, setting, times):
+    """Mean prediction of trees that each search all splits over the rows drawn for them, as often as drawn."""
+    def grow(rows, every, weight, depth, value):
+        n, s = weight[rows].sum(), (weight * y)[rows].sum()
+        value[every] = s / n
+        best = (1e-9, None, None)
+        for c in range(x.shape[1]) if depth < setting.depth else ():
+            for cut in np.unique(x[:, c]):
+                left = rows[x[rows, c] <= cut]
+                m, t = weight[left].sum(), (weight * y)[left].sum()
+                if 0 < m < n:
+                    gain = t * t / m + (s - t) ** 2 / (n - m) - s * s / n
+                    if gain > best[0] + 1e-9:
+                        best = (gain, c, cut)
+        if best[1] is not None:
+            _, c, cut = best
+            grow(rows[x[rows, c] <= cut], every[x[every, c] <= cut], weight, depth + 1, value)
+            grow(rows[x[rows, c] > cut], every[x[every, c] > cut], weight, depth + 1, value)
+
+    out = np.zeros(len(y))
+    for weight in times:
+        value = np.zeros(len(y))
+        grow(np.flatnonzero(weight), np.arange(len(y)), weight, 0, value)
+        out += value / len(times)
+    return out
+
+
+def test_a_forest_equals_the_plain_version(spark):
+    """Also of few trees at a time, and with a feature that is a function of another and one that never varies."""
+    x, y = data()
+    x = np.column_stack([x, x[:, 0] // 3, np.full(len(y), 4.0)])
+    names = [*NAMES, "d", "e"]
+    df = spark.createDataFrame([(i, *map(float, r), float(v), i % 4, i % 5 == 0) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, c double, d double, e double, y double, fold int, test boolean")
+    setting, ids = boosting.forest(trees=7, depth=4), np.arange(len(y))
+    fitted = fit_all(df.repartition(5), names, "y", [setting], F.col("fold"), 4, F.col("test"), ["id"])
+    stages = {r.fold: r for r in fitted.stages.collect()}
+    assert sorted(stages) == [-1, 0, 1, 2, 3]
+    for held, row in stages.items():
+        out = ids % 5 == 0 if held < 0 else ids % 4 == held
+        times = [np.where(out, 0, boosting.drawn_times(draws(spark, df), t, setting.seed)) for t in range(7)]
+        expected = plain_forest(x, y, setting, times)
+        assert fitted.models["random_forest", held].predict_rows(x) == pytest.approx(expected, abs=1e-6)
+        error = expected[out] - y[out]
+        assert (row.trees, row.rows) == (7, out.sum()) and row.mae == pytest.approx(np.abs(error).mean())
+        assert row.r2 == pytest.approx(1 - (error**2).sum() / ((y[out] - y[out].mean()) ** 2).sum())
+    assert sum(fitted.models["random_forest", -1].importance().values()) == pytest.approx(1)
+
+
+def test_forests_do_not_depend_on_partitions_or_trees_at_a_time(spark, monkeypatch):
+    x, y = data()
+    found = []
+    for parts, cells, rows in ((1, 1 << 21, 1 << 16), (9, 1 << 8, 16)):
+        monkeypatch.setattr(boosting, "FOREST_CELLS", cells)
+        monkeypatch.setattr(boosting, "FOREST_BLOCK_ROWS", rows)
+        fitted = fit_all(frame(spark, x, y, parts), NAMES, "y", [boosting.forest(trees=3, depth=3)], F.col("fold"), 4, keys=["id"])
+        found.append(fitted.models)
+    assert found[0] == found[1]
+
+
+def test_rows_of_a_forest_are_drawn_as_often_as_there_are_rows():
+    draw = np.random.default_rng(5).integers(-(2**62), 2**62, 200_000)
+    one, other = (boosting.drawn_times(draw, t, 42).astype(int) for t in (0, 1))
+    assert one.mean() == pytest.approx(1, abs=0.01) and one.var() == pytest.approx(1, abs=0.02)
+    assert abs(np.corrcoef(one, other)[0, 1]) < 0.01
+
+
+def test_features_that_follow_from_others_are_not_counted():
+    sizes = [100, 20, 4, 4, 1, 30]
+    columns = boosting.Counted.of(sizes, {(0, 1): np.arange(100) // 5, (2, 3): np.array([3, 2, 1, 0]), (3, 2): np.array([3, 2, 1, 0])})
+    assert columns.packed == [[2, 5], [0]]
+    rng = np.random.default_rng(2)
+    bins = np.stack([rng.integers(0, n, 500) for n in sizes])
+    bins[1], bins[3] = bins[0] // 5, 3 - bins[2]
+    every = columns.added(bins)
+    sums = np.zeros((2, 128, 1), np.int64)
+    for own, row in zip(sums, columns.rows()):
+        own[:, 0] = np.bincount(every[row], minlength=128)
+    cells = columns.cells(sums)
+    for f in range(6):
+        assert (cells[f, :, 0] == np.bincount(bins[f], minlength=128)).all()
+
+
+def test_all_fits_of_a_comparison_share_the_passes_of_its_forest(spark, monkeypatch):
+    """A forest took a pass for each level and fit; one level of all trees of all fits is one pass while they are few."""
+    x, y = data()
+    passes, grow = [], boosting._grow_bagged
+    monkeypatch.setattr(boosting, "_grow_bagged", lambda state, active, level, *rest: passes.append((level, len(active))) or grow(state, active, level, *rest))
+    result = models.compare(frame(spark, x, y).drop("fold", "test"), ["id"], [models.default_learners(2, 6)[2]], NAMES, "y", folds=3)
+    assert [level for level, _ in passes] == list(range(6)) and passes[0] == (0, 6 * 4)
+    assert len(result.models["random_forest"].trees) == 6 and result.fold_scores.count() == 3
+    assert result.scores.first()["cv_r2"] > 0.5
